@@ -40,7 +40,11 @@ def bars(
     if tie_break and tie_break in ticks.columns:
         order = F.struct(F.col(ts), F.col(tie_break))
     price, quantity = F.col("price"), F.col("quantity")
-    grouped = ticks.groupBy(*keys, F.window(ts, bucket).alias("bucket")).agg(
+    # A stream must group by the window itself, which carries the watermark; in batch
+    # its start alone is a smaller key.
+    window = F.window(ts, bucket)
+    key = window.alias("bucket") if ticks.isStreaming else window.start.alias("bucket")
+    grouped = ticks.groupBy(*keys, key).agg(
         F.min(ts).alias("ts_min"),
         F.max(ts).alias("ts_max"),
         F.min_by(price, order).alias("price_open"),
@@ -53,16 +57,14 @@ def bars(
         F.sum(quantity * price).alias("volume_quote"),
         F.count(F.lit(1)).alias("trade_count"),
     )
+    times = {
+        "bucket_start_ts": F.col("bucket.start" if ticks.isStreaming else "bucket"),
+        "ts_min": F.col("ts_min"),
+        "ts_max": F.col("ts_max"),
+    }
     if dict(ticks.dtypes)[ts] == "timestamp":
-        times = {
-            "bucket_start_ts": instant_to_ntz("bucket.start"),
-            "ts_min": instant_to_ntz("ts_min"),
-            "ts_max": instant_to_ntz("ts_max"),
-        }
-    else:
-        times = {"bucket_start_ts": F.col("bucket.start")}
-    out = grouped.withColumns(times)
-    return out.select(*keys, "bucket_start_ts", *MEASURES)
+        times = {name: instant_to_ntz(c) for name, c in times.items()}
+    return grouped.withColumns(times).select(*keys, "bucket_start_ts", *MEASURES)
 
 
 def hourly_bars(

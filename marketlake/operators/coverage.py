@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 def latest_common(left: DataFrame, right: DataFrame, column: str = "date") -> DataFrame:
     """Latest value present on both sides, as one row.
 
-    Both sides are reduced to distinct values first: ``INTERSECT`` alone would shuffle
-    every row of a hot date.
+    Both sides go through one partial aggregation by value, so the shuffle carries one
+    row per value and task. ``INTERSECT`` is planned as a semi-join, which would
+    shuffle every row, and every copy of a hot date into one task.
     """
-    a = left.select(column).distinct()
-    b = right.select(column).distinct()
-    return a.intersect(b).agg(F.max(column).alias(column))
+    sides = left.select(column, F.lit(1).alias("_side")).unionByName(
+        right.select(column, F.lit(2).alias("_side"))
+    )
+    on_both = sides.groupBy(column).agg(F.bit_or("_side").alias("_sides"))
+    return on_both.filter(F.col("_sides") == 3).agg(F.max(column).alias(column))
 
 
 def latest_hour(df: DataFrame, day: str, date: str = "date", hour: str = "hour") -> DataFrame:

@@ -74,7 +74,7 @@ def cut_series(
     """
     if halo > blocks.rows:
         raise ValueError(f"halo {halo} is longer than a block of {blocks.rows} rows")
-    own = F.floor(F.col(POSITION) / F.lit(blocks.rows))
+    own = F.expr(f"{POSITION} div {int(blocks.rows)}")
     feeds_next = F.col(POSITION) % blocks.rows >= blocks.rows - halo
     cut = (
         number_rows(df, entity, ts, order, blocks.chunk)

@@ -405,7 +405,8 @@ ORACLES: dict[str, str] = {
     "lake_bars_from_csv": _RAW_BARS,
     "lake_rejects_from_csv": _with("tick_reasons")
     + "SELECT trade_id, reject_reason FROM tick_reasons",
-    "lake_day_rebuild": _RAW_BARS,
+    "lake_day_rebuild": _RAW_BARS
+    + f" WHERE CAST(hour_start_ts AS DATE) = DATE '{COVERAGE_DAY}'",
     "lake_rates_upsert": _LATEST_RATES + " FROM rates",
     "lake_rates_month": _with("rates")
     + f"""SELECT fx_date, code, mid FROM rates

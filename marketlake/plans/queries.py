@@ -41,6 +41,7 @@ from marketlake.plans.shared import shared_folder
 from marketlake.schemas import FX_DAILY, HOURLY_BARS
 from marketlake.sinks.cells import export_put_commands, upload_cells, write_cells
 from marketlake.sinks.tables import (
+    append_rejects,
     land_rates_json,
     land_ticks_csv,
     replace_partitions,
@@ -415,18 +416,18 @@ def lake_bars_from_csv(spark, sf_dir):
 
 def lake_rejects_from_csv(spark, sf_dir):
     lake = _landed_lake(spark, sf_dir, "rejects")
-    jobs.tick_etl(spark, lake)
+    tagged = normalize_ticks(read_tick_csv(spark, lake.raw_ticks))
+    append_rejects(rejected_rows(tagged), f"{lake.rejects}/ticks", "all")
     return spark.read.parquet(f"{lake.rejects}/ticks").select(
         F.col("trade_id").cast("bigint").alias("trade_id"), REASON
     )
 
 
 def lake_day_rebuild(spark, sf_dir):
-    """Bars of all days, then one day rebuilt alone: the table must not change."""
+    """The tick job for one date, then again for one hour of it."""
     lake = _landed_lake(spark, sf_dir, "rebuild")
-    jobs.tick_etl(spark, lake, columns=list(TICK_HEADER))
-    jobs.tick_etl(spark, lake, COVERAGE_DAY, columns=list(TICK_HEADER))
-    jobs.tick_etl(spark, lake, COVERAGE_DAY, 5, columns=list(TICK_HEADER))
+    jobs.tick_etl(spark, lake, COVERAGE_DAY)
+    jobs.tick_etl(spark, lake, COVERAGE_DAY, 5)
     return _rounded_bars(lake.read(spark, "trades_agg_hourly").drop("load_ts"))
 
 
@@ -491,11 +492,11 @@ def lake_rate_documents(spark, sf_dir):
     return explode_rate_documents(landed, today=F.lit(FALLBACK_DAY).cast("date"))
 
 
-def _event_lake(spark, sf_dir, name) -> jobs.Lake:
+def _event_lake(spark, sf_dir, name, partition_by=("date",)) -> jobs.Lake:
     """Lake with bars of the events, and their closes in the role of rates."""
     lake = jobs.Lake(shared_folder(spark, name))
     replace_partitions(
-        inputs.hourly(spark, sf_dir), lake.table("trades_agg_hourly"), ("date", "hour")
+        inputs.hourly(spark, sf_dir), lake.table("trades_agg_hourly"), partition_by
     )
     closes = daily_close(lake.read(spark, "trades_agg_hourly"))
     fx = closes.select(
@@ -526,7 +527,7 @@ def lake_serving_cells(spark, sf_dir):
 
 def lake_external_tables(spark, sf_dir):
     """External tables over a lake, asked by SQL."""
-    lake = _event_lake(spark, sf_dir, "tables")
+    lake = _event_lake(spark, sf_dir, "tables", ("date", "hour"))
     jobs.analytics(spark, lake, BASE, QUOTE)
     database = "lake_" + lake.root.rsplit("-", 1)[-1][:12]
     define_lake(spark, lake.root, database)
