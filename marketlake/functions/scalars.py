@@ -44,13 +44,27 @@ def epoch_ms_to_ts(c: Column | str) -> Column:
     )
 
 
+def _ntz_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a zone-free timestamp, from its own fields.
+
+    ``timestampdiff`` and casts would go through the session time zone.
+    """
+    seconds = F.date_part(F.lit("SECOND"), ts)
+    return (
+        F.unix_date(ts.cast("date")) * F.lit(86_400_000_000)
+        + F.hour(ts) * F.lit(3_600_000_000)
+        + F.minute(ts) * F.lit(60_000_000)
+        + (seconds * 1_000_000).cast("bigint")
+    )
+
+
 def ntz_to_epoch_ms(c: Column | str) -> Column:
-    return F.timestamp_diff("MILLISECOND", _epoch(), _col(c))
+    return F.unix_millis(ntz_to_instant(c))
 
 
 def ntz_to_instant(c: Column | str) -> Column:
     """Zone-free UTC wall clock to an instant (streams need ``TIMESTAMP``)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), _col(c)))
+    return F.timestamp_micros(_ntz_micros(_col(c)))
 
 
 def instant_to_ntz(c: Column | str) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions import path_attributes
+from marketlake.functions import ntz_to_epoch_ms, path_attributes
 from marketlake.operators import cells as cell_ops
 from marketlake.operators.bars import bars, daily_close, daily_volume
 from marketlake.operators.cleaning import (
@@ -562,18 +562,17 @@ def lake_put_commands(spark, sf_dir):
     )
 
 
-class _Discard:
-    """Client that accepts puts; the query counts what was sent."""
-
-    def put(self, cells):
-        pass
+def cells_upload_count(spark, sf_dir):
+    """Upload with a client that accepts puts and forgets them; counts what was sent."""
 
-    def close(self):
-        pass
+    class Discard:
+        def put(self, cells):
+            pass
 
+        def close(self):
+            pass
 
-def cells_upload_count(spark, sf_dir):
-    return upload_cells(_cells(spark, sf_dir), _Discard)
+    return upload_cells(_cells(spark, sf_dir), Discard)
 
 
 def lake_file_rows(spark, sf_dir):
@@ -658,9 +657,8 @@ def stream_landing(spark, sf_dir):
     columns = ("symbol", "price", "quantity", "event_time", "trade_id")
     schema = inputs.table(spark, sf_dir, "events").schema
     ticks = inputs.as_ticks(stream_table(spark, f"{sf_dir}/events.parquet", schema))
-    ms = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01'"), F.col("event_ts"))
     start_landing(
-        ticks.withColumn("event_time", ms), f"{root}/raw", f"{root}/checkpoint",
+        ticks.withColumn("event_time", ntz_to_epoch_ms("event_ts")), f"{root}/raw", f"{root}/checkpoint",
         columns, AVAILABLE_NOW,
     ).awaitTermination()
     valid = valid_rows(normalize_ticks(read_tick_csv(spark, f"{root}/raw", columns)))

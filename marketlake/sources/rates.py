@@ -42,7 +42,7 @@ def read_landed_rates(spark: SparkSession, root: str, day: str | None = None) ->
 
 def read_rate_documents(spark: SparkSession, root: str) -> DataFrame:
     """Landed documents, one per file, as text column ``value``."""
-    return spark.read.option("wholetext", True).text(root)
+    return spark.read.text(root, wholetext=True)
 
 
 def explode_rate_documents(

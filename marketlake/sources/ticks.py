@@ -34,15 +34,24 @@ def read_tick_csv(
     columns = list(columns) if columns else header_columns(spark, root)
     fields = [f"`{c}` STRING" for c in (*columns, CORRUPT)]
     raw = (
-        spark.read.schema(", ".join([*fields, "date DATE", "hour INT"]))
+        # folder columns are left to partition discovery: given here too, they would be
+        # taken for fields of the files where a stream sink wrote the folders
+        spark.read.schema(", ".join(fields))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        # with pruning, a row's field count is only checked when all columns are read
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(root)
     )
-    renamed = raw.withColumnsRenamed({"date": "folder_date", "hour": "folder_hour"})
-    return require_columns(renamed, TICK_COLUMNS)
+    require_columns(raw, (*TICK_COLUMNS, *FOLDERS))
+    return raw.select(
+        *columns,
+        CORRUPT,
+        F.col("date").cast("date").alias("folder_date"),
+        F.col("hour").cast("int").alias("folder_hour"),
+    )
 
 
 def span(day: str | None, hour: int | None) -> tuple[dt.datetime, dt.datetime] | None:

@@ -1,0 +1,161 @@
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.operators.cleaning import normalize_ticks, rejected_rows, valid_rows
+from marketlake.sources import catalog, files, rates, tables, ticks, topics
+
+D = dt.date
+
+
+def write(root, name, text):
+    path = os.path.join(root, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+HEADER = "a,symbol,price,quantity,event_time\n"
+
+
+@pytest.fixture
+def raw(tmp_path):
+    root = str(tmp_path / "raw")
+    write(root, "date=2024-01-05/hour=05/05-05-00.csv",
+          HEADER + "1,A,10,1,1704430800000\n2,A,11,1,1704430860000\n3,A,12\n4,A,13,1,1704430860000,extra\n")
+    write(root, "date=2024-01-05/hour=23/05-23-00.csv", HEADER + "5,A,14,1,1704495600000\n")
+    write(root, "date=2024-01-06/hour=00/06-00-00.csv",
+          HEADER + "6,A,15,1,1704499199999\n7,A,16,1,1704499200000\n")  # 6 belongs to 23:59
+    return root
+
+
+def test_csv_rows_of_wrong_length_are_rejected(spark, raw):
+    tagged = normalize_ticks(ticks.read_tick_csv(spark, raw))
+    assert sorted(r.a for r in valid_rows(tagged).collect()) == ["1", "2", "5", "6", "7"]
+    bad = {r.a: r.reject_reason for r in rejected_rows(tagged).collect()}
+    assert bad == {"3": "malformed,quantity,event_time", "4": "malformed"}
+    # the same verdict when few columns, or none, are asked for
+    assert valid_rows(tagged).select("symbol").count() == 5
+    assert valid_rows(tagged).count() == 5
+
+
+def test_csv_header_of_another_order_fails(spark, raw):
+    write(raw, "date=2024-01-07/hour=01/07-01-00.csv", "symbol,a,price,quantity,event_time\nA,9,1,1,1704589200000\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ticks.read_tick_csv(spark, raw, HEADER.strip().split(",")).collect()
+
+
+def test_csv_without_needed_column(spark, tmp_path):
+    root = str(tmp_path / "legacy")
+    write(root, "date=2024-01-05/hour=05/x.csv", "symbol,price,volume,event_time\nA,1,1,1\n")
+    with pytest.raises(ValueError, match="quantity"):
+        ticks.read_tick_csv(spark, root)
+
+
+def test_folders(spark, raw):
+    df = ticks.read_tick_csv(spark, raw)
+    at = lambda *a, **k: sorted(
+        {(r.folder_date.day, r.folder_hour) for r in ticks.in_folders(df, *a, **k).collect()}
+    )
+    assert at(None) == [(5, 5), (5, 23), (6, 0)]
+    assert at("2024-01-05", slack_hours=0) == [(5, 5), (5, 23)]
+    assert at("2024-01-05", 5, slack_hours=0) == [(5, 5)]
+    assert at("2024-01-05", 23, slack_hours=1) == [(5, 23), (6, 0)]
+    plan = ticks.in_folders(df, "2024-01-05")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_event_time(spark, raw):
+    good = valid_rows(normalize_ticks(ticks.read_tick_csv(spark, raw)))
+    assert {r.a for r in ticks.in_event_time(good, "2024-01-05").collect()} == {"1", "2", "5", "6"}
+    assert {r.a for r in ticks.in_event_time(good, "2024-01-05", 23).collect()} == {"5", "6"}
+    with pytest.raises(ValueError):
+        ticks.span(None, 3)
+    with pytest.raises(ValueError):
+        ticks.span("2024-01-05", 24)
+
+
+def test_rate_files(spark, tmp_path):
+    root = str(tmp_path / "20250101" / "rates")  # digits in a folder above
+    rate = lambda code, mid: json.dumps({"currency": "x", "code": code, "mid": mid})
+    write(root, "date=2026-01-05/nbp_rate_USD_20260105.json", rate("USD", 3.6868))
+    write(root, "date=2026-01-05/nbp_rate_EUR_20260105.json", rate("EUR", 4.0123))
+    write(root, "date=2026-01-05/nbp_rate_USDT_20260105.json", rate("USDT", 1.0))
+    write(root, "date=2026-01-06/nbp_rate_USD_20260199.json", rate("USD", 3.7))
+    got = {(r.code, r.fx_date): r.mid for r in rates.read_rate_files(spark, root).collect()}
+    assert got == {("USD", D(2026, 1, 5)): 3.6868, ("EUR", D(2026, 1, 5)): 4.0123, ("USD", None): 3.7}
+    assert rates.read_rate_files(spark, root, "2026-01-06").count() == 1
+    name = rates.rate_file_name(F.lit("USD"), F.lit("2026-01-05").cast("date"))
+    assert spark.range(1).select(name.alias("n")).first().n == "nbp_rate_USD_20260105.json"
+
+
+def test_rate_documents(spark, tmp_path):
+    root = str(tmp_path / "docs")
+    rate = {"currency": "dolar", "code": "USD", "mid": 3.6868}
+    doc = lambda day, rs: {"table": "A", "no": "1", "effectiveDate": day, "rates": rs}
+    write(root, "a.json", json.dumps([doc("2026-01-02", [rate, {**rate, "code": "EUR"}])], indent=1))
+    write(root, "b.json", json.dumps([doc("", [rate]), doc("2026-01-03", [rate])]))
+    write(root, "c.json", json.dumps([doc("2026-01-04", [])]))
+    write(root, "d.json", "no json")
+    docs = rates.read_rate_documents(spark, root)
+    today = F.lit("2030-01-01").cast("date")
+    got = sorted((r.fx_date, r.code) for r in rates.explode_rate_documents(docs, today=today).collect())
+    assert got == [(D(2026, 1, 2), "EUR"), (D(2026, 1, 2), "USD"), (D(2030, 1, 1), "USD")]
+    every = rates.explode_rate_documents(docs, today=today, first_table_only=False)
+    assert every.count() == 4
+
+
+def test_tables(spark, tmp_path):
+    root = str(tmp_path / "t")
+    schema = "v int, year int, month int"
+    assert tables.read_table_or_none(spark, root, schema) is None
+    spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], schema).write.partitionBy("year", "month").parquet(root)
+    assert tables.read_table(spark, root, year=2024, month=2, columns=["v"]).first().v == 2
+    df = tables.read_table(spark, root, schema)
+    one = df.filter(tables.partition_predicate(df, [{"year": 2024, "month": 1}]))
+    assert one.first().v == 1
+    assert "PartitionFilters: [" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_catalog(spark, tmp_path):
+    root = str(tmp_path / "t")
+    spark.createDataFrame([(1, D(2024, 1, 1), 5), (2, D(2024, 1, 2), 6)], "v int, date date, hour int").write.partitionBy("date", "hour").parquet(root)
+    spark.sql("CREATE DATABASE IF NOT EXISTS cat_test")
+    catalog.define_table(spark, "cat_test.t", "v INT, date DATE, hour INT", root, ["date", "hour"])
+    assert catalog.sample_rows(spark, "cat_test.t").count() == 2
+    assert spark.sql("SELECT count(*) AS n FROM cat_test.t WHERE date = DATE'2024-01-02'").first().n == 1
+    assert {tuple(r) for r in catalog.covered(spark, "cat_test.t", "date", "hour").collect()} == {
+        ("2024-01-01", "5"), ("2024-01-02", "6"),
+    }
+    assert "fx_daily" in catalog.missing_tables(spark, "cat_test")
+
+
+def test_census_and_preview(spark, raw):
+    write(raw, "date=2024-01-05/hour=07/05-07-00.csv", "")
+    got = files.file_census(spark, raw).first()
+    assert (got.files, got.empty_files, got.files_with_content) == (4, 1, 3)
+    assert got.bytes > 0
+    lines = {r.path.rsplit("/", 1)[-1]: r.lines for r in files.rows_per_file(spark, raw).collect()}
+    assert lines == {"05-05-00.csv": 5, "05-23-00.csv": 2, "06-00-00.csv": 3}
+    first = files.first_lines(spark, raw, 2).filter(F.col("path").endswith("05-05-00.csv"))
+    assert [r.line for r in first.orderBy("line_no").collect()] == [HEADER.strip(), "1,A,10,1,1704430800000"]
+
+
+def test_preview_newest(spark, raw, tmp_path):
+    write(raw, "date=2024-01-09/hour=01/09-01-00.csv", HEADER + "".join(f"{i},A,1,1,1\n" for i in range(200)))
+    os.utime(os.path.join(raw, "date=2024-01-09/hour=01/09-01-00.csv"), (4e9, 4e9))
+    assert files.newest_file(spark, raw).first().path.endswith("09-01-00.csv")
+    rows = files.preview_newest(spark, raw, head=3, tail=2).collect()
+    assert [r.line for r in rows if r.part == "head"] == [HEADER.strip(), "0,A,1,1,1", "1,A,1,1,1"]
+    assert sorted(r.line for r in rows if r.part == "tail") == ["198,A,1,1,1", "199,A,1,1,1"]
+    with pytest.raises(FileNotFoundError):
+        os.makedirs(tmp_path / "none")
+        files.preview_newest(spark, str(tmp_path / "none"))
+
+
+def test_topic_options():
+    got = topics.topic_options("h:1", startingOffsets="earliest")
+    assert got == {"kafka.bootstrap.servers": "h:1", "subscribe": "crypto-trades", "startingOffsets": "earliest"}
