@@ -49,13 +49,10 @@ def _ntz_micros(ts: Column) -> Column:
 
     ``timestampdiff`` and casts would go through the session time zone.
     """
+    days = F.unix_date(ts.cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
     seconds = F.date_part(F.lit("SECOND"), ts)
-    return (
-        F.unix_date(ts.cast("date")) * F.lit(86_400_000_000)
-        + F.hour(ts) * F.lit(3_600_000_000)
-        + F.minute(ts) * F.lit(60_000_000)
-        + (seconds * 1_000_000).cast("bigint")
-    )
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def ntz_to_epoch_ms(c: Column | str) -> Column:
