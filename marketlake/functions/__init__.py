@@ -3,6 +3,7 @@ from marketlake.functions.scalars import (
     epoch_ms_to_ts,
     file_name_date,
     instant_to_ntz,
+    is_epoch_ms,
     ntz_to_epoch_ms,
     ntz_to_instant,
     path_attributes,
@@ -17,6 +18,7 @@ __all__ = [
     "epoch_ms_to_ts",
     "file_name_date",
     "instant_to_ntz",
+    "is_epoch_ms",
     "ntz_to_epoch_ms",
     "ntz_to_instant",
     "path_attributes",

@@ -18,6 +18,7 @@ from marketlake.fixed_values import (
     TICK_FILE_NAME_FORMAT,
 )
 
+_FIRST_MS = -62135596800000  # 0001-01-01
 _LAST_MS = 253402300799999  # 9999-12-31 23:59:59.999
 
 
@@ -34,14 +35,16 @@ def to_double(c: Column | str) -> Column:
     return _col(c).try_cast("double")
 
 
+def is_epoch_ms(c: Column | str) -> Column:
+    """True for a number that is a time in years 1 to 9999; false for null and NaN."""
+    return F.coalesce(_col(c).between(_FIRST_MS, _LAST_MS), F.lit(False))
+
+
 def epoch_ms_to_ts(c: Column | str) -> Column:
     """Epoch milliseconds (number or text) to a zone-free UTC timestamp."""
     ms = to_double(c)
     micros = F.round(ms * 1000).cast("bigint")
-    return F.when(
-        ms.between(-_LAST_MS, _LAST_MS),
-        F.timestamp_add("MICROSECOND", micros, _epoch()),
-    )
+    return F.when(is_epoch_ms(ms), F.timestamp_add("MICROSECOND", micros, _epoch()))
 
 
 def _ntz_micros(ts: Column) -> Column:

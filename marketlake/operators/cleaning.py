@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.fixed_values import TICK_COLUMNS, TRADE_REQUIRED
-from marketlake.functions import blank_to_null, epoch_ms_to_ts, to_double
+from marketlake.functions import epoch_ms_to_ts, is_epoch_ms, to_double
 from marketlake.schemas import CORRUPT
 
 REASON = "reject_reason"
@@ -26,6 +26,17 @@ def require_columns(df: DataFrame, needed: Sequence[str]) -> DataFrame:
     return df
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row, however often they are used.
+
+    A filter is pushed down through a projection by repeating its expressions, and a
+    parsed document or number would be parsed again for each use. It is not pushed
+    through a generator, so the columns come out of one that makes one row per row.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
+
+
 def tag_rejects(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Add ``reject_reason``: names of all broken rules, null for a valid row.
 
@@ -43,6 +54,10 @@ def rejected_rows(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col(REASON).isNotNull())
 
 
+def _absent(c: str) -> Column:
+    return F.col(c).isNull() | (F.trim(F.col(c)) == "")
+
+
 def _not_a_number(c: str) -> Column:
     return F.col(c).isNull() | F.isnan(c)
 
@@ -54,22 +69,26 @@ def normalize_ticks(raw: DataFrame) -> DataFrame:
     (a trade id, say) are kept.
     """
     require_columns(raw, TICK_COLUMNS)
-    typed = raw.withColumns(
-        {
-            "price": to_double("price"),
-            "quantity": to_double("quantity"),
-            "event_ts": epoch_ms_to_ts("event_time"),
-        }
+    read = computed_once(
+        raw,
+        _price=to_double("price"),
+        _quantity=to_double("quantity"),
+        _event_ms=to_double("event_time"),
     )
     rules = {
         "symbol": F.col("symbol").isNull(),
-        "price": _not_a_number("price"),
-        "quantity": _not_a_number("quantity"),
-        "event_time": F.col("event_ts").isNull(),
+        "price": _not_a_number("_price"),
+        "quantity": _not_a_number("_quantity"),
+        "event_time": ~is_epoch_ms("_event_ms"),
     }
     if CORRUPT in raw.columns:
         rules = {"malformed": F.col(CORRUPT).isNotNull(), **rules}
-    return tag_rejects(typed, rules)
+    typed = {"price": F.col("_price"), "quantity": F.col("_quantity")}
+    return (
+        tag_rejects(read, rules)
+        .withColumns({**typed, "event_ts": epoch_ms_to_ts("_event_ms")})
+        .drop("_price", "_quantity", "_event_ms")
+    )
 
 
 def normalize_rates(raw: DataFrame) -> DataFrame:
@@ -99,41 +118,46 @@ def parse_trades(df: DataFrame, payload: str = "value") -> DataFrame:
     required field, ``type_<field>`` for one that is there but not a number. Other
     columns of ``df`` (topic offsets, arrival time) are kept.
 
-    The text is read as a map of texts: field names differ by case only (``e``, ``E``),
-    which a struct would mix up, and a bad value can be told from a missing one.
+    All fields come out of one pass over the text, as text, so that a bad value can be
+    told from a missing one; ``json_tuple`` also keeps apart names that differ by case
+    only (``e``, ``E``), which a struct schema would mix up.
     """
-    fields = F.from_json(F.col(payload).cast("string"), "MAP<STRING, STRING>")
-    parsed = df.withColumn("_t", fields)
-
-    def field(name: str) -> Column:
-        return blank_to_null(F.try_element_at("_t", F.lit(name)))
-
-    malformed = F.col("_t").isNull()
+    text = F.col(payload).cast("string")
+    # columns by number: names that differ by case only would be ambiguous
+    column = {name: f"_f{i}" for i, name in enumerate(TRADE_REQUIRED)}
+    texts = df.select("*", F.json_tuple(text, *column).alias(*column.values()))
+    number = {name: f"{column[name]}_n" for name in ("E", "a", "p", "q", "T")}
+    read = computed_once(
+        texts,
+        **{
+            c: F.col(column[n]).try_cast("bigint") if n == "a" else to_double(column[n])
+            for n, c in number.items()
+        },
+    )
+    # whether the text is an object matters only when no field was found in it
+    nothing = F.coalesce(*[F.col(c) for c in column.values()]).isNull()
+    malformed = nothing & F.json_object_keys(text).isNull()
     rules = {"malformed": malformed}
-    for name in TRADE_REQUIRED:
-        rules[f"missing_{name}"] = ~malformed & field(name).isNull()
-    typed = {
-        "E": epoch_ms_to_ts(field("E")),
-        "a": field("a").try_cast("bigint"),
-        "p": to_double(field("p")),
-        "q": to_double(field("q")),
-        "T": epoch_ms_to_ts(field("T")),
+    for name, c in column.items():
+        rules[f"missing_{name}"] = _absent(c) & ~malformed
+    unreadable = {
+        "E": ~is_epoch_ms(number["E"]),
+        "a": F.col(number["a"]).isNull(),
+        "p": _not_a_number(number["p"]),
+        "q": _not_a_number(number["q"]),
+        "T": ~is_epoch_ms(number["T"]),
     }
-    for name, value in typed.items():
-        unreadable = value.isNull()
-        if name in ("p", "q"):
-            unreadable = unreadable | F.isnan(value)
-        rules[f"type_{name}"] = field(name).isNotNull() & unreadable
-    tagged = tag_rejects(parsed, rules)
-    return tagged.select(
+    for name, bad in unreadable.items():
+        rules[f"type_{name}"] = ~_absent(column[name]) & bad
+    return tag_rejects(read, rules).select(
         *[F.col(c) for c in df.columns if c != payload],
-        field("s").alias("symbol"),
-        typed["p"].alias("price"),
-        typed["q"].alias("quantity"),
-        field("T").alias("event_time"),
-        typed["T"].alias("event_ts"),
-        typed["a"].alias("trade_id"),
-        F.col(payload).cast("string").alias("payload"),
+        F.col(column["s"]).alias("symbol"),
+        F.col(number["p"]).alias("price"),
+        F.col(number["q"]).alias("quantity"),
+        F.col(column["T"]).alias("event_time"),
+        epoch_ms_to_ts(number["T"]).alias("event_ts"),
+        F.col(number["a"]).alias("trade_id"),
+        text.alias("payload"),
         REASON,
     )
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
-
 from marketlake.operators.quality import QualityError
 from marketlake.plans import jobs
+from marketlake.plans.session import builder
 
 JOBS = ("ticks", "rates", "analytics", "checks", "serving", "run")
 
@@ -19,6 +18,9 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("lake", help="root folder of the lake")
     made.add_argument("--date", help="YYYY-MM-DD; all dates when omitted")
     made.add_argument("--hour", type=int, choices=range(24), metavar="0-23")
+    made.add_argument(
+        "--slack-hours", type=int, default=1, help="ticks job: longest landing delay"
+    )
     made.add_argument("--debug", action="store_true", help="print counts and samples")
     return made
 
@@ -27,11 +29,13 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.hour is not None and (args.job != "ticks" or args.date is None):
         parser().error("--hour belongs to the ticks job and needs --date")
-    spark = SparkSession.builder.appName(f"marketlake-{args.job}").getOrCreate()
+    spark = builder(f"marketlake-{args.job}").getOrCreate()
     lake = jobs.Lake(args.lake.rstrip("/"))
     try:
         if args.job == "ticks":
-            seen = jobs.tick_etl(spark, lake, args.date, args.hour)
+            seen = jobs.tick_etl(
+                spark, lake, args.date, args.hour, slack_hours=args.slack_hours
+            )
         elif args.job == "rates":
             seen = jobs.rate_etl(spark, lake, args.date)
         elif args.job == "analytics":

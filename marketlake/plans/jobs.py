@@ -96,15 +96,18 @@ def tick_etl(
     columns: list[str] | None = None,
     dedup_on: tuple[str, ...] | None = None,
     load_ts: dt.datetime | None = None,
+    slack_hours: int = 1,
 ) -> dict[str, int]:
     """Raw tick files to hourly bars, replacing the bars of the covered hours only.
 
     With ``day`` (and ``hour``) the bars of those event hours are rebuilt from their
-    folders and the neighbouring ones, so a late tick never shrinks another hour's bar.
-    ``dedup_on`` names the columns that identify a trade, to drop replays.
+    folders and those within ``slack_hours``, so a tick landed late neither goes missing
+    nor replaces another hour's bar by a partial one. ``dedup_on`` names the columns
+    that identify a trade, to drop replays.
     """
     raw = read_tick_csv(spark, lake.raw_ticks, columns)
-    tagged, seen = _observed(normalize_ticks(in_folders(raw, day, hour)), "ticks")
+    near = in_folders(raw, day, hour, slack_hours)
+    tagged, seen = _observed(normalize_ticks(near), "ticks")
     ticks = in_event_time(valid_rows(tagged), day, hour)
     if dedup_on:
         ticks = dedup_trades(ticks, dedup_on)

@@ -75,12 +75,13 @@ def _between(ts: Column, start: dt.datetime, end: dt.datetime) -> Column:
 
 
 def in_folders(
-    raw: DataFrame, day: str | None, hour: int | None = None, slack_hours: int = 24
+    raw: DataFrame, day: str | None, hour: int | None = None, slack_hours: int = 1
 ) -> DataFrame:
     """Folders that can hold ticks of a date or hour.
 
     A tick may be landed in a neighbouring folder, so folders within ``slack_hours``
-    are read too. The date bound alone already prunes partitions.
+    are read too: set it to the longest delay between a trade and its landing. All
+    conditions are on folder columns, so other folders are not read.
     """
     wanted = span(day, hour)
     if wanted is None:
