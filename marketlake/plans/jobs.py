@@ -97,13 +97,15 @@ def tick_etl(
     dedup_on: tuple[str, ...] | None = None,
     load_ts: dt.datetime | None = None,
     slack_hours: int = 1,
+    write_tasks: int | None = None,
 ) -> dict[str, int]:
     """Raw tick files to hourly bars, replacing the bars of the covered hours only.
 
     With ``day`` (and ``hour``) the bars of those event hours are rebuilt from their
     folders and those within ``slack_hours``, so a tick landed late neither goes missing
     nor replaces another hour's bar by a partial one. ``dedup_on`` names the columns
-    that identify a trade, to drop replays.
+    that identify a trade, to drop replays. ``write_tasks`` helps when many tiny hour
+    folders are written at once.
     """
     raw = read_tick_csv(spark, lake.raw_ticks, columns)
     near = in_folders(raw, day, hour, slack_hours)
@@ -112,7 +114,9 @@ def tick_etl(
     if dedup_on:
         ticks = dedup_trades(ticks, dedup_on)
     made = hourly_bars(ticks, _stamp(load_ts))
-    replace_partitions(made, lake.table("trades_agg_hourly"), ("date", "hour"))
+    replace_partitions(
+        made, lake.table("trades_agg_hourly"), ("date", "hour"), tasks=write_tasks
+    )
     if seen.get["rejected"]:
         own = in_folders(raw, day, hour, slack_hours=0)
         label = "all" if day is None else day if hour is None else f"{day}T{hour:02d}"

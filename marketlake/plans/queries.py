@@ -401,16 +401,24 @@ def quality_report_all(spark, sf_dir):
 TICK_HEADER = ("symbol", "price", "quantity", "event_time", "trade_id")
 
 
+def _tasks(spark) -> int:
+    """Writing tasks where a query makes hundreds of small hour folders."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _landed_lake(spark, sf_dir, name) -> jobs.Lake:
     lake = jobs.Lake(shared_folder(spark, name))
     raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
-    land_ticks_csv(raw, lake.raw_ticks, TICK_HEADER)
+    land_ticks_csv(raw, lake.raw_ticks, TICK_HEADER, _tasks(spark))
     return lake
 
 
 def lake_bars_from_csv(spark, sf_dir):
     lake = _landed_lake(spark, sf_dir, "bars")
-    jobs.tick_etl(spark, lake, columns=list(TICK_HEADER), dedup_on=("symbol", "trade_id"))
+    jobs.tick_etl(
+        spark, lake, columns=list(TICK_HEADER), dedup_on=("symbol", "trade_id"),
+        write_tasks=_tasks(spark),
+    )
     return _rounded_bars(lake.read(spark, "trades_agg_hourly").drop("load_ts"))
 
 
@@ -496,7 +504,8 @@ def _event_lake(spark, sf_dir, name, partition_by=("date",)) -> jobs.Lake:
     """Lake with bars of the events, and their closes in the role of rates."""
     lake = jobs.Lake(shared_folder(spark, name))
     replace_partitions(
-        inputs.hourly(spark, sf_dir), lake.table("trades_agg_hourly"), partition_by
+        inputs.hourly(spark, sf_dir), lake.table("trades_agg_hourly"), partition_by,
+        tasks=_tasks(spark),
     )
     closes = daily_close(lake.read(spark, "trades_agg_hourly"))
     fx = closes.select(
@@ -543,7 +552,9 @@ def lake_partition_coverage(spark, sf_dir):
     """Dates and hours of the bar table, from the catalog alone."""
     lake = jobs.Lake(shared_folder(spark, "coverage"))
     root = lake.table("trades_agg_hourly")
-    replace_partitions(inputs.hourly(spark, sf_dir), root, ("date", "hour"))
+    replace_partitions(
+        inputs.hourly(spark, sf_dir), root, ("date", "hour"), tasks=_tasks(spark)
+    )
     name = "bars_" + lake.root.rsplit("-", 1)[-1][:12]
     define_table(spark, name, HOURLY_BARS, root, ("date", "hour"))
     found = covered(spark, name, "date", "hour")
@@ -659,7 +670,7 @@ def stream_landing(spark, sf_dir):
     ticks = inputs.as_ticks(stream_table(spark, f"{sf_dir}/events.parquet", schema))
     start_landing(
         ticks.withColumn("event_time", ntz_to_epoch_ms("event_ts")), f"{root}/raw", f"{root}/checkpoint",
-        columns, AVAILABLE_NOW,
+        columns, AVAILABLE_NOW, _tasks(spark),
     ).awaitTermination()
     valid = valid_rows(normalize_ticks(read_tick_csv(spark, f"{root}/raw", columns)))
     return valid.groupBy(

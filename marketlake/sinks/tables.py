@@ -17,16 +17,22 @@ from marketlake.schemas import RATE_JSON
 from marketlake.sources.tables import partition_predicate, read_table_or_none
 
 
-def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Gather rows of one partition folder for few, large files.
 
     ``rebalance`` lets adaptive execution merge small partitions and *split* a hot one
     by size, which ``repartition`` by the same columns would leave to a single task.
+    Where many tiny folders are written, their number costs more than their size:
+    ``tasks`` then spreads the folders over that many tasks.
     """
-    return df.hint("rebalance", *columns) if columns else df
+    if not columns:
+        return df
+    if tasks is not None:
+        return df.repartition(tasks, *columns)
+    return df.hint("rebalance", *columns)
 
 
-def _write(df, root, partition_by, mode, file_format, sort_by, **options):
+def _write(df, root, partition_by, mode, file_format, sort_by, options):
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite").format(file_format)
@@ -41,12 +47,12 @@ def replace_partitions(
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
     file_format: str = "parquet",
-    gather: bool = True,
+    tasks: int | None = None,
     **options: str,
 ) -> None:
     """Dynamic overwrite: only the partitions present in ``df`` are replaced."""
-    df = spread(df, partition_by) if gather else df
-    _write(df, root, partition_by, "dynamic", file_format, sort_by, **options)
+    df = spread(df, partition_by, tasks)
+    _write(df, root, partition_by, "dynamic", file_format, sort_by, options)
 
 
 def replace_table(
@@ -55,12 +61,12 @@ def replace_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     file_format: str = "parquet",
-    gather: bool = True,
+    tasks: int | None = None,
     **options: str,
 ) -> None:
     """Static overwrite of the whole table, partitioned or not."""
-    df = spread(df, partition_by) if gather else df
-    _write(df, root, partition_by, "static", file_format, sort_by, **options)
+    df = spread(df, partition_by, tasks)
+    _write(df, root, partition_by, "static", file_format, sort_by, options)
 
 
 def _only_in(df: DataFrame, partitions: Sequence[Mapping[str, object]]) -> DataFrame:
@@ -109,7 +115,9 @@ def upsert_partitions(
     )
 
 
-def land_ticks_csv(ticks: DataFrame, root: str, columns: Sequence[str]) -> None:
+def land_ticks_csv(
+    ticks: DataFrame, root: str, columns: Sequence[str], tasks: int | None = None
+) -> None:
     """Batch landing of raw ticks as CSV with a header, ``date=/hour=`` folders.
 
     Needs ``event_ts``; the folders of the ticks at hand are replaced.
@@ -117,7 +125,9 @@ def land_ticks_csv(ticks: DataFrame, root: str, columns: Sequence[str]) -> None:
     landed = ticks.select(
         *columns, F.to_date("event_ts").alias("date"), F.hour("event_ts").alias("hour")
     )
-    replace_partitions(landed, root, ("date", "hour"), file_format="csv", header="true")
+    replace_partitions(
+        landed, root, ("date", "hour"), file_format="csv", tasks=tasks, header="true"
+    )
 
 
 def land_rates_json(spark: SparkSession, rates: DataFrame, root: str) -> None:
@@ -138,4 +148,4 @@ def append_rejects(tagged_rejects: DataFrame, root: str, run_id: str) -> None:
     if REASON not in tagged_rejects.columns:
         raise ValueError(f"rejects need a {REASON} column")
     out = tagged_rejects.withColumn("run", F.lit(run_id))
-    _write(out, root, ("run",), "dynamic", "parquet", ())
+    _write(out, root, ("run",), "dynamic", "parquet", (), {})

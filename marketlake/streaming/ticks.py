@@ -70,7 +70,7 @@ def route_batch(valid_root: str, rejects_root: str):
             good = valid_rows(kept).drop("payload").withColumn("date", F.to_date("event_ts"))
             replace_partitions(good, valid_root, ("date", "batch"))
             bad = rejected_rows(kept).select("payload", REASON, "batch")
-            replace_partitions(bad, rejects_root, ("batch",), gather=False)
+            replace_partitions(bad, rejects_root, ("batch",))
         finally:
             kept.unpersist()
 
@@ -99,15 +99,19 @@ def start_landing(
     checkpoint: str,
     columns: Sequence[str],
     trigger: dict | None = None,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Land raw ticks as CSV under ``date=/hour=`` once per trigger (a minute by default).
 
-    The trigger is the merge window: each minute gives one file per writing task. The
-    file sink's log makes it exactly once.
+    The trigger is the merge window: each minute gives one file per folder and writing
+    task. The file sink's log makes it exactly once. With ``tasks``, the rows of a folder
+    are gathered into one file; leave it out for a stream too large for that.
     """
     landed = ticks.select(
         *columns, F.to_date("event_ts").alias("date"), F.hour("event_ts").alias("hour")
     )
+    if tasks is not None:
+        landed = landed.repartition(tasks, "date", "hour")
     return (
         landed.writeStream.format("csv")
         .option("header", True)
