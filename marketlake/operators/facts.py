@@ -28,19 +28,22 @@ def monthly_facts(daily: DataFrame) -> DataFrame:
 
 def daily_facts(
     daily: DataFrame,
-    volume: DataFrame,
+    volume: DataFrame | None,
     correlation: DataFrame,
     correlation_columns: Sequence[str] = (CORRELATION_COLUMN,),
 ) -> DataFrame:
     """Daily close and return, with volumes and the per-date correlation.
 
+    ``volume`` is None when ``daily`` has the volume columns already.
+
     The correlation has at most one row per calendar day. No broadcast is forced:
     Spark broadcasts it when its measured size allows and falls back to a
     skew-handled sort-merge join otherwise.
     """
+    if volume is not None:
+        daily = daily.join(volume, ["symbol", "date"], "left")
     return (
-        daily.join(volume, ["symbol", "date"], "left")
-        .join(correlation.select("date", *correlation_columns), "date", "left")
+        daily.join(correlation.select("date", *correlation_columns), "date", "left")
         .select(
             "symbol", "date", "close", "ret_1d",
             "volume_sum", "volume_quote_sum", "trade_count_sum",

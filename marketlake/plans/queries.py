@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import ntz_to_epoch_ms, path_attributes
 from marketlake.operators import cells as cell_ops
-from marketlake.operators.bars import bars, daily_close, daily_volume
+from marketlake.operators.bars import bars, daily_close, daily_summary, daily_volume
 from marketlake.operators.cleaning import (
     REASON,
     dedup_trades,
@@ -34,7 +34,7 @@ from marketlake.operators.coverage import latest_common, latest_hour
 from marketlake.operators.facts import daily_facts, monthly_facts
 from marketlake.operators.latest import latest_wins, upsert
 from marketlake.operators.quality import quality_report
-from marketlake.operators.returns import rolling_volatility, simple_return
+from marketlake.operators.returns import daily_returns, rolling_volatility, simple_return
 from marketlake.operators.series import Blocks
 from marketlake.plans import inputs, jobs
 from marketlake.plans.shared import shared_folder
@@ -275,7 +275,8 @@ def _corr(daily):
 
 
 def _facts(spark, sf_dir):
-    hourly, daily = inputs.hourly(spark, sf_dir), inputs.daily(spark, sf_dir)
+    hourly = inputs.hourly(spark, sf_dir)
+    daily = daily_returns(daily_close(hourly))
     return daily_facts(daily, daily_volume(hourly), _corr(daily))
 
 
@@ -290,7 +291,9 @@ def rowkeys(spark, sf_dir):
 
 
 def _cells(spark, sf_dir):
-    return cell_ops.to_cells(_facts(spark, sf_dir), SPEC)
+    """Cells straight from the bars, close and volumes in one pass."""
+    daily = daily_returns(daily_summary(inputs.hourly(spark, sf_dir)))
+    return cell_ops.to_cells(daily_facts(daily, None, _corr(daily)), SPEC)
 
 
 def _numbers(cells: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ SUGGESTED = {
     # bars keep a percentile sketch per group: at the default of 128 groups per task
     # the hash aggregate would fall back to sorting all remaining ticks
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
-    # windows over long states of streams
+    # state of streams off the heap
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

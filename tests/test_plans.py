@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from marketlake.plans import inputs
-from marketlake.operators.bars import bars, daily_close, daily_volume
+from marketlake.operators.bars import bars, daily_close, daily_summary, daily_volume
 from marketlake.operators.cells import get_row, scan_rows
 from marketlake.operators.coverage import latest_common
 
@@ -54,7 +54,7 @@ def test_bars_are_aggregated_before_the_one_shuffle(spark):
 def test_daily_rollups_of_stored_bars_are_hash_aggregates(spark, tmp_path):
     inputs.hourly(spark, SF_DIR).write.parquet(str(tmp_path / "bars"))
     stored = spark.read.parquet(str(tmp_path / "bars"))
-    for made in (daily_close(stored), daily_volume(stored)):
+    for made in (daily_close(stored), daily_volume(stored), daily_summary(stored)):
         text = plan(made)
         assert "SortAggregate" not in text and text.count("Exchange") == 1
 
