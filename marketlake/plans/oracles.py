@@ -54,7 +54,7 @@ def _bars(source: str, unit: str, bucket: str) -> str:
        first(price ORDER BY event_ts, trade_id) AS price_open,
        last(price ORDER BY event_ts, trade_id) AS price_close,
        max(price) AS price_high, min(price) AS price_low,
-       round(avg(price), 6) + 0.0 AS price_avg,
+       round(avg(price), 9) + 0.0 AS price_avg,
        quantile_disc(price, 0.95) AS price_p95,
        round(sum(quantity), 6) + 0.0 AS volume_base,
        round(sum(quantity * price), 4) + 0.0 AS volume_quote,

@@ -103,7 +103,10 @@ def _round(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def _rounded_bars(df: DataFrame) -> DataFrame:
-    return _round(_round(df, 6, "price_avg", "volume_base"), 4, "volume_quote")
+    # prices have two decimals, so a mean of 32 of them can end in a half at 6 digits,
+    # where engines may round either way; 9 digits compare more and meet no such tie
+    # below 256 prices
+    return _round(_round(_round(df, 9, "price_avg"), 6, "volume_base"), 4, "volume_quote")
 
 
 # --- raw records ---------------------------------------------------------------
