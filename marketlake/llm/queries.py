@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlake.llm.bpe import encode_documents
 from marketlake.llm.exact import exact_groups
 from marketlake.llm.mixing import mix
+from marketlake.llm.near import near_components
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -36,7 +41,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op4_exact_dedup, op7_bpe)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op4_exact_dedup, op7_bpe)}
 
 
 EXACT_SQL = r"""

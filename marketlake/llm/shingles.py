@@ -40,10 +40,10 @@ def shingle_set(words: np.ndarray, width: int = WORDS_PER_SHINGLE) -> np.ndarray
     if not len(words):
         return words
     if len(words) < width:
-        whole = _SHORT + np.uint64(len(words))
-        for word in words:
-            whole = mixed(np.atleast_1d(whole * _STEP + word))[0]
-        return np.array([whole], np.uint64)
+        whole = np.array([_SHORT], np.uint64)
+        for k in range(len(words)):
+            whole = mixed(whole * _STEP + words[k : k + 1])
+        return whole
     runs = words[: len(words) - width + 1].copy()
     for k in range(1, width):
         runs = mixed(runs) + words[k : len(words) - width + 1 + k]
