@@ -193,3 +193,20 @@ def mix(
         "doc_id", "source", "size", "source_size", "target",
         repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"),
     )
+
+
+def drop_unmixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how
+) -> DataFrame:
+    """The rows of the mix with all columns of ``docs``: each document as often as it is taken. Rows of
+    one id are taken together, as often as the first of them; rows without an id are not taken."""
+    taken = (
+        mix(docs, id_col, text_col, source_col, **how)
+        .where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.max("repeats").alias("repeats"))
+        .where(F.col("repeats") > 0)
+    )
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    times = F.explode(F.array_repeat(F.lit(True), F.col("repeats").cast("int")))
+    joined = docs.select(row, F.col(id_col).alias("doc_id")).join(taken, "doc_id")
+    return joined.select("row", times.alias("time")).select("row.*")

@@ -10,6 +10,7 @@ from marketlake.llm.bpe import encode_documents
 from marketlake.llm.exact import exact_groups
 from marketlake.llm.mixing import mix
 from marketlake.llm.near import near_components
+from marketlake.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,12 +37,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), word_vocabulary(), ids=False)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op4_exact_dedup, op7_bpe)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op4_exact_dedup, op6_toxicity, op7_bpe)}
 
 
 EXACT_SQL = r"""
