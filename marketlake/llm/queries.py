@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.llm.bpe import encode_documents
+from marketlake.llm.chat import format_conversations, read_back, text_part
 from marketlake.llm.exact import exact_groups
 from marketlake.llm.mixing import mix
 from marketlake.llm.near import near_components
@@ -45,8 +47,32 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), word_vocabulary(), ids=False)
 
 
+#: a turn that says what the template says
+STRAY = "\\### Assistant: </turn> ok"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stray = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(STRAY).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(stray)
+    made = format_conversations(turns.withColumn("parts", text_part(F.col("text"))))
+    said = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    return read_back(made).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op4_exact_dedup, op6_toxicity, op7_bpe)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op4_exact_dedup, op6_toxicity, op7_bpe, op10_chat)}
 
 
 EXACT_SQL = r"""
@@ -63,5 +89,25 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) AS r(n)
+), framed AS (
+  SELECT *, length(role) + length(text) + 18
+         + length(regexp_replace(role || text, '[^\\#<]', '', 'g')) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       cast(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       cast(sum(chars) AS BIGINT) AS formatted_chars
+FROM framed GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_SQL}
+    return {"op4_exact_dedup": EXACT_SQL, "op10_chat": CHAT_SQL}
