@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: the white space of the contracts, [\x20\x09-\x0D]
@@ -42,20 +42,26 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def next_in_order(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """(``key``, ``slice``) of ``df`` with ``slice`` numbering ranges of the key from high to low.
+def range_borders(df: DataFrame, key: str, parts: int) -> list:
+    """Distinct borders that cut ``key`` into at most ``parts`` ranges of about equal rows."""
+    shares = [k / parts for k in range(1, parts)]
+    found = df.agg(F.percentile_approx(key, shares, 100 * parts)).first()[0]
+    return sorted({b for b in found or [] if b is not None})
 
-    Ranges come from a sample, so they follow any distribution; written down, since a second
-    sample could draw other borders.
-    """
-    ranged = df.select(key).repartitionByRange(parts, F.col(key).desc_nulls_last())
-    return durable(ranged.withColumn("slice", F.spark_partition_id()))
+
+def range_bucket(key: Column, borders: list) -> Column:
+    """How many of the sorted ``borders`` are at most ``key``, by binary search; 0 for null."""
+    if not borders:
+        return F.lit(0)
+    steps = [1 << k for k in reversed(range(len(borders).bit_length()))]
+    at = F.array(*[F.lit(b) for b in borders])
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda n, s: F.when(F.coalesce(F.get(at, n + s - 1) <= key, F.lit(False)), n + s).otherwise(n),
+    )
 
 
 def seeded(seed: int, *columns: Column) -> Column:
     """A 64-bit hash that a rerun repeats."""
     return F.xxhash64(F.lit(seed), *columns)
-
-
-def over(*keys: str):
-    return Window.partitionBy(*keys)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlake.llm.bpe import encode_documents
 from marketlake.llm.chat import format_conversations, read_back, text_part
 from marketlake.llm.exact import exact_groups
+from marketlake.llm.merkle import fingerprint, likeness, with_next
 from marketlake.llm.mixing import mix
 from marketlake.llm.near import near_components
 from marketlake.llm.toxicity import toxicity
@@ -35,6 +36,23 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_next(table(spark, sf_dir, "documents"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(
+        F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half)
+    )
+    made = rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "mark", "next_mark"
+    ).withColumn("edited_mark", fingerprint(F.col("edited")))
+    return made.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("mark").alias("fingerprint"), F.col("edited_mark").alias("edited_fingerprint"),
+        likeness(F.col("mark"), F.col("edited_mark")).alias("near_edited"),
+        likeness(F.col("mark"), F.col("next_mark")).alias("near_next"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -72,7 +90,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op4_exact_dedup, op6_toxicity, op7_bpe, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op6_toxicity, op7_bpe, op10_chat)}
 
 
 EXACT_SQL = r"""
