@@ -10,6 +10,7 @@ is encoded whole; repeated rows repeat.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
@@ -21,7 +22,24 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CACHE_PIECES = 1 << 18
+#: pieces held in each of two generations: the older is dropped when the younger is full
+_CACHE_PIECES = 3 << 17
+_POSITION = (1 << 40) - 1
+
+
+class Recent(dict):
+    """The results met lately, at most two generations of ``_CACHE_PIECES``."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def add(self, key, value):
+        if len(self) >= _CACHE_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 # fixed values: the split pattern of the vocabulary file; its \s is Unicode's White_Space
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -51,56 +69,72 @@ class WordBpe:
         self.strings = [""] * size
         for text, number in [*self.ids.items(), *self.special.items()]:
             self.strings[number] = text
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: pair of ids -> (rank above the bits of a position, id of the merged symbol)
+        self.merges: dict[int, tuple[int, int]] = {}
         for rank, (left, right) in enumerate(model["merges"]):
             joined = left.removesuffix(self.end) if self.end and left.endswith(self.end) else left
-            self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[joined + right])
-        self.letters = byte_letters()
+            self.merges[self.ids[left] << 20 | self.ids[right]] = (rank << 40, self.ids[joined + right])
+        letters = byte_letters()
+        self.first = [self.ids[x] for x in letters]
+        self.closing = [self.ids[x + self.end] for x in letters]
         self.marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        self.known: dict[bytes, list[int]] = {}
+        self.known, self.pieces = Recent(), Recent()
 
     def piece(self, text: str) -> list[int]:
         """Ids of one pre-token."""
-        letters = [self.letters[b] for b in text.encode("utf-8")]
-        letters[-1] += self.end
-        symbols = [self.ids[x] for x in letters]
-        last = len(symbols) - 1
-        before, after = list(range(-1, last)), [*range(1, last + 1), -1]
-        alive = [True] * len(symbols)
-        queue: list[tuple[int, int, int, int]] = []
-
-        def offer(left: int) -> None:
-            right = after[left] if left >= 0 else -1
-            if right >= 0 and (found := self.merges.get((symbols[left], symbols[right]))):
-                heapq.heappush(queue, (found[0], left, symbols[left], symbols[right]))
-
-        for at in range(last):
-            offer(at)
+        raw = text.encode("utf-8")
+        last = len(raw) - 1
+        first = self.first
+        symbols = [first[b] for b in raw]
+        symbols[-1] = self.closing[raw[-1]]
+        merges = self.merges
+        # an entry is rank and left position in one integer, so the queue orders by both
+        queue = [
+            found[0] | at for at in range(last)
+            if (found := merges.get(symbols[at] << 20 | symbols[at + 1]))
+        ]
+        if not queue:
+            return symbols
+        heapq.heapify(queue)
+        before, after = list(range(-1, last)), list(range(1, last + 2))
         while queue:
-            _, left, first, second = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            left = entry & _POSITION
             right = after[left]
-            if not alive[left] or right < 0 or symbols[left] != first or symbols[right] != second:
+            if symbols[left] < 0 or right > last:
+                continue  # stale: merged away, or nothing left to merge with
+            found = merges.get(symbols[left] << 20 | symbols[right])
+            if not found or found[0] | left != entry:
                 continue  # stale: a neighbour has merged since
-            symbols[left] = self.merges[first, second][1]
-            alive[right] = False
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-            offer(left)
-            offer(before[left])
-        return [s for s, live in zip(symbols, alive) if live]
+            symbols[left], symbols[right] = found[1], -1
+            far = after[left] = after[right]
+            if far <= last:
+                before[far] = left
+                if found := merges.get(symbols[left] << 20 | symbols[far]):
+                    heapq.heappush(queue, found[0] | left)
+            near = before[left]
+            if near >= 0 and (found := merges.get(symbols[near] << 20 | symbols[left])):
+                heapq.heappush(queue, found[0] | near)
+        return [s for s in symbols if s >= 0]
 
     def _plain(self, text: str) -> list[int]:
         # one code point at a time, as the library lower-cases: no rule for a final sigma
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return [number for found in _PIECE.findall(text) for number in self.piece(found)]
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        out: list[int] = []
+        for found in _PIECE.findall(text.lower()):
+            ids = self.pieces.get(found)
+            if ids is None:
+                ids = self.pieces.older.get(found) or self.piece(found)
+                if len(found) <= 64:
+                    self.pieces.add(found, ids)
+            out += ids
+        return out
 
     def run(self, raw: bytes) -> list[int]:
         """Ids of a run without ASCII blanks; no pre-token and no special token reaches past one."""
-        if raw in self.known:
-            return self.known[raw]
-        if len(self.known) > _CACHE_PIECES:
-            self.known.clear()
+        if raw in self.known.older:
+            return self.known.add(raw, self.known.older[raw])
         text, out, at = raw.decode("utf-8"), [], 0
         for mark in self.marks.finditer(text):
             out += self._plain(text[at : mark.start()])
@@ -108,7 +142,7 @@ class WordBpe:
             at = mark.end()
         out += self._plain(text[at:])
         if len(raw) <= 64:
-            self.known[raw] = out
+            self.known.add(raw, out)
         return out
 
     def encode(self, text: str | None) -> list[int]:
@@ -122,6 +156,12 @@ class WordBpe:
         return " ".join(map(self.strings.__getitem__, ids))
 
 
+@functools.lru_cache(maxsize=2)
+def vocabulary_of(definition: str) -> WordBpe:
+    """One encoder for each Python worker, kept from task to task."""
+    return WordBpe(definition)
+
+
 def encode_documents(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True
 ) -> DataFrame:
@@ -138,17 +178,18 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        bpe = WordBpe(shared.value)
+        bpe = vocabulary_of(shared.value)
         for batch in batches:
             rows = []
             for text in batch["text"].to_pylist():
                 tokens = bpe.encode(text)
-                packed = np.array(tokens, "<u4").tobytes()
+                numbers = np.fromiter(tokens, "<u4", len(tokens))
+                packed = numbers.tobytes()
                 rows.append((
                     len(tokens),
                     hashlib.sha256(packed).hexdigest(),
                     hashlib.sha256(bpe.decode(tokens).encode("utf-8")).hexdigest(),
-                    np.array(tokens, np.int32) if ids else None,
+                    numbers.astype(np.int32) if ids else None,
                 ))
             count, hashed, decoded, arrays = zip(*rows) if rows else ((),) * 4
             columns = [
