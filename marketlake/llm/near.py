@@ -1,7 +1,7 @@
 """Near-duplicate detection with b-bit MinHash.
 
-One pass over the texts makes a signature for each: the low ``BITS`` bits of ``MINIMA`` minima, packed
-into long columns, and ``BANDS`` band keys of ``ROWS`` whole minima each. Equal sets collapse to one node
+One pass over the texts makes a signature for each: the low ``BITS`` bits of its minima, packed
+into long columns, and band keys of some whole minima each. Equal sets collapse to one node
 first. Nodes that share a band key are candidates; how many packed lanes differ, by bit counts and
 corrected for chance collisions, estimates their similarity; what may reach the threshold is confirmed on
 the full shingle sets.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,82 +36,102 @@ from marketlake.llm.common import durable
 from marketlake.llm.components import components
 from marketlake.llm.shingles import WORDS_PER_SHINGLE, WordHashes, common, mixed, shingle_set
 
-MINIMA, BITS = 128, 4
-BANDS, ROWS = 25, 5
-LANES = MINIMA * BITS // 64
+BITS = 4
 #: lowest bit of each lane of a long
 LOW = int("1" * 16, 16)
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 19
 #: ids that may be broadcast to pick texts map-side (about 10 MB); more are joined by a shuffle
 BROADCAST_IDS = 200_000
 
-_LANE_COLUMNS = [f"lane{k}" for k in range(LANES)]
-_FACTORS = np.random.default_rng(7).integers(1, 2**63, (2, MINIMA), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    out = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
+@dataclass(frozen=True)
+class Banding:
+    """How many minima a signature has, a multiple of 16, and how many bands of how many of them."""
+
+    minima: int = 128
+    bands: int = 25
+    rows: int = 5
+
+    @property
+    def lanes(self) -> int:
+        return self.minima * BITS // 64
+
+    @property
+    def lane_columns(self) -> list[str]:
+        return [f"lane{k}" for k in range(self.lanes)]
+
+
+DOCUMENTS = Banding()
+_FACTORS = np.random.default_rng(7).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def minima(shingles: np.ndarray, how: Banding) -> np.ndarray:
+    factors, out = _FACTORS[:, : how.minima], np.full(how.minima, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 512):  # blocks stay in the processor's cache
-        out = np.minimum(out, (shingles[at : at + 512, None] * _FACTORS[0] + _FACTORS[1]).min(axis=0))
+        out = np.minimum(out, (shingles[at : at + 512, None] * factors[0] + factors[1]).min(axis=0))
     return out
 
 
-def packed(low: np.ndarray) -> np.ndarray:
+def packed(low: np.ndarray, how: Banding) -> np.ndarray:
     """Low bits of the minima, 16 lanes to a long."""
-    lanes = (low & np.uint64(15)).reshape(LANES, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    lanes = (low & np.uint64(15)).reshape(how.lanes, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
     return np.bitwise_or.reduce(lanes, axis=1)
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    rows = low[: BANDS * ROWS].reshape(BANDS, ROWS)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
+def band_keys(low: np.ndarray, how: Banding) -> np.ndarray:
+    rows = low[: how.bands * how.rows].reshape(how.bands, how.rows)
+    keys = np.arange(1, how.bands + 1, dtype=np.uint64)
+    for k in range(how.rows):
         keys = mixed(keys) + rows[:, k]
     return mixed(keys)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, n, digest1, digest2, lanes..., bands), one row for each row of ``docs``."""
+def signatures(
+    docs: DataFrame, id_col: str, text_col: str, width: int, how: Banding, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(id, n, digest1, digest2, lanes..., bands, carry...), one row for each row of ``docs``."""
+    lanes = how.lanes
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            sizes, keys = [], np.zeros((batch.num_rows, 2 + LANES + BANDS), np.uint64)
+            sizes, keys = [], np.zeros((batch.num_rows, 2 + lanes + how.bands), np.uint64)
             for row, text in enumerate(batch["text"]):
                 shingles = shingle_set(words.of(text.as_py()), width)
                 sizes.append(len(shingles))
                 if len(shingles):
-                    low = minima(shingles)
+                    low = minima(shingles, how)
                     keys[row, :2] = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.uint64)
-                    keys[row, 2 : 2 + LANES] = packed(low)
-                    keys[row, 2 + LANES :] = band_keys(low)
+                    keys[row, 2 : 2 + lanes] = packed(low, how)
+                    keys[row, 2 + lanes :] = band_keys(low, how)
             keys = keys.view(np.int64)
             columns = [batch["id"], pa.array(sizes, pa.int64())]
-            columns += [pa.array(keys[:, k].copy()) for k in range(2 + LANES)]
+            columns += [pa.array(keys[:, k].copy()) for k in range(2 + lanes)]
             columns.append(pa.FixedSizeListArray.from_arrays(
-                pa.array(keys[:, 2 + LANES :].reshape(-1)), BANDS).cast(pa.list_(pa.int64())))
+                pa.array(keys[:, 2 + lanes :].reshape(-1)), how.bands).cast(pa.list_(pa.int64())))
+            columns += [batch[c] for c in carry]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["id", "n", "digest1", "digest2", *_LANE_COLUMNS, "bands"]
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
-    lanes = ", ".join(f"{c} long" for c in _LANE_COLUMNS)
-    return narrow.mapInArrow(
-        sign, f"id {kind}, n long, digest1 long, digest2 long, {lanes}, bands array<long>"
-    )
+    names = ["id", "n", "digest1", "digest2", *how.lane_columns, "bands", *carry]
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *carry)
+    kinds = {f.name: f.dataType.simpleString() for f in narrow.schema}
+    longs = ", ".join(f"{c} long" for c in ("n", "digest1", "digest2", *how.lane_columns))
+    rest = "".join(f", {c} {kinds[c]}" for c in carry)
+    return narrow.mapInArrow(sign, f"id {kinds['id']}, {longs}, bands array<long>{rest}")
 
 
-def most_differing(threshold: float) -> int:
+def most_differing(threshold: float, how: Banding = DOCUMENTS) -> int:
     """Lanes that may differ for the estimate to lie within four standard errors of ``threshold``."""
     chance = 2.0**-BITS
     equal = chance + (1 - chance) * threshold
-    return math.floor(MINIMA * (1 - equal) + 4 * math.sqrt(MINIMA * equal * (1 - equal)))
+    return math.floor(how.minima * (1 - equal) + 4 * math.sqrt(how.minima * equal * (1 - equal)))
 
 
-def differing(left: str, right: str) -> Column:
+def differing(left: str, right: str, how: Banding = DOCUMENTS) -> Column:
     """Number of lanes in which two packed signatures differ."""
     total = F.lit(0)
-    for name in _LANE_COLUMNS:
+    for name in how.lane_columns:
         bits = F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}"))
         folded = bits
         for k in range(1, BITS):
@@ -176,14 +197,14 @@ def _rows_of_lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def _candidates(group: pa.Table, threshold: float, allowed: int) -> Iterator[tuple[int, np.ndarray]]:
+def _candidates(group: pa.Table, threshold: float, allowed: int, how: Banding) -> Iterator[tuple[int, np.ndarray]]:
     """For each stray row of a block: the rows of the other side that the signatures support, are in
     another component, have a fitting size, and share this band key first."""
     get = lambda name: group[name].to_numpy()
     stray, node, comp, n, big = get("stray"), get("node"), get("comp"), get("n"), get("dominant")
     if stray.all() or not stray.any():
         return
-    lanes = np.stack([get(c).view(np.uint64) for c in _LANE_COLUMNS], axis=1)
+    lanes = np.stack([get(c).view(np.uint64) for c in how.lane_columns], axis=1)
     bands = np.stack(_rows_of_lists(group["bands"]))
     place = int(np.flatnonzero(bands[0] == group["band"][0].as_py())[0])
     low = np.uint64(LOW)
@@ -229,6 +250,7 @@ def _blocks(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         .where(F.col("comps") > 1)
         .drop("comps")
     )
+    mixed_bands = durable(mixed_bands)  # so that a key with many rows can be split in the join
     mine = durable(rest.join(mixed_bands, "band"))
     spot = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
@@ -246,21 +268,21 @@ def _together(df: DataFrame) -> DataFrame:
 
 
 def near_links(
-    docs: DataFrame, signed: DataFrame, id_col: str, text_col: str, percent: int, width: int
+    docs: DataFrame, signed: DataFrame, id_col: str, text_col: str, percent: int, width: int, how: Banding
 ) -> DataFrame | None:
     """(node, component) of the nodes in components of two or more; None if there are none.
 
     ``signed`` has one row for each node: node, n, digest1, digest2, lanes, bands.
     """
     threshold = percent / 100
-    allowed = most_differing(threshold)
+    allowed = most_differing(threshold, how)
     banded = signed.select("node", "n", F.explode("bands").alias("band"))
     shared = (
         banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
         .where(F.col("hub") != F.col("top")).drop("top")
     )
     members = durable(banded.join(shared, "band").select("band", "node", "n", "hub"))
-    near = signed.select("node", "n", "digest1", "digest2", *_LANE_COLUMNS)
+    near = signed.select("node", "n", "digest1", "digest2", *how.lane_columns)
     pairs = members.where(F.col("node") != F.col("hub")).select("node", "hub").distinct()
     left, right = near.alias("x"), near.alias("y")
     close = durable(
@@ -269,7 +291,7 @@ def near_links(
         .join(right, F.col("p.hub") == F.col("y.node"))
         .where(
             (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & (differing("x", "y") <= allowed)
+            & (differing("x", "y", how) <= allowed)
         )
         .select("p.node", "p.hub")
     )
@@ -287,13 +309,13 @@ def near_links(
     stars = durable(confirmed)
     labels = components(stars, "node", "hub") if stars.take(1) else None
 
-    blocks = _blocks(members, labels).join(signed.select("node", *_LANE_COLUMNS, "bands", "digest1", "digest2"), "node")
+    blocks = _blocks(members, labels).join(signed.select("node", *how.lane_columns, "bands", "digest1", "digest2"), "node")
     keys = ["band", "s", "m"]
 
     def supported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, keys):
             use = set()
-            for row, at in _candidates(group, threshold, allowed):
+            for row, at in _candidates(group, threshold, allowed, how):
                 use.add(int(row))
                 use.update(at.tolist())
             if use:
@@ -310,7 +332,7 @@ def near_links(
                 return c
 
             out = []
-            for row, at in _candidates(group, threshold, allowed):
+            for row, at in _candidates(group, threshold, allowed, how):
                 for other in at:
                     a, b = root(comp[row]), root(comp[other])
                     if a == b:
@@ -345,11 +367,13 @@ def near_components(
     text_col: str = "text",
     percent: int = 80,
     width: int = WORDS_PER_SHINGLE,
+    how: Banding = DOCUMENTS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``. Documents whose
+    """(doc_id, n_shingles, component_id, kept, carry...), one row for each row of ``docs``. Documents whose
     sets have an intersection of ``percent`` or more of their union are linked; the component is
     named by the smallest id in it. Ids must be integers."""
-    signed = durable(signatures(docs, id_col, text_col, width))
+    signed = durable(signatures(docs, id_col, text_col, width, how, carry))
     classes = durable(
         signed.where(F.col("n") > 0).groupBy("digest1", "digest2").agg(F.min("id").alias("node"))
         .where(F.col("node").isNotNull())
@@ -357,17 +381,17 @@ def near_components(
     members = signed.join(classes, ["digest1", "digest2"], "left")
     nodes = durable(
         members.where(F.col("id") == F.col("node"))
-        .select("node", "n", "digest1", "digest2", *_LANE_COLUMNS, "bands")
+        .select("node", "n", "digest1", "digest2", *how.lane_columns, "bands")
     )
-    labels = near_links(docs, nodes, id_col, text_col, percent, width)
+    labels = near_links(docs, nodes, id_col, text_col, percent, width, how)
     component = F.coalesce("node", "id")
-    found = members.select("id", "n", "node")
+    found = members.select("id", "n", "node", *carry)
     if labels is not None:
         found = found.join(labels, "node", "left")
         component = F.coalesce("component", "node", "id")
     return found.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+        F.col("id").eqNullSafe(component).alias("kept"), *carry,
     )
 
 
