@@ -13,6 +13,9 @@ from marketlake.llm.exact import exact_groups
 from marketlake.llm.merkle import fingerprint, likeness, with_next
 from marketlake.llm.mixing import mix
 from marketlake.llm.near import near_components
+from marketlake.llm.pages import extract_main_text
+from marketlake.llm.passages import repeated_passages
+from marketlake.llm.surrogates import replace_entities
 from marketlake.llm.toxicity import toxicity
 
 
@@ -57,6 +60,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents"), key="corpus")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,6 +72,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), word_vocabulary(), ids=False)
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 #: a turn that says what the template says
 STRAY = "\\### Assistant: </turn> ok"
 
@@ -90,7 +105,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op6_toxicity, op7_bpe, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat)}
 
 
 EXACT_SQL = r"""
