@@ -3,7 +3,7 @@
 A page is cut into blocks at its block-level tags. The first pass decides what the measures of a block
 allow: many linked words or boilerplate around it make it bad; enough length or stop words make it good;
 the rest is ambiguous. In the second pass an ambiguous block takes the label of the nearest decided
-neighbours, inside its article if it is in one; where they disagree or there are none, blocks of an article
+neighbours, inside its article if it is in one, and a heading that of the next; where they disagree or there are none, blocks of an article
 are kept and others are not.
 
 Defined results: null, empty and text-less pages give an empty text; an unclosed tag ends with what holds
@@ -45,6 +45,7 @@ INLINE = frozenset(
 )
 BOILERPLATE = frozenset("head nav header footer aside form menu dialog button fieldset figcaption".split())
 ARTICLE = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: words of class, id and role that name what is not the article
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|promotion|banner|cookies?|consent|gdpr|"
@@ -72,6 +73,7 @@ class Block:
     stops: int
     boilerplate: bool
     article: int  # number of the article it stands in, 0 if none
+    heading: bool = False
 
     def first_label(self) -> str:
         """What the block's own measures say: good, bad or unsure."""
@@ -111,7 +113,8 @@ def blocks(page: str) -> list[Block]:
             in_links = "".join(linked).split()
             stops = sum(_EDGES.sub("", w.lower()) in STOP_WORDS for w in words)
             bad, article = open_[-1][1:] if open_ else (False, 0)
-            out.append(Block(" ".join(words), len(words), len(in_links), stops, bad, article))
+            heading = any(t in HEADINGS for t, _, _ in open_)
+            out.append(Block(" ".join(words), len(words), len(in_links), stops, bad, article, heading))
         parts.clear()
         linked.clear()
 
@@ -181,7 +184,8 @@ def labels(found: list[Block]) -> list[bool]:
     out = []
     for block, label, left, right in zip(found, first, before, after):
         if label == "unsure":
-            sides = {s for s in (left, right) if s}
+            # a heading belongs to what follows it
+            sides = {right} if block.heading and right else {s for s in (left, right) if s}
             label = sides.pop() if len(sides) == 1 else ("good" if block.article else "bad")
         out.append(label == "good")
     return out

@@ -97,6 +97,8 @@ class Model:
         return lexical + [len(self.entry) + k for k in range(self.gate - 1, step)]
 
     def score(self, found: list[int], step: int) -> float:
+        if not self.lexicon:
+            return 0.0
         z = self.bias + self.weights[self.votes(found, step)].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 

@@ -95,9 +95,10 @@ def test_estimate_is_corrected_for_chance():
     a = shingle_set(rnd.integers(0, 2**63, 4000, dtype=np.uint64))
     b = np.sort(np.concatenate([rnd.choice(a, 3000, replace=False), shingle_set(rnd.integers(0, 2**63, 600, dtype=np.uint64))]))
     exact = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-    bits = packed(minima(a, DOCUMENTS), DOCUMENTS) ^ packed(minima(b, DOCUMENTS), DOCUMENTS)
+    apart = packed(minima(a, DOCUMENTS), DOCUMENTS) ^ packed(minima(b, DOCUMENTS), DOCUMENTS)
+    bits = apart
     for k in (1, 2, 3):
-        bits = bits | bits >> np.uint64(k)
+        bits = bits | apart >> np.uint64(k)
     equal = 1 - int(np.bitwise_count(bits & np.uint64(int("1" * 16, 16))).sum()) / 128
     assert abs((equal - 1 / 16) / (15 / 16) - exact) < 0.15
 
