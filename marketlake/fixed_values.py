@@ -5,7 +5,7 @@ defaults, so another market needs no code change.
 """
 
 # --- raw trade payload -------------------------------------------------------
-TRADE_FIELDS = ("e", "E", "s", "a", "p", "q", "f", "l", "T", "m")
+RAW_TRADE_ID = "a"
 TRADE_REQUIRED = ("e", "E", "s", "a", "p", "q", "T")
 TICK_COLUMNS = ("symbol", "price", "quantity", "event_time")
 TOPIC = "crypto-trades"

@@ -33,11 +33,14 @@ def bars(
     """Open, close, high, low, mean, percentile, volumes and count per bucket.
 
     Ticks need ``price``, ``quantity`` and ``ts``. Open and close of trades in the
-    same instant are settled by ``tie_break`` when that column is there. ``ts`` may be
+    same instant are settled by ``tie_break`` when that column is there. The percentile is exact up
+    to ``accuracy`` ticks in a bar and within a rank of ``1 / accuracy`` of them above. ``ts`` may be
     ``TIMESTAMP_NTZ`` (batch) or ``TIMESTAMP`` (streams); the result is zone-free.
     """
     order = F.col(ts)
     if tie_break and tie_break in ticks.columns:
+        if dict(ticks.dtypes)[tie_break] == "string":
+            raise ValueError(f"{tie_break} is text and would order 10 before 9; cast it first")
         order = F.struct(F.col(ts), F.col(tie_break))
     price, quantity = F.col("price"), F.col("quantity")
     # A stream must group by the window itself, which carries the watermark; in batch

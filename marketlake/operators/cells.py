@@ -62,15 +62,16 @@ def row_key_date(rowkey: Column | str) -> Column:
     return F.try_to_date(F.substring_index(rowkey, "|", -1), ROW_KEY_DATE_FORMAT)
 
 
-def get_row(cells: DataFrame, rowkey: str, family: str | None = None) -> DataFrame:
+def get_row(cells: DataFrame, rowkey: Column | str, family: str | None = None) -> DataFrame:
     """Cells of one row, or of one family of it.
 
     The date part of the key is a partition filter on the stored table, and the key
     filter is pushed to the scan, where row groups sorted by key are skipped.
     """
-    hit = cells.filter(F.col("rowkey") == rowkey)
+    key = F.lit(rowkey) if isinstance(rowkey, str) else rowkey
+    hit = cells.filter(F.col("rowkey") == key)
     if "date" in cells.columns:
-        hit = hit.filter(F.col("date") == row_key_date(F.lit(rowkey)))
+        hit = hit.filter(F.col("date") == row_key_date(key))
     return hit if family is None else hit.filter(F.col("family") == family)
 
 
@@ -91,8 +92,12 @@ def scan_rows(
 
 
 def put_cells(cells: DataFrame, puts: DataFrame, version: str = "version") -> DataFrame:
-    """Upsert: per cell the highest version wins, on a tie the greater value."""
-    return upsert(cells, puts, CELL_KEY, (version, "value"))
+    """Upsert: per cell the highest version wins; on a tie the put beats what is stored."""
+    put = "_put"
+    made = upsert(
+        cells.withColumn(put, F.lit(0)), puts.withColumn(put, F.lit(1)), CELL_KEY, (version, put)
+    )
+    return made.drop(put)
 
 
 def delete_cells(cells: DataFrame, deletes: DataFrame) -> DataFrame:
@@ -101,12 +106,17 @@ def delete_cells(cells: DataFrame, deletes: DataFrame) -> DataFrame:
     return cells.join(deletes.select(*keys).distinct(), keys, "left_anti")
 
 
-def pivot_cells(cells: DataFrame, spec: CellSpec = SERVED_CELLS) -> DataFrame:
-    """One row per key with a column ``family_qualifier`` for each listed cell."""
+def pivot_cells(
+    cells: DataFrame, spec: CellSpec = SERVED_CELLS, version: str | None = "version"
+) -> DataFrame:
+    """One row per key with a column ``family_qualifier`` for each listed cell, its newest value.
+
+    Cells without a ``version`` column must hold each cell once: say so with ``version=None``.
+    """
+    order = F.lit(0) if version is None else F.col(version)
+    here = lambda family, qualifier: (F.col("family") == family) & (F.col("qualifier") == qualifier)
     picked = [
-        F.max(
-            F.when((F.col("family") == family) & (F.col("qualifier") == qualifier), F.col("value"))
-        ).alias(f"{family}_{qualifier}")
+        F.max_by("value", F.when(here(family, qualifier), order)).alias(f"{family}_{qualifier}")
         for family, qualifier, _, _ in spec
     ]
     return cells.groupBy("rowkey").agg(*picked)

@@ -7,16 +7,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.fixed_values import TICK_COLUMNS, TRADE_REQUIRED
+from marketlake.fixed_values import RAW_TRADE_ID, TICK_COLUMNS, TRADE_REQUIRED
 from marketlake.functions import epoch_ms_to_ts, is_epoch_ms, to_double
 from marketlake.schemas import CORRUPT
 
 REASON = "reject_reason"
 
 
-def select_available(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Keep those of the wanted columns that exist, in the wanted order."""
-    return df.select([c for c in wanted if c in df.columns])
+def as_declared(df: DataFrame, required: Mapping[str, str], optional: Mapping[str, str]) -> DataFrame:
+    """Project onto a declared layout, name to type: values are cast tolerantly, an absent optional
+    column is a typed null, an absent required one an error."""
+    require_columns(df, tuple(required))
+    here = set(df.columns)
+    return df.select(
+        *[
+            (F.col(name).try_cast(kind) if name in here else F.lit(None).cast(kind)).alias(name)
+            for name, kind in {**required, **optional}.items()
+        ]
+    )
 
 
 def require_columns(df: DataFrame, needed: Sequence[str]) -> DataFrame:
@@ -55,7 +63,7 @@ def rejected_rows(tagged: DataFrame) -> DataFrame:
 
 
 def _absent(c: str) -> Column:
-    return F.col(c).isNull() | (F.trim(F.col(c)) == "")
+    return F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
 
 
 def _not_a_number(c: str) -> Column:
@@ -65,10 +73,13 @@ def _not_a_number(c: str) -> Column:
 def normalize_ticks(raw: DataFrame) -> DataFrame:
     """Raw text ticks to typed ticks, tagged with ``reject_reason``.
 
-    Adds ``event_ts`` (UTC, zone-free). Raw columns beyond the four tick columns
-    (a trade id, say) are kept.
+    Adds ``event_ts`` (UTC, zone-free). The id of the trade, ``trade_id`` or ``a`` as the
+    published raw layout calls it, becomes a bigint, so that ids order by number; one that is
+    there but no number is a reason to reject. Other raw columns are kept.
     """
     require_columns(raw, TICK_COLUMNS)
+    if RAW_TRADE_ID in raw.columns and "trade_id" not in raw.columns:
+        raw = raw.withColumnRenamed(RAW_TRADE_ID, "trade_id")
     read = computed_once(
         raw,
         _price=to_double("price"),
@@ -76,14 +87,18 @@ def normalize_ticks(raw: DataFrame) -> DataFrame:
         _event_ms=to_double("event_time"),
     )
     rules = {
-        "symbol": F.col("symbol").isNull(),
+        "symbol": _absent("symbol"),
         "price": _not_a_number("_price"),
         "quantity": _not_a_number("_quantity"),
         "event_time": ~is_epoch_ms("_event_ms"),
     }
+    typed = {"price": F.col("_price"), "quantity": F.col("_quantity")}
+    if "trade_id" in raw.columns:
+        number = F.col("trade_id").try_cast("bigint")
+        rules["trade_id"] = number.isNull() & ~_absent("trade_id")
+        typed["trade_id"] = number
     if CORRUPT in raw.columns:
         rules = {"malformed": F.col(CORRUPT).isNotNull(), **rules}
-    typed = {"price": F.col("_price"), "quantity": F.col("_quantity")}
     return (
         tag_rejects(read, rules)
         .withColumns({**typed, "event_ts": epoch_ms_to_ts("_event_ms")})

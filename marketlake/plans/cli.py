@@ -19,7 +19,7 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--date", help="YYYY-MM-DD; all dates when omitted")
     made.add_argument("--hour", type=int, choices=range(24), metavar="0-23")
     made.add_argument(
-        "--slack-hours", type=int, default=1, help="ticks job: longest landing delay"
+        "--dedup", action="store_true", help="ticks job: drop replays of a symbol and trade id"
     )
     made.add_argument("--debug", action="store_true", help="print counts and samples")
     return made
@@ -33,9 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     lake = jobs.Lake(args.lake.rstrip("/"))
     try:
         if args.job == "ticks":
-            seen = jobs.tick_etl(
-                spark, lake, args.date, args.hour, slack_hours=args.slack_hours
-            )
+            keys = ("symbol", "trade_id") if args.dedup else None
+            seen = jobs.tick_etl(spark, lake, args.date, args.hour, dedup_on=keys)
         elif args.job == "rates":
             seen = jobs.rate_etl(spark, lake, args.date)
         elif args.job == "analytics":

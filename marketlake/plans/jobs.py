@@ -33,15 +33,17 @@ from marketlake.operators.returns import daily_returns, rate_returns
 from marketlake.schemas import FX_DAILY, LAKE_TABLES
 from marketlake.sinks.cells import write_cells
 from marketlake.sinks.tables import (
-    append_rejects,
+    drop_partitions,
     replace_partitions,
+    replace_rejects,
     replace_table,
     upsert_partitions,
 )
 from marketlake.sources.catalog import covered, define_raw
 from marketlake.sources.rates import read_rate_files
-from marketlake.sources.tables import read_table
-from marketlake.sources.ticks import in_event_time, in_folders, read_tick_csv
+from marketlake.plans.shared import shared_folder
+from marketlake.sources.tables import read_table, read_table_or_none
+from marketlake.sources.ticks import FOLDER_INDEX, in_event_time, in_folders, read_tick_csv
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,10 @@ class Lake:
     def raw_ticks(self) -> str:
         return f"{self.root}/raw/ticks"
 
+    @property
+    def tick_index(self) -> str:
+        return f"{self.root}/raw/_tick_index"
+
     @property
     def raw_rates(self) -> str:
         return f"{self.root}/raw/rates"
@@ -88,6 +94,9 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return counted, seen
 
 
+FOLDER = ("folder_date", "folder_hour")
+
+
 def tick_etl(
     spark: SparkSession,
     lake: Lake,
@@ -96,34 +105,56 @@ def tick_etl(
     columns: list[str] | None = None,
     dedup_on: tuple[str, ...] | None = None,
     load_ts: dt.datetime | None = None,
-    slack_hours: int = 1,
     write_tasks: int | None = None,
 ) -> dict[str, int]:
     """Raw tick files to hourly bars, replacing the bars of the covered hours only.
 
-    With ``day`` (and ``hour``) the bars of those event hours are rebuilt from their
-    folders and those within ``slack_hours``, so a tick landed late neither goes missing
-    nor replaces another hour's bar by a partial one. ``dedup_on`` names the columns
-    that identify a trade, to drop replays. ``write_tasks`` helps when many tiny hour
-    folders are written at once.
+    With ``day`` (and ``hour``) the bars of those event hours are rebuilt from all their ticks, in
+    whatever folder these landed: the index of landed folders names the folders; where there is
+    none, all are read. So a day run gives what a full run gives, and an hour whose ticks
+    have all gone loses its bar.
+
+    The raw text is read and parsed once, into a staged table by validity; bars come from its
+    valid part, and the rejects of the folders read are replaced by the other. ``dedup_on``
+    names the columns that identify a trade, to drop replays. ``write_tasks`` helps when many tiny
+    hour folders are written at once.
     """
     raw = read_tick_csv(spark, lake.raw_ticks, columns)
-    near = in_folders(raw, day, hour, slack_hours)
+    near = in_folders(raw, day, hour, read_table_or_none(spark, lake.tick_index, FOLDER_INDEX))
     tagged, seen = _observed(normalize_ticks(near), "ticks")
-    ticks = in_event_time(valid_rows(tagged), day, hour)
+    staged = shared_folder(spark, "ticks")
+    flagged = tagged.withColumn("rejected", F.col(REASON).isNotNull())
+    flagged.write.partitionBy("rejected").parquet(staged)
+    stage = spark.read.schema(flagged.schema).parquet(staged)
+    ticks = in_event_time(stage.filter(~F.col("rejected")).drop(REASON, "rejected"), day, hour)
     if dedup_on:
         ticks = dedup_trades(ticks, dedup_on)
-    made = hourly_bars(ticks, _stamp(load_ts))
-    replace_partitions(
-        made, lake.table("trades_agg_hourly"), ("date", "hour"), tasks=write_tasks
+    root = lake.table("trades_agg_hourly")
+    replace_partitions(hourly_bars(ticks, _stamp(load_ts)), root, ("date", "hour"), tasks=write_tasks)
+    if day is not None:
+        _clear_hours(spark, lake, ticks, day, hour)
+    rejects = stage.filter("rejected").drop("rejected")
+    replace_rejects(
+        spark, rejects, f"{lake.rejects}/ticks", FOLDER, read=None if day is None else stage.select(*FOLDER)
     )
-    if seen.get["rejected"]:
-        own = in_folders(raw, day, hour, slack_hours=0)
-        label = "all" if day is None else day if hour is None else f"{day}T{hour:02d}"
-        append_rejects(rejected_rows(normalize_ticks(own)), f"{lake.rejects}/ticks", label)
     return dict(seen.get)
 
 
+def _clear_hours(
+    spark: SparkSession, lake: Lake, ticks: DataFrame, day: str, hour: int | None
+) -> None:
+    """Remove the bars of the covered hours that have no tick left; at most 24 hours of one date."""
+    stored = read_table_or_none(spark, lake.table("trades_agg_hourly"), LAKE_TABLES["trades_agg_hourly"][0])
+    if stored is None:
+        return
+    covered_hours = on_date(stored, day).select("hour").distinct()
+    if hour is not None:
+        covered_hours = covered_hours.filter(F.col("hour") == hour)
+    left = {r.hour for r in ticks.select(F.hour("event_ts").alias("hour")).distinct().collect()}
+    gone = [{"date": day, "hour": r.hour} for r in covered_hours.collect() if r.hour not in left]
+    drop_partitions(spark, lake.table("trades_agg_hourly"), ("date", "hour"), gone)
+
+
 def rate_etl(
     spark: SparkSession,
     lake: Lake,
@@ -143,10 +174,12 @@ def rate_etl(
         lake.table("fx_daily"), FX_DAILY,
         keys=("fx_date", "code"), newest_first=("load_ts",), partition_by=("year", "month"),
     )
-    if seen.get["rejected"]:
-        append_rejects(
-            rejected_rows(normalize_rates(raw)), f"{lake.rejects}/rates", day or "all"
-        )
+    # rate files are small; a second read costs less than staging them
+    days = spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("folder_date"))
+    replace_rejects(
+        spark, rejected_rows(normalize_rates(raw)), f"{lake.rejects}/rates", ("folder_date",),
+        read=None if day is None else days,
+    )
     return dict(seen.get)
 
 

@@ -319,8 +319,7 @@ ORACLES: dict[str, str] = {
     SELECT event_id FROM trade_reasons))""",
     "trade_rejects": _with("trade_reasons") + "SELECT event_id, reject_reason FROM trade_reasons",
     "trade_dedup": _with("ticks")
-    + """SELECT symbol, CAST(count(*) AS BIGINT) AS trades, round(sum(quantity), 2) AS volume
-    FROM ticks GROUP BY symbol""",
+    + "SELECT symbol, trade_id, price, quantity, event_ts FROM ticks",
     "json_props_extract": f"SELECT event_id, CAST({_K} AS BIGINT) AS k FROM events",
     "rates_document_explode": _DOCUMENT_RATES,
     "topic_publish_records": _with("ticks")
@@ -405,6 +404,13 @@ ORACLES: dict[str, str] = {
     "lake_bars_from_csv": _RAW_BARS,
     "lake_rejects_from_csv": _with("tick_reasons")
     + "SELECT trade_id, reject_reason FROM tick_reasons",
+    "lake_rejects_rerun": """SELECT event_id AS trade_id, 'event_time' AS reject_reason
+    FROM events WHERE event_type = 'error' AND value > 100""",
+    "lake_day_equals_full": _RAW_BARS,
+    "document_rejects": """SELECT strftime(d, '%j/%Y') AS no,
+    CASE WHEN dayofyear(d) <= 31 THEN 'no_tables' ELSE 'malformed' END AS reject_reason
+    FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+    WHERE dayofyear(d) <= 31 OR dayofyear(d) BETWEEN 60 AND 90""",
     "lake_day_rebuild": _RAW_BARS
     + f" WHERE CAST(hour_start_ts AS DATE) = DATE '{COVERAGE_DAY}'",
     "lake_rates_upsert": _LATEST_RATES + " FROM rates",

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions import ntz_to_epoch_ms, path_attributes
+from marketlake.functions import ntz_to_epoch_ms, path_attributes, row_key
 from marketlake.operators import cells as cell_ops
 from marketlake.operators.bars import bars, daily_close, daily_summary, daily_volume
 from marketlake.operators.cleaning import (
@@ -41,17 +41,17 @@ from marketlake.plans.shared import shared_folder
 from marketlake.schemas import FX_DAILY, HOURLY_BARS
 from marketlake.sinks.cells import export_put_commands, upload_cells, write_cells
 from marketlake.sinks.tables import (
-    append_rejects,
     land_rates_json,
     land_ticks_csv,
     replace_partitions,
+    replace_rejects,
     replace_table,
     upsert_partitions,
 )
 from marketlake.sinks.topics import topic_records
 from marketlake.sources.catalog import covered, define_lake, define_table
 from marketlake.sources.files import rows_per_file
-from marketlake.sources.rates import explode_rate_documents, read_landed_rates
+from marketlake.sources.rates import explode_rate_documents, read_landed_rates, tag_rate_documents
 from marketlake.sources.tables import read_table
 from marketlake.sources.ticks import read_tick_csv
 from marketlake.streaming.bars import (
@@ -74,12 +74,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values of the registered queries.
 BASE, QUOTE = "click", "view"
-PAIRS = (
-    ("A", "1-URGENT"),
-    ("N", "2-HIGH"),
-    ("R", "3-MEDIUM"),
-    ("A", "4-NOT SPECIFIED"),
-    ("N", "5-LOW"),
+PAIRS = tuple(
+    (flag, code)
+    for flag in "ANR"
+    for code in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 )
 TOPK_YEAR, TOPK_MONTH, TOPK_ROWS = 1998, 3, 10
 COUNT_DAY = "1998-03-02"
@@ -139,9 +137,7 @@ def trade_rejects(spark, sf_dir):
 def trade_dedup(spark, sf_dir):
     replayed = inputs.ticks(spark, sf_dir)
     replayed = replayed.unionByName(replayed)
-    return dedup_trades(replayed).groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("trades"), F.round(F.sum("quantity"), 2).alias("volume")
-    )
+    return dedup_trades(replayed).select("symbol", "trade_id", "price", "quantity", "event_ts")
 
 
 def json_props_extract(spark, sf_dir):
@@ -278,9 +274,8 @@ def _corr(daily):
 
 
 def _facts(spark, sf_dir):
-    hourly = inputs.hourly(spark, sf_dir)
-    daily = daily_returns(daily_close(hourly))
-    return daily_facts(daily, daily_volume(hourly), _corr(daily))
+    daily = daily_returns(daily_summary(inputs.hourly(spark, sf_dir)))
+    return daily_facts(daily, None, _corr(daily))
 
 
 def facts_assembled(spark, sf_dir):
@@ -309,23 +304,27 @@ def cells_unpivot(spark, sf_dir):
 
 
 def cells_point_get(spark, sf_dir):
-    key = f"{_salt_of(spark, BASE, CELL_KEY_DAY)}|{BASE}|{CELL_KEY_DAY}"
-    return _numbers(cell_ops.get_row(_cells(spark, sf_dir), key))
+    return _numbers(cell_ops.get_row(_stored_cells(spark, sf_dir, "get"), _client_key()).drop("version"))
 
 
 def cells_family_get(spark, sf_dir):
-    key = f"{_salt_of(spark, BASE, CELL_KEY_DAY)}|{BASE}|{CELL_KEY_DAY}"
-    return _numbers(cell_ops.get_row(_cells(spark, sf_dir), key, "volume"))
+    return _numbers(cell_ops.get_row(_stored_cells(spark, sf_dir, "family"), _client_key(), "volume").drop("version"))
+
 
+def _client_key():
+    """A client computes the key it wants; the optimizer folds this to a literal."""
+    return row_key(F.lit(BASE), F.to_date(F.lit(CELL_KEY_DAY), "yyyyMMdd"))
 
-def _salt_of(spark, symbol: str, day: str) -> int:
-    """A client computes the salt of the key it wants; here by the same expression."""
-    one = spark.range(1).select(F.abs(F.hash(F.lit(symbol), F.lit(day)) % 10).alias("salt"))
-    return one.first().salt
+
+def _stored_cells(spark, sf_dir, name):
+    """The cells in a written serving table, as get, scan and pivot find them."""
+    root = f"{shared_folder(spark, name)}/cells"
+    write_cells(spark, _cells(spark, sf_dir).withColumn("version", F.timestamp_seconds(F.lit(1))), root, [])
+    return spark.read.parquet(root).select("rowkey", "date", "family", "qualifier", "value", "version")
 
 
 def cells_scan_limit(spark, sf_dir):
-    return _numbers(cell_ops.scan_rows(_cells(spark, sf_dir), SCAN_ROWS))
+    return _numbers(cell_ops.scan_rows(_stored_cells(spark, sf_dir, "scan"), SCAN_ROWS).drop("version"))
 
 
 def cells_upsert(spark, sf_dir):
@@ -349,7 +348,7 @@ def cells_delete(spark, sf_dir):
 
 
 def cells_pivot_back(spark, sf_dir):
-    wide = cell_ops.pivot_cells(_cells(spark, sf_dir), SPEC)
+    wide = cell_ops.pivot_cells(_stored_cells(spark, sf_dir, "pivot"), SPEC)
     names = [c for c in wide.columns if c != "rowkey"]
     return wide.select(
         "rowkey", *[(F.round(F.col(c).cast("double"), 4) + F.lit(0.0)).alias(c) for c in names]
@@ -412,10 +411,12 @@ def _tasks(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _landed_lake(spark, sf_dir, name) -> jobs.Lake:
+def _landed_lake(spark, sf_dir, name, delay=None) -> jobs.Lake:
     lake = jobs.Lake(shared_folder(spark, name))
     raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
-    land_ticks_csv(raw, lake.raw_ticks, TICK_HEADER, _tasks(spark))
+    if delay is not None:
+        raw = raw.withColumn("event_ts", F.col("event_ts") + delay)
+    land_ticks_csv(raw, lake.raw_ticks, TICK_HEADER, lake.tick_index)
     return lake
 
 
@@ -431,10 +432,47 @@ def lake_bars_from_csv(spark, sf_dir):
 def lake_rejects_from_csv(spark, sf_dir):
     lake = _landed_lake(spark, sf_dir, "rejects")
     tagged = normalize_ticks(read_tick_csv(spark, lake.raw_ticks))
-    append_rejects(rejected_rows(tagged), f"{lake.rejects}/ticks", "all")
-    return spark.read.parquet(f"{lake.rejects}/ticks").select(
-        F.col("trade_id").cast("bigint").alias("trade_id"), REASON
+    replace_rejects(spark, rejected_rows(tagged), f"{lake.rejects}/ticks", jobs.FOLDER)
+    return spark.read.parquet(f"{lake.rejects}/ticks").select("trade_id", REASON)
+
+
+def lake_rejects_rerun(spark, sf_dir):
+    """The tick job on raw data with faults, then with the faulty ticks mended, by day and in full:
+    the rejects of the second run are all that is left."""
+    lake = _landed_lake(spark, sf_dir, "rerun")
+    jobs.tick_etl(spark, lake, columns=list(TICK_HEADER))
+    jobs.tick_etl(spark, lake, COVERAGE_DAY, columns=list(TICK_HEADER))
+    raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
+    mended = raw.withColumns({"price": F.coalesce(F.col("price").try_cast("double"), F.lit(1.0)).cast("string"),
+                              "quantity": F.coalesce("quantity", F.lit("1"))})
+    land_ticks_csv(mended, lake.raw_ticks, TICK_HEADER, lake.tick_index)
+    jobs.tick_etl(spark, lake, columns=list(TICK_HEADER))
+    return spark.read.parquet(f"{lake.rejects}/ticks").select("trade_id", REASON)
+
+
+def lake_day_equals_full(spark, sf_dir):
+    """Every seventh tick lands 26 hours late; a day and an hour run after the full run change nothing."""
+    late = F.when(F.col("trade_id").cast("bigint") % 7 == 0, F.make_dt_interval(hours=F.lit(26))).otherwise(
+        F.make_dt_interval())
+    lake = _landed_lake(spark, sf_dir, "late", late)
+    for when in ((), (COVERAGE_DAY,), (COVERAGE_DAY, 5)):
+        jobs.tick_etl(
+            spark, lake, *when, columns=list(TICK_HEADER), dedup_on=("symbol", "trade_id"),
+            write_tasks=_tasks(spark),
+        )
+    return _rounded_bars(lake.read(spark, "trades_agg_hourly").drop("load_ts"))
+
+
+def document_rejects(spark, sf_dir):
+    """Documents cut short in March, and one without tables each January, with their reasons."""
+    docs = inputs.rate_documents(spark, sf_dir)
+    no = F.get_json_object("value", "$[0].no")
+    day = F.substring_index(no, "/", 1).cast("int")
+    faulty = docs.select(
+        no.alias("no"),
+        F.when(day.between(60, 90), F.substring("value", 1, 30)).when(day <= 31, "[]").otherwise(F.col("value")).alias("value"),
     )
+    return rejected_rows(tag_rate_documents(faulty)).select("no", REASON)
 
 
 def lake_day_rebuild(spark, sf_dir):
@@ -696,7 +734,8 @@ REGISTERED: tuple[Query, ...] = (
     cells_upsert, cells_delete, cells_pivot_back, cells_upload_count,
     topk_partition_sql, date_count_sql,
     coverage_latest_common_date, coverage_latest_hour, quality_report_all,
-    lake_bars_from_csv, lake_rejects_from_csv, lake_day_rebuild, lake_rates_upsert,
+    lake_bars_from_csv, lake_rejects_from_csv, lake_rejects_rerun, lake_day_equals_full,
+    document_rejects, lake_day_rebuild, lake_rates_upsert,
     lake_rates_month, lake_rates_json, lake_rate_documents, lake_analytics_checks,
     lake_serving_cells, lake_external_tables, lake_partition_coverage,
     lake_put_commands, lake_file_rows,

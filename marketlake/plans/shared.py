@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir`` of the session.
-
-    Only a local session may go without that setting; it then gets the machine's
-    temporary folder, which no cluster would share.
-    """
+    """A new folder name below ``spark.checkpoint.dir``, which every session must set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/marketlake-{name}-{uuid.uuid4().hex}"

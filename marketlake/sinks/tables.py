@@ -15,6 +15,7 @@ from marketlake.operators.cleaning import REASON
 from marketlake.operators.latest import latest_wins, upsert
 from marketlake.schemas import RATE_JSON
 from marketlake.sources.tables import partition_predicate, read_table_or_none
+from marketlake.sources.ticks import folder_index
 
 
 def spread(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
@@ -116,18 +117,30 @@ def upsert_partitions(
 
 
 def land_ticks_csv(
-    ticks: DataFrame, root: str, columns: Sequence[str], tasks: int | None = None
+    ticks: DataFrame, root: str, columns: Sequence[str], index_root: str | None = None
 ) -> None:
     """Batch landing of raw ticks as CSV with a header, ``date=/hour=`` folders.
 
-    Needs ``event_ts``; the folders of the ticks at hand are replaced.
+    Needs ``event_ts``, the time of landing; the folders of the ticks at hand are replaced. With
+    ``index_root`` a small table says which event hours each folder holds, written by folder too,
+    so that a day is rebuilt from exactly the folders with its ticks, however late they came.
     """
     landed = ticks.select(
         *columns, F.to_date("event_ts").alias("date"), F.hour("event_ts").alias("hour")
     )
-    replace_partitions(
-        landed, root, ("date", "hour"), file_format="csv", tasks=tasks, header="true"
-    )
+    replace_partitions(landed, root, ("date", "hour"), file_format="csv", header="true")
+    if index_root is not None:
+        replace_partitions(folder_index(landed), index_root, ("date", "hour"))
+
+
+def drop_partitions(
+    spark: SparkSession, root: str, by: Sequence[str], partitions: Sequence[Mapping[str, object]]
+) -> None:
+    """Remove partition folders, which no overwrite by a frame without their rows can do."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for values in partitions:
+        files.delete(path(root, "/".join(f"{c}={values[c]}" for c in by)), True)
 
 
 def land_rates_json(spark: SparkSession, rates: DataFrame, root: str) -> None:
@@ -143,9 +156,28 @@ def land_rates_json(spark: SparkSession, rates: DataFrame, root: str) -> None:
     )
 
 
-def append_rejects(tagged_rejects: DataFrame, root: str, run_id: str) -> None:
-    """Write rejected rows with their reason under ``run=``; a re-run replaces its own."""
-    if REASON not in tagged_rejects.columns:
+def replace_rejects(
+    spark: SparkSession,
+    rejects: DataFrame,
+    root: str,
+    by: Sequence[str],
+    read: DataFrame | None = None,
+) -> None:
+    """Write rejected rows with their reason by the folder they came from, ``by``.
+
+    ``read`` holds the folders that were read (their columns ``by``): their earlier rejects go, also
+    when none are left. Without it all folders were read and the whole table is replaced. So a
+    row is there once, whatever runs have seen it.
+    """
+    if REASON not in rejects.columns:
         raise ValueError(f"rejects need a {REASON} column")
-    out = tagged_rejects.withColumn("run", F.lit(run_id))
-    _write(out, root, ("run",), "dynamic", "parquet", (), {})
+    if read is None:
+        replace_table(rejects, root, by)
+        return
+    replace_partitions(rejects, root, by)
+    kinds = ", ".join(f"{c} {rejects.schema[c].dataType.simpleString()}" for c in by)
+    stored = read_table_or_none(spark, root, kinds)
+    if stored is not None:
+        held = stored.select(*by).distinct().join(read.select(*by).distinct(), list(by), "left_semi")
+        gone = held.join(rejects.select(*by).distinct(), list(by), "left_anti")
+        drop_partitions(spark, root, by, [r.asDict() for r in gone.collect()])

@@ -22,15 +22,20 @@ def define_table(
     partition_columns: Iterable[str] = (),
     using: str = "PARQUET",
 ) -> None:
-    """Define an external table and register the partitions that exist."""
+    """Define an external table and bring its partitions in line with the folders that exist, those
+    that have gone included. A table of that name over another location is an error."""
     by = ", ".join(f"`{c}`" for c in partition_columns)
     partitioned = f"PARTITIONED BY ({by}) " if by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING {using} "
         f"{partitioned}LOCATION {_literal(location)}"
     )
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    plain = lambda path: path.removeprefix("file:").rstrip("/").replace("///", "/")
+    if found is not None and plain(found.data_type) != plain(location):
+        raise ValueError(f"{name} is defined over {found.data_type}, not {location}")
     if by:
-        spark.catalog.recoverPartitions(name)
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def define_lake(spark: SparkSession, lake_root: str, database: str = "finance") -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -84,20 +84,24 @@ def newest_file(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 def preview_newest(
     spark: SparkSession, root: str, head: int = 50, tail: int = 10, glob: str = "*"
 ) -> DataFrame:
-    """First ``head`` lines of the newest file and, above 1,000 bytes, its last ``tail``.
+    """First ``head`` and last ``tail`` lines of the newest file, with their numbers from 1; in a
+    short file they overlap, as the numbers tell.
 
-    Only the name of that one file passes through the driver.
+    Only the name and the line count of that one file pass through the driver.
     """
     found = newest_file(spark, root, glob).first()
     if found is None or found.path is None:
         raise FileNotFoundError(f"no files under {root}")
     lines = _lines(spark, found.path)
-    first = lines.orderBy("block", "line_id").limit(head).select(
-        F.lit("head").alias("part"), "block", "line_id", "line"
-    )
-    if found.length <= 1000:
-        return first
-    last = lines.orderBy(F.desc("block"), F.desc("line_id")).limit(tail).select(
-        F.lit("tail").alias("part"), "block", "line_id", "line"
+    total = lines.count()
+
+    def cut(part: str, n: int, order: list, number: Column) -> DataFrame:
+        few = lines.orderBy(*order).limit(n)
+        placed = few.withColumn("k", F.row_number().over(Window.orderBy(*order)))
+        return placed.select(F.lit(part).alias("part"), number.cast("long").alias("line_no"), "line")
+
+    rising = [F.col("block"), F.col("line_id")]
+    falling = [F.col("block").desc(), F.col("line_id").desc()]
+    return cut("head", head, rising, F.col("k")).unionByName(
+        cut("tail", tail, falling, F.lit(total) + 1 - F.col("k"))
     )
-    return first.unionByName(last)

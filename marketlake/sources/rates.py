@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.fixed_values import RATE_FILE_GLOB
 from marketlake.functions import blank_to_null, file_name_date
-from marketlake.operators.cleaning import select_available
+from marketlake.operators.cleaning import tag_rejects
 from marketlake.schemas import RATE_JSON, RATES_DOCUMENT
 
 
@@ -29,6 +29,7 @@ def read_rate_files(
         "code", "currency", "mid",
         file_name_date("_metadata.file_name").alias("fx_date"),
         F.col("_metadata.file_name").alias("file_name"),
+        F.col("date").alias("folder_date"),
     )
 
 
@@ -45,30 +46,41 @@ def read_rate_documents(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.text(root, wholetext=True)
 
 
+def tag_rate_documents(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Add ``reject_reason``: ``malformed`` for text that is no list of tables, ``no_tables`` for an
+    empty list, ``no_rates`` where not every table has rates. The text stays in its column."""
+    tables = F.from_json(F.col(column), RATES_DOCUMENT)
+    return tag_rejects(
+        documents.withColumn("_tables", tables),
+        {
+            "malformed": F.col("_tables").isNull() | F.exists("_tables", lambda t: t.isNull()),
+            "no_tables": F.size("_tables") == 0,
+            "no_rates": F.exists("_tables", lambda t: F.coalesce(F.size(t["rates"]), F.lit(0)) <= 0),
+        },
+    ).drop("_tables")
+
+
 def explode_rate_documents(
     documents: DataFrame,
     column: str = "value",
     today: Column | None = None,
-    first_table_only: bool = True,
+    first_table_only: bool = False,
 ) -> DataFrame:
-    """One row per rate of each document.
+    """One row per rate of each table of each document.
 
-    The date is ``effectiveDate``, or ``today`` when it is empty. Only the first table of
-    a document is read unless ``first_table_only`` is false. Other columns stay.
+    The date is ``effectiveDate``, or ``today`` when it is empty. Other columns stay. What gives no
+    row is named by ``tag_rate_documents``.
     """
     today = F.current_date() if today is None else today
     tables = F.from_json(F.col(column), RATES_DOCUMENT)
-    kept = [c for c in documents.columns if c != column]
-    parsed = documents.withColumn("_tables", tables)
     if first_table_only:
-        parsed = parsed.withColumn("_doc", F.get("_tables", F.lit(0)))
-    else:
-        parsed = parsed.withColumn("_doc", F.explode("_tables"))
+        tables = F.slice(tables, 1, 1)
+    kept = [c for c in documents.columns if c != column]
     effective = F.coalesce(
         F.try_to_date(blank_to_null("_doc.effectiveDate"), "yyyy-MM-dd"), today
     )
-    return parsed.select(
-        *select_available(parsed, kept).columns,
+    return documents.select(*kept, F.explode(tables).alias("_doc")).select(
+        *kept,
         F.col("_doc.table").alias("table_name"),
         F.col("_doc.no").alias("table_no"),
         effective.alias("fx_date"),

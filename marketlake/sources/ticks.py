@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.fixed_values import TICK_COLUMNS
-from marketlake.operators.cleaning import require_columns
+from marketlake.functions import epoch_ms_to_ts, is_epoch_ms, to_double
+from marketlake.operators.cleaning import computed_once, require_columns
 from marketlake.schemas import CORRUPT
+from marketlake.sources.tables import partition_predicate
 
 FOLDERS = ("date", "hour")
 
@@ -74,26 +76,35 @@ def _between(ts: Column, start: dt.datetime, end: dt.datetime) -> Column:
     return (ts >= low) & (ts < high)
 
 
+FOLDER_INDEX = "event_date DATE, event_hour INT, ticks BIGINT, date DATE, hour INT"
+
+
+def folder_index(landed: DataFrame) -> DataFrame:
+    """Which event hours the raw ticks of each folder hold: a few rows for each folder."""
+    read = computed_once(landed, _event_ms=to_double("event_time"))
+    timed = read.filter(is_epoch_ms("_event_ms")).withColumn("_ts", epoch_ms_to_ts("_event_ms"))
+    return timed.groupBy(
+        F.to_date("_ts").alias("event_date"), F.hour("_ts").alias("event_hour"), *FOLDERS
+    ).agg(F.count(F.lit(1)).alias("ticks"))
+
+
 def in_folders(
-    raw: DataFrame, day: str | None, hour: int | None = None, slack_hours: int = 1
+    raw: DataFrame, day: str | None, hour: int | None = None, index: DataFrame | None = None
 ) -> DataFrame:
-    """Folders that can hold ticks of a date or hour.
+    """Rows of the folders that hold ticks of a date or hour, by an index of the landed folders.
 
-    A tick may be landed in a neighbouring folder, so folders within ``slack_hours``
-    are read too: set it to the longest delay between a trade and its landing. All
-    conditions are on folder columns, so other folders are not read.
+    Without an index nothing says where a late tick may be, so all folders stay. With one, the
+    folders come as literals, so no other is read.
     """
     wanted = span(day, hour)
-    if wanted is None:
+    if wanted is None or index is None:
         return raw
-    slack = dt.timedelta(hours=slack_hours)
-    start, end = wanted[0] - slack, wanted[1] + slack
-    folder = F.timestamp_add(
-        "HOUR", F.col("folder_hour"), F.col("folder_date").cast("timestamp_ntz")
-    )
-    return raw.filter(
-        F.col("folder_date").between(F.lit(start.date()), F.lit(end.date()))
-    ).filter(_between(folder, start, end))
+    held = index.filter(F.col("event_date") == F.lit(day).cast("date"))
+    if hour is not None:
+        held = held.filter(F.col("event_hour") == hour)
+    folders = [r.asDict() for r in held.select(
+        F.col("date").alias("folder_date"), F.col("hour").alias("folder_hour")).distinct().collect()]
+    return raw.filter(partition_predicate(raw, folders))
 
 
 def in_event_time(ticks: DataFrame, day: str | None, hour: int | None = None) -> DataFrame:

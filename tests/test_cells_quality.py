@@ -74,12 +74,18 @@ def test_put_get_delete(spark):
 
 
 def test_pivot_restores_the_facts(facts):
-    wide = {r.rowkey.split("|")[1]: r for r in c.pivot_cells(c.to_cells(facts)).collect()}
+    wide = {r.rowkey.split("|")[1]: r for r in c.pivot_cells(c.to_cells(facts), version=None).collect()}
     assert float(wide["BTCUSDT"].price_avg) == 92840.54
     assert wide["BTCUSDT"].metrics_ret_1d is None
     assert wide["ETHUSDT"].correlation_btc_usdpln_63d is None
 
 
+def test_pivot_takes_the_newest_version(spark):
+    rows = [("k", "price", "avg", "9", 1), ("k", "price", "avg", "10", 2), ("k", "price", "avg", "8", 0)]
+    cells = spark.createDataFrame(rows, "rowkey string, family string, qualifier string, value string, version int")
+    assert c.pivot_cells(cells).first().price_avg == "10"
+
+
 def test_put_command_text(spark):
     cells = spark.createDataFrame(
         [("2|BTCUSDT|20260105", "price", "avg", "92840.54"), ("1|A'B|20260105", "p", "q", "\\'")],

@@ -3,23 +3,40 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.operators.bars import hourly_bars
 from marketlake.operators.cleaning import (
+    as_declared,
     dedup_trades,
     normalize_rates,
     normalize_ticks,
     parse_trades,
     rejected_rows,
     require_columns,
-    select_available,
     valid_rows,
 )
 
 RAW = "symbol string, price string, quantity string, event_time string"
 
 
-def test_select_available_keeps_order_and_drops_absent(spark):
-    df = spark.createDataFrame([("x", 1, 2)], "b string, a int, c int")
-    assert select_available(df, ["a", "missing", "b"]).columns == ["a", "b"]
+def test_as_declared_casts_and_fills(spark):
+    df = spark.createDataFrame([("1", "x", 2)], "b string, c string, a int")
+    made = as_declared(df, {"a": "bigint", "b": "int"}, {"c": "int", "gone": "date"})
+    assert made.dtypes == [("a", "bigint"), ("b", "int"), ("c", "int"), ("gone", "date")]
+    assert tuple(made.first()) == (2, 1, None, None)
+    with pytest.raises(ValueError, match="missing"):
+        as_declared(df, {"missing": "int"}, {})
+
+
+def test_trade_ids_are_numbers(spark):
+    rows = [("A", "1", "1", "1704430800000", i) for i in ("9", "10", "x", None, " ")]
+    raw = spark.createDataFrame([(*r[:4], r[4]) for r in rows], "symbol string, price string, quantity string, event_time string, a string")
+    tagged = normalize_ticks(raw)
+    assert dict(tagged.dtypes)["trade_id"] == "bigint" and "a" not in tagged.columns
+    assert [r.reject_reason for r in tagged.collect()] == [None, None, "trade_id", None, None]
+    made = hourly_bars(valid_rows(tagged.withColumn("price", F.col("trade_id").cast("double")).filter("trade_id is not null"))).first()
+    assert (made.price_open, made.price_close) == (9.0, 10.0)
+    with pytest.raises(ValueError, match="text"):
+        hourly_bars(tagged.withColumn("trade_id", F.col("trade_id").cast("string")))
 
 
 def test_missing_columns_are_listed(spark):

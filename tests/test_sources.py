@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,9 +35,9 @@ def raw(tmp_path):
 
 def test_csv_rows_of_wrong_length_are_rejected(spark, raw):
     tagged = normalize_ticks(ticks.read_tick_csv(spark, raw))
-    assert sorted(r.a for r in valid_rows(tagged).collect()) == ["1", "2", "5", "6", "7"]
-    bad = {r.a: r.reject_reason for r in rejected_rows(tagged).collect()}
-    assert bad == {"3": "malformed,quantity,event_time", "4": "malformed"}
+    assert sorted(r.trade_id for r in valid_rows(tagged).collect()) == [1, 2, 5, 6, 7]
+    bad = {r.trade_id: r.reject_reason for r in rejected_rows(tagged).collect()}
+    assert bad == {3: "malformed,quantity,event_time", 4: "malformed"}
     # the same verdict when few columns, or none, are asked for
     assert valid_rows(tagged).select("symbol").count() == 5
     assert valid_rows(tagged).count() == 5
@@ -61,17 +62,20 @@ def test_folders(spark, raw):
         {(r.folder_date.day, r.folder_hour) for r in ticks.in_folders(df, *a, **k).collect()}
     )
     assert at(None) == [(5, 5), (5, 23), (6, 0)]
-    assert at("2024-01-05", slack_hours=0) == [(5, 5), (5, 23)]
-    assert at("2024-01-05", 5, slack_hours=0) == [(5, 5)]
-    assert at("2024-01-05", 23, slack_hours=1) == [(5, 23), (6, 0)]
-    plan = ticks.in_folders(df, "2024-01-05")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
+    assert at("2024-01-05") == [(5, 5), (5, 23), (6, 0)]  # without an index any folder may hold a tick
+    rows = [(D(2024, 1, 5), 5, 2, D(2024, 1, 5), 5), (D(2024, 1, 5), 23, 1, D(2024, 1, 6), 0)]
+    index = spark.createDataFrame(rows, ticks.FOLDER_INDEX)
+    assert at("2024-01-05", index=index) == [(5, 5), (6, 0)]
+    assert at("2024-01-05", 23, index=index) == [(6, 0)]
+    assert at("2024-01-07", index=index) == []
+    plan = ticks.in_folders(df, "2024-01-05", index=index)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(((date" in plan or "PartitionFilters: [((date" in plan
 
 
 def test_event_time(spark, raw):
     good = valid_rows(normalize_ticks(ticks.read_tick_csv(spark, raw)))
-    assert {r.a for r in ticks.in_event_time(good, "2024-01-05").collect()} == {"1", "2", "5", "6"}
-    assert {r.a for r in ticks.in_event_time(good, "2024-01-05", 23).collect()} == {"5", "6"}
+    assert {r.trade_id for r in ticks.in_event_time(good, "2024-01-05").collect()} == {1, 2, 5, 6}
+    assert {r.trade_id for r in ticks.in_event_time(good, "2024-01-05", 23).collect()} == {5, 6}
     with pytest.raises(ValueError):
         ticks.span(None, 3)
     with pytest.raises(ValueError):
@@ -103,9 +107,12 @@ def test_rate_documents(spark, tmp_path):
     docs = rates.read_rate_documents(spark, root)
     today = F.lit("2030-01-01").cast("date")
     got = sorted((r.fx_date, r.code) for r in rates.explode_rate_documents(docs, today=today).collect())
-    assert got == [(D(2026, 1, 2), "EUR"), (D(2026, 1, 2), "USD"), (D(2030, 1, 1), "USD")]
-    every = rates.explode_rate_documents(docs, today=today, first_table_only=False)
-    assert every.count() == 4
+    assert got == [(D(2026, 1, 2), "EUR"), (D(2026, 1, 2), "USD"), (D(2026, 1, 3), "USD"), (D(2030, 1, 1), "USD")]
+    assert rates.explode_rate_documents(docs, today=today, first_table_only=True).count() == 3
+    write(root, "e.json", "[]")
+    reasons = rates.tag_rate_documents(rates.read_rate_documents(spark, root)).groupBy("reject_reason").count()
+    assert {r.reject_reason: r["count"] for r in reasons.collect()} == {
+        None: 2, "no_rates": 1, "malformed": 1, "no_tables": 1}
 
 
 def test_tables(spark, tmp_path):
@@ -131,6 +138,11 @@ def test_catalog(spark, tmp_path):
         ("2024-01-01", "5"), ("2024-01-02", "6"),
     }
     assert "fx_daily" in catalog.missing_tables(spark, "cat_test")
+    shutil.rmtree(os.path.join(root, "date=2024-01-01"))
+    catalog.define_table(spark, "cat_test.t", "v INT, date DATE, hour INT", root, ["date", "hour"])
+    assert [tuple(r) for r in catalog.covered(spark, "cat_test.t", "date", "hour").collect()] == [("2024-01-02", "6")]
+    with pytest.raises(ValueError, match="defined over"):
+        catalog.define_table(spark, "cat_test.t", "v INT, date DATE, hour INT", str(tmp_path / "u"), ["date", "hour"])
 
 
 def test_census_and_preview(spark, raw):
@@ -149,6 +161,7 @@ def test_preview_newest(spark, raw, tmp_path):
     os.utime(os.path.join(raw, "date=2024-01-09/hour=01/09-01-00.csv"), (4e9, 4e9))
     assert files.newest_file(spark, raw).first().path.endswith("09-01-00.csv")
     rows = files.preview_newest(spark, raw, head=3, tail=2).collect()
+    assert sorted(r.line_no for r in rows) == [1, 2, 3, 200, 201]
     assert [r.line for r in rows if r.part == "head"] == [HEADER.strip(), "0,A,1,1,1", "1,A,1,1,1"]
     assert sorted(r.line for r in rows if r.part == "tail") == ["198,A,1,1,1", "199,A,1,1,1"]
     with pytest.raises(FileNotFoundError):
