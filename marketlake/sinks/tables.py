@@ -122,15 +122,16 @@ def land_ticks_csv(
     """Batch landing of raw ticks as CSV with a header, ``date=/hour=`` folders.
 
     Needs ``event_ts``, the time of landing; the folders of the ticks at hand are replaced. With
-    ``index_root`` a small table says which event hours each folder holds, written by folder too,
-    so that a day is rebuilt from exactly the folders with its ticks, however late they came.
+    ``index_root`` a few rows for each folder are added to a small table that says which event hours
+    it holds, so that a day is rebuilt from the folders with its ticks, however late they came.
+    Rows of an earlier landing of a folder stay: at worst one folder too many is read.
     """
     landed = ticks.select(
         *columns, F.to_date("event_ts").alias("date"), F.hour("event_ts").alias("hour")
     )
     replace_partitions(landed, root, ("date", "hour"), file_format="csv", header="true")
     if index_root is not None:
-        replace_partitions(folder_index(landed), index_root, ("date", "hour"))
+        folder_index(landed).write.mode("append").parquet(index_root)
 
 
 def drop_partitions(
