@@ -43,7 +43,12 @@ def number_rows(
     rows in earlier chunks, from a pre-aggregated table of one row per chunk.
     """
     keys = [*entity, CHUNK]
-    chunked = df.withColumn(CHUNK, F.window(ts, chunk).start)
+    # window() leaves out rows without a time; they are a chunk of their own, the first
+    timed = df.filter(F.col(ts).isNotNull()).withColumn(CHUNK, F.window(ts, chunk).start)
+    timeless = df.filter(F.col(ts).isNull()).withColumn(
+        CHUNK, F.lit(None).cast(timed.schema[CHUNK].dataType)
+    )
+    chunked = timed.unionByName(timeless)
     before = Window.partitionBy(*entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         chunked.groupBy(*keys)
@@ -51,11 +56,13 @@ def number_rows(
         .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     within = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        chunked.withColumn("_rn", F.row_number().over(within))
-        .join(offsets, keys)
-        .withColumn(POSITION, F.col("_offset") + F.col("_rn") - 1)
-        .drop("_rn", "_offset", CHUNK)
+    same = F.lit(True)
+    for k in keys:  # a null entity is an entity
+        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    numbered = chunked.withColumn("_rn", F.row_number().over(within)).alias("l")
+    position = (F.col("r._offset") + F.col("l._rn") - 1).alias(POSITION)
+    return numbered.join(offsets.alias("r"), same).select(
+        *[F.col(f"l.`{c}`") for c in df.columns], position
     )
 
 
@@ -69,8 +76,8 @@ def cut_series(
 ) -> tuple[DataFrame, WindowSpec]:
     """Blocks with halo rows, and the ordered window to use on them.
 
-    Entity and ``ts`` must not be null. Drop the rows flagged ``_halo`` afterwards
-    (``drop_halo``).
+    A null entity is an entity, and rows without a time come first, as in a plain window. Drop
+    the rows flagged ``_halo`` afterwards (``drop_halo``).
     """
     if halo > blocks.rows:
         raise ValueError(f"halo {halo} is longer than a block of {blocks.rows} rows")
