@@ -35,7 +35,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # kind -> pattern; the first that fits at a place wins
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
+    "secret": r"(?<![0-9A-Za-z])(?=[A-Za-z]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
     r"|(?<=(?:token|secret|password|api_key|apikey) ?[=:] ?[\"'])[^\s\"']{8,}(?=[\"'])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)",
@@ -48,6 +48,43 @@ DIGITS = "0123456789"
 UNIT = "struct<kind:string,canon:string,form:string>"
 
 
+#: what every form of address contains, the shorter for the longer
+TITLE_ROOTS = sorted({t for t in FEMALE + MALE if not any(o != t and o in t for o in FEMALE + MALE)})
+TOKEN = "struct<entity:boolean,value:string>"
+
+
+def may_hold(text: Column) -> Column:
+    """False for text in which no pattern can fit, by cheap searches: every entity has a digit, an at
+    sign, a form of address, or stands in quotes after an equals sign or colon."""
+    found = text.rlike("[0-9@]") | text.rlike("[=:] ?[\"']")
+    for root in TITLE_ROOTS:
+        found = found | F.contains(text, F.lit(root))
+    return found
+
+
+def tokens(text: Column) -> Column:
+    """A text as entities and what stands between them, in order. No entity reaches past a line, so
+    only lines that may hold one meet the patterns."""
+    token = lambda is_entity, value: F.struct(F.lit(is_entity).alias("entity"), value.alias("value"))
+
+    def cut(line: Column) -> Column:
+        pairs = F.arrays_zip(
+            F.split(line, ANY, -1).alias("between"), F.regexp_extract_all(line, F.lit(ANY), F.lit(0)).alias("found")
+        )
+        both = F.flatten(F.transform(pairs, lambda p: F.array(token(False, p["between"]), token(True, p["found"]))))
+        return F.filter(both, lambda t: t["value"].isNotNull())
+
+    return F.flatten(
+        F.transform(
+            F.split(text, "\n"),
+            lambda line, k: F.concat(
+                F.when(k > 0, F.array(token(False, F.lit("\n")))).otherwise(F.array().cast(f"array<{TOKEN}>")),
+                F.when(may_hold(line), cut(line)).otherwise(F.array(token(False, line))),
+            ),
+        )
+    )
+
+
 def kind_of(entity: Column) -> Column:
     found = F.lit("secret")
     for kind in ("ssn", "card", "phone", "ip", "person", "email"):
@@ -193,46 +230,51 @@ def replace_entities(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     cut = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn(
-        "entities", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+        "tokens", F.when(may_hold(F.col("text")), tokens(F.col("text"))).otherwise(F.array().cast(f"array<{TOKEN}>"))
     )
+    found = F.exists("tokens", lambda t: t["entity"])
     none = F.array().cast("array<string>")
-    clean = cut.where(F.size("entities") == 0).select(
+    clean = cut.where(~found).select(
         "doc_id", F.lit(0).cast("long").alias("n_entities"), none.alias("kinds"), none.alias("surrogates"), "text"
     )
+    numbered = F.transform("tokens", lambda t, k: F.struct(k.alias("place"), t["entity"].alias("entity"), t["value"].alias("value")))
     rows = durable(
-        cut.where(F.size("entities") > 0).select(
-            F.monotonically_increasing_id().alias("row"), "doc_id", "entities",
-            F.split("text", ANY, -1).alias("between"),
+        cut.where(found).select(
+            F.monotonically_increasing_id().alias("row"), "doc_id", "tokens",
+            F.filter(numbered, lambda t: t["entity"]).alias("entities"),
         )
     )
-    parts = rows.select("row", F.posexplode("entities").alias("place", "entity")).select(
-        "row", "place", F.posexplode(units(F.col("entity"))).alias("part", "unit")
+    parts = rows.select("row", F.inline("entities")).select(
+        "row", "place", F.posexplode(units(F.col("value"))).alias("part", "unit")
     ).select("row", "place", "part", "unit.*")
     drawn = assign(parts.where(F.col("kind") != "title").select("kind", "canon"), key)
     written = parts.join(drawn, ["kind", "canon"], "left").select(
         "row", "place",
         F.struct(
-            "place", "part",
+            "part",
             F.when(F.col("kind") == "title", F.col("form")).otherwise(
                 shaped(F.col("kind"), F.col("form"), F.col("made"))).alias("made"),
         ).alias("piece"),
     )
-    by_row = written.groupBy("row").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
-    numbers = F.sequence(F.lit(0), F.size("entities") - 1)
-    surrogates = F.transform(
-        numbers,
-        lambda k: F.array_join(
-            F.transform(F.filter("pieces", lambda p: p["place"] == k), lambda p: p["made"]), ""),
+    whole = written.groupBy("row", "place").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["made"]), "").alias("made")
+    )
+    by_row = whole.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "made"))).alias("made"))
+    joined = rows.join(by_row, "row").select(
+        "doc_id", "tokens", "entities",
+        F.transform("made", lambda m: m["made"]).alias("surrogates"),
+        F.transform("made", lambda m: m["place"]).alias("places"),
+    )
+    replaced = F.transform(
+        "tokens",
+        lambda t, k: F.when(
+            t["entity"], F.get(F.col("surrogates"), (F.array_position("places", k) - 1).cast("int"))
+        ).otherwise(t["value"]),
     )
-    joined = rows.join(by_row, "row").withColumn("surrogates", surrogates)
     return joined.select(
         "doc_id",
         F.size("entities").cast("long").alias("n_entities"),
-        F.transform("entities", kind_of).alias("kinds"),
+        F.transform("entities", lambda e: kind_of(e["value"])).alias("kinds"),
         "surrogates",
-        F.concat(
-            F.get("between", F.lit(0)),
-            F.array_join(
-                F.transform("surrogates", lambda s, k: F.concat(s, F.get(F.col("between"), k + 1))), ""),
-        ).alias("text"),
+        F.array_join(replaced, "").alias("text"),
     ).unionByName(clean)
