@@ -74,16 +74,16 @@ def minima(shingles: np.ndarray, how: Banding) -> np.ndarray:
 
 
 def packed(low: np.ndarray, how: Banding) -> np.ndarray:
-    """Low bits of the minima, 16 lanes to a long."""
-    lanes = (low & np.uint64(15)).reshape(how.lanes, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
-    return np.bitwise_or.reduce(lanes, axis=1)
+    """Low bits of the minima, 16 lanes to a long; one row of ``low`` for each text."""
+    lanes = (low & np.uint64(15)).reshape(-1, how.lanes, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(lanes, axis=2)
 
 
 def band_keys(low: np.ndarray, how: Banding) -> np.ndarray:
-    rows = low[: how.bands * how.rows].reshape(how.bands, how.rows)
+    rows = low[:, : how.bands * how.rows].reshape(-1, how.bands, how.rows)
     keys = np.arange(1, how.bands + 1, dtype=np.uint64)
     for k in range(how.rows):
-        keys = mixed(keys) + rows[:, k]
+        keys = mixed(keys) + rows[:, :, k]
     return mixed(keys)
 
 
@@ -95,17 +95,17 @@ def signatures(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        for batch in batches:
-            sizes, keys = [], np.zeros((batch.num_rows, 2 + lanes + how.bands), np.uint64)
-            for row, text in enumerate(batch["text"]):
-                shingles = shingle_set(words.of(text.as_py()), width)
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
+            sizes, digests = [], []
+            low = np.zeros((batch.num_rows, how.minima), np.uint64)
+            for row, text in enumerate(batch["text"].to_pylist()):
+                shingles = shingle_set(words.of(text), width)
                 sizes.append(len(shingles))
+                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
                 if len(shingles):
-                    low = minima(shingles, how)
-                    keys[row, :2] = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.uint64)
-                    keys[row, 2 : 2 + lanes] = packed(low, how)
-                    keys[row, 2 + lanes :] = band_keys(low, how)
-            keys = keys.view(np.int64)
+                    low[row] = minima(shingles, how)
+            pair = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+            keys = np.hstack([pair, packed(low, how), band_keys(low, how)]).view(np.int64)
             columns = [batch["id"], pa.array(sizes, pa.int64())]
             columns += [pa.array(keys[:, k].copy()) for k in range(2 + lanes)]
             columns.append(pa.FixedSizeListArray.from_arrays(
@@ -183,7 +183,10 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
             if held and key != last:
                 yield pa.Table.from_batches(held)
                 held = []
-            held.append(batch.slice(start, end - start))
+            part = batch.slice(start, end - start)
+            # only the last run is held for the next batch: a slice would hold its whole batch
+            keep_apart = start and end == batch.num_rows
+            held.append(part.take(pa.array(range(part.num_rows))) if keep_apart else part)
             last = key
     if held:
         yield pa.Table.from_batches(held)

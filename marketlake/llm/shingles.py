@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS_PER_SHINGLE = 5
-_CACHE_WORDS = 1 << 18
+_CACHE_WORDS = 1 << 17
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 

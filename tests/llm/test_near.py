@@ -95,7 +95,7 @@ def test_estimate_is_corrected_for_chance():
     a = shingle_set(rnd.integers(0, 2**63, 4000, dtype=np.uint64))
     b = np.sort(np.concatenate([rnd.choice(a, 3000, replace=False), shingle_set(rnd.integers(0, 2**63, 600, dtype=np.uint64))]))
     exact = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-    apart = packed(minima(a, DOCUMENTS), DOCUMENTS) ^ packed(minima(b, DOCUMENTS), DOCUMENTS)
+    apart = packed(minima(a, DOCUMENTS)[None], DOCUMENTS)[0] ^ packed(minima(b, DOCUMENTS)[None], DOCUMENTS)[0]
     bits = apart
     for k in (1, 2, 3):
         bits = bits | apart >> np.uint64(k)
