@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: pieces held in each of two generations: the older is dropped when the younger is full
-_CACHE_PIECES = 3 << 17
+_CACHE_PIECES = 1 << 17
 _POSITION = (1 << 40) - 1
+_ROWS = 256
 
 
 class Recent(dict):
@@ -179,7 +180,8 @@ def encode_documents(
         import numpy as np
 
         bpe = vocabulary_of(shared.value)
-        for batch in batches:
+        parts = (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS))
+        for batch in parts:  # ids take more room than their texts
             rows = []
             for text in batch["text"].to_pylist():
                 tokens = bpe.encode(text)
