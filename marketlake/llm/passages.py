@@ -1,4 +1,4 @@
-"""Substring deduplication of passages: MinHash banding of paragraphs.
+"""Substring deduplication of passages: MinHash banding of paragraphs, and equal runs of words anywhere.
 
 Paragraphs are lines. Those of ``MIN_WORDS`` words or more are signed; ten bands of three minima meet pairs
 at a similarity of 0.8 with a probability above 0.999, and what meets is verified by the exact Jaccard
@@ -6,7 +6,14 @@ similarity of word 5-shingles. Components of verified links, equal paragraphs in
 several documents are passages: the document with the smallest id keeps its paragraphs, all others
 lose theirs.
 
-Shorter lines stay: they are headings, licence lines and the like, which clean documents share too.
+Words that stand in a run of ``RUN_WORDS`` or more words which a document with a smaller id holds too go as
+well, wherever the run begins and ends: inside a paragraph, across line ends, over short lines. Every
+window of ``RUN_WORDS`` words is marked by the least hash of its runs of ``MARK_WORDS`` words, so equal
+windows have equal marks and none is missed. Where all that have a mark agree on all the words of its
+windows, they are settled; elsewhere window by window. Words are told apart by what is not blank, A-Z
+lower-cased; a line that loses all its words goes whole.
+
+Shorter lines and runs stay: they are headings, licence lines and the like, which clean documents share too.
 
 Defined results: null and empty texts have one empty paragraph and lose nothing; rows of one id
 are one document; repeats inside one document stay; rows without an id neither keep nor lose; an empty
@@ -15,15 +22,23 @@ table gives none.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import durable
-from marketlake.llm.near import Banding, near_components
+from marketlake.llm.near import BROADCAST_IDS, Banding, near_components
+from marketlake.llm.shingles import WordHashes, mixed
 
 MIN_WORDS = 20
 PERCENT = 80
+RUN_WORDS, MARK_WORDS = 50, 16
 PARAGRAPHS = Banding(minima=64, bands=10, rows=3)
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _words(line: str):
@@ -41,55 +56,240 @@ def _paragraphs(text_col: str):
     return F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
 
 
-def passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-    percent: int = PERCENT,
-) -> DataFrame:
-    """(doc_id, position, component_id, first_doc_id), one row for each paragraph that other documents
-    share; ``first_doc_id`` is the document that keeps the passage."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, percent: int) -> DataFrame:
+    """(doc_id, digest, position, component_id, first_doc_id) of the paragraphs that other documents share."""
     lines = (
         docs.where(F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("doc_id"), F.posexplode(_paragraphs(text_col)).alias("position", "line"))
+        .select(
+            F.col(id_col).alias("doc_id"), _digest(text_col).alias("digest"),
+            F.posexplode(_paragraphs(text_col)).alias("position", "line"),
+        )
         .where((F.length("line") >= 2 * min_words - 1) & (_words("line") >= min_words))
         .withColumn("line_id", F.xxhash64("line"))
         .withColumnRenamed("doc_id", "owner")
     )
     found = durable(
-        near_components(lines, "line_id", "line", percent, how=PARAGRAPHS, carry=("owner", "position"))
-        .select("component_id", "owner", "position")
+        near_components(lines, "line_id", "line", percent, how=PARAGRAPHS, carry=("owner", "digest", "position"))
+        .select("component_id", "owner", "digest", "position")
     )
     shared = durable(
         found.groupBy("component_id").agg(F.min("owner").alias("first_doc_id"), F.max("owner").alias("last"))
         .where(F.col("first_doc_id") != F.col("last")).drop("last")
     )
     return found.join(shared, "component_id").select(
-        F.col("owner").alias("doc_id"), "position", "component_id", "first_doc_id"
+        F.col("owner").alias("doc_id"), "digest", "position", "component_id", "first_doc_id"
     )
 
 
-def repeated_passages(
+def passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """(doc_id, n_paragraphs, shared, removed, first_doc_ids, text), one row for each row of ``docs``:
+    """(doc_id, position, component_id, first_doc_id), one row for each paragraph that other documents
+    share; ``first_doc_id`` is the document that keeps the passage."""
+    return _lines(docs, id_col, text_col, min_words, percent).drop("digest")
+
+
+def _digest(text_col: str):
+    """Tells rows of one id apart that hold other texts."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _runs(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` words, by runs of powers of two."""
+    count = len(words) - width + 1
+    out, have, power, size = None, 0, words, 1
+    while True:
+        if width & size:
+            part = power[have : have + count]
+            out, have = (part if out is None else mixed(out) + part), have + size
+        if have == width:
+            return mixed(out)
+        power, size = mixed(power[:-size]) + power[size:], 2 * size
+
+
+def _marked(words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(mark, frame, first, last): a mark, the hash of all words of its windows and of its place in them,
+    and the first and last of those windows."""
+    grams, windows = _runs(words, MARK_WORDS), _runs(words, RUN_WORDS)
+    wide = RUN_WORDS - MARK_WORDS + 1
+    at = np.lib.stride_tricks.sliding_window_view(grams, wide).argmin(axis=1) + np.arange(len(windows))
+    picked, first = np.unique(at, return_index=True)
+    last = np.append(first[1:], len(windows)) - 1
+    # the first and the last window overlap, so the two hold all words between
+    place = ((picked - first) * wide + last - first).astype(np.uint64)
+    return grams[picked], mixed(mixed(windows[first]) + windows[last]) + place, first, last
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, digest, start, end, first_doc_id): words ``start`` to before ``end`` of a text are also in the
+    document ``first_doc_id``, which has the smallest id of all that hold them. The rows overlap."""
+    texts = docs.where(F.col(id_col).isNotNull() & (F.length(text_col) >= 2 * RUN_WORDS - 1)).select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _digest(text_col).alias("digest")
+    )
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            rows, found = [], []
+            for row, text in enumerate(batch["text"]):
+                words = hashes.of(text.as_py())
+                if len(words) >= RUN_WORDS:
+                    found.append(_marked(words))
+                    rows.append(np.full(len(found[-1][0]), row))
+            if found:
+                marks, frames, first, last = (np.concatenate(c) for c in zip(*found))
+                row = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(row), batch["digest"].take(row), pa.array(marks.view(np.int64)),
+                     pa.array(frames.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
+                    names=["doc_id", "digest", "mark", "frame", "first", "last"],
+                )
+
+    marks = durable(
+        texts.mapInArrow(mark, f"doc_id {kind}, digest long, mark long, frame long, first int, last int")
+    )
+    shared = durable(
+        marks.groupBy("mark").agg(
+            F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("top"),
+            (F.min("frame") == F.max("frame")).alias("settled"),
+        ).where(F.col("first_doc_id") != F.col("top")).drop("top")
+    )
+    hits = durable(marks.join(shared, "mark").drop("frame"))
+    whole = hits.where(F.col("settled") & (F.col("doc_id") != F.col("first_doc_id"))).select(
+        "doc_id", "digest", F.col("first").alias("start"), (F.col("last") + RUN_WORDS).alias("end"), "first_doc_id"
+    )
+    open_ = durable(
+        hits.where(~F.col("settled")).groupBy("doc_id", "digest")
+        .agg(F.collect_set(F.struct("mark", "first", "last")).alias("marks"))
+    )
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
+            for row, text in enumerate(batch["text"]):
+                windows = _runs(hashes.of(text.as_py()), RUN_WORDS).view(np.int64)
+                held = batch["marks"][row].values
+                first, last = (held.field(c).to_numpy() for c in ("first", "last"))
+                sizes = last - first + 1
+                start = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                same = pa.array(np.full(len(start), row))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(same), batch["digest"].take(same),
+                     pa.array(np.repeat(held.field("mark").to_numpy(), sizes)),
+                     pa.array(windows[start]), pa.array(start.astype(np.int32))],
+                    names=["doc_id", "digest", "mark", "window", "start"],
+                )
+
+    wanted = F.broadcast(open_) if open_.count() <= BROADCAST_IDS // 4 else open_
+    windows = durable(
+        texts.join(wanted, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+        .mapInArrow(spell, f"doc_id {kind}, digest long, mark long, window long, start int")
+    )
+    least = durable(
+        windows.groupBy("mark", "window").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("top"))
+        .where(F.col("first_doc_id") != F.col("top")).drop("top")
+    )
+    single = windows.join(least, ["mark", "window"]).where(F.col("doc_id") != F.col("first_doc_id")).select(
+        "doc_id", "digest", "start", (F.col("start") + RUN_WORDS).alias("end"), "first_doc_id"
+    )
+    return whole.unionByName(single)
+
+
+def _without(text: str, removed: set[int], runs: list[tuple[int, int]]) -> str:
+    """``text`` without the lines of ``removed`` and without the words of the sorted ``runs``."""
+    out, word, at = [], 0, 0
+    for k, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
+        places = [m.span() for m in _WORD.finditer(line)]
+        start, word = word, word + len(places)
+        if k in removed:
+            continue
+        stays = [True] * len(places)
+        while at < len(runs) and runs[at][1] <= start:
+            at += 1
+        near = at
+        while near < len(runs) and runs[near][0] < word:
+            low, high = max(runs[near][0], start) - start, min(runs[near][1], word) - start
+            stays[low:high] = [False] * (high - low)
+            near += 1
+        if all(stays):
+            out.append(line)
+        elif any(stays):
+            # a word that goes takes the blanks before it, at the start of a line those after it
+            kept, end = [], None
+            for place, stay in enumerate(stays):
+                if stay:
+                    before = places[place - 1][1] if place else 0
+                    kept.append(line[places[place][0] if end is None and place else before : places[place][1]])
+                    end = place
+            tail = line[places[-1][1] :] if stays[-1] else b""
+            out.append(b"".join(kept) + tail)
+    return b"\n".join(out).decode("utf-8", "surrogatepass")
+
+
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(runs):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def repeated_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+    percent: int = PERCENT, runs: bool = False,
+) -> DataFrame:
+    """(doc_id, n_paragraphs, shared, removed, first_doc_ids, runs, text), one row for each row of ``docs``:
     positions of the paragraphs that other documents share, of those removed, the documents that keep
-    them, and the text without them."""
-    removed = F.col("doc_id") != F.col("first_doc_id")
-    by_doc = passages(docs, id_col, text_col, min_words, percent).distinct().groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("position")).alias("shared"),
-        F.sort_array(F.collect_set(F.when(removed, F.col("position")))).alias("removed"),
-        F.sort_array(F.collect_set(F.when(removed, F.col("first_doc_id")))).alias("first_doc_ids"),
+    them or the runs, the runs of words removed (from, to before), and the text without both. Without
+    ``runs`` whole paragraphs only are removed."""
+    away = F.col("doc_id") != F.col("first_doc_id")
+    run = "struct<start:int,end:int>"
+    lines = _lines(docs, id_col, text_col, min_words, percent).select(
+        "doc_id", "digest", "position", F.when(away, F.col("position")).alias("gone"),
+        F.when(away, F.col("first_doc_id")).alias("keeper"), F.lit(None).cast(run).alias("run"),
+    )
+    if runs:
+        nothing = F.lit(None).cast("int")
+        lines = lines.unionByName(repeated_runs(docs, id_col, text_col).select(
+            "doc_id", "digest", nothing.alias("position"), nothing.alias("gone"),
+            F.col("first_doc_id").alias("keeper"), F.struct("start", "end").alias("run"),
+        ))
+    by_doc = lines.groupBy("doc_id", "digest").agg(
+        *[F.sort_array(F.collect_set(c)).alias(to)
+          for c, to in (("position", "shared"), ("gone", "removed"), ("keeper", "first_doc_ids"), ("run", "runs"))]
     )
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(by_doc, "doc_id", "left")
-    lines = _paragraphs("text")
-    kept = F.filter(lines, lambda line, k: ~F.array_contains("removed", k))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        _digest(text_col).alias("digest"),
+    ).join(by_doc, ["doc_id", "digest"], "left")
     none = F.array().cast("array<int>")
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    return rows.select(
+    made = rows.select(
         "doc_id",
-        F.size(lines).cast("long").alias("n_paragraphs"),
+        F.size(_paragraphs("text")).cast("long").alias("n_paragraphs"),
         F.coalesce("shared", none).alias("shared"),
         F.coalesce("removed", none).alias("removed"),
         F.coalesce("first_doc_ids", F.array().cast(f"array<{kind}>")).alias("first_doc_ids"),
-        F.when(F.size("removed") > 0, F.array_join(kept, "\n")).otherwise(F.coalesce("text", F.lit(""))).alias("text"),
+        F.coalesce("runs", F.array().cast(f"array<{run}>")).alias("runs"),
+        "text",
     )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = [], []
+            for row, text in enumerate(batch["text"]):
+                removed = batch["removed"][row].as_py()
+                found = _merged([(r["start"], r["end"]) for r in batch["runs"][row].as_py()])
+                texts.append(_without(text.as_py(), set(removed), found) if removed or found else text.as_py())
+                spans.append([{"start": a, "end": b} for a, b in found])
+            columns = [batch[c] for c in batch.schema.names[:-2]]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(spans, batch.schema.field("runs").type), pa.array(texts, pa.string())],
+                names=batch.schema.names,
+            )
+
+    return made.mapInArrow(cut, made.schema)

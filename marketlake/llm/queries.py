@@ -77,7 +77,7 @@ def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents"), runs=True)
 
 
 #: a turn that says what the template says

@@ -54,3 +54,66 @@ def test_odd_rows(spark, odd, none):
     assert by_id[6].removed == [] and by_id[6].shared == [0]
     assert by_id[1].shared == [] and by_id[3].text == ""
     assert repeated_passages(none).count() == 0
+
+
+def test_runs_are_found_wherever_they_stand(spark):
+    rnd = random.Random(5)
+    fresh = lambda n: [f"u{rnd.randrange(10**9)}" for _ in range(n)]
+    planted = [fresh(rnd.randrange(50, 151)) for _ in range(12)]
+    docs = []
+    for d in range(40):
+        words = fresh(rnd.randrange(100, 500))
+        for passage in rnd.sample(planted, rnd.randrange(3)):
+            # sometimes only a part of it, which may be too short
+            part = passage[rnd.choice((0, 0, 30)) :]
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = part
+        ends = {"one line": [" "], "some": [" "] * 60 + ["\n"], "short lines": [" "] * 7 + ["\n"]}
+        gaps = rnd.choice(list(ends.values()))
+        docs.append((d, "".join(w + rnd.choice(gaps) for w in words)))
+    first = {}
+    for d, text in docs:
+        words = text.split()
+        for k in range(len(words) - 49):
+            first.setdefault(tuple(words[k : k + 50]), d)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in repeated_passages(frame, runs=True).collect()}
+    hit = 0
+    for d, text in docs:
+        words = text.split()
+        at = {k: first[tuple(words[k : k + 50])] for k in range(len(words) - 49)}
+        gone = {k + j for k, keeper in at.items() if keeper != d for j in range(50)}
+        r = got[d]
+        assert {k for x in r.runs for k in range(x.start, x.end)} == gone
+        assert r.text.split() == [w for k, w in enumerate(words) if k not in gone]
+        assert set(r.first_doc_ids) == {keeper for keeper in at.values() if keeper != d}
+        assert r.removed == []
+        hit += bool(gone)
+    assert hit > 10
+
+
+def test_runs_leave_the_text_around_them(spark):
+    run = " ".join(f"p{k}" for k in range(60))
+    wrapped = "\n".join(" ".join(f"P{k}" for k in range(s, s + 10)) for s in range(0, 60, 10))
+    # enough of its own in a line that the line is no near copy
+    own = lambda d: " ".join(f"w{d}x{k}" for k in range(30))
+    docs = [
+        (1, run), (2, f"{own(2)} {run} after  it\nlast line"), (3, f"Head\n\n{wrapped}\ntail"),
+        (4, f"{run}  {own(4)} y\n z"), (4, "another text of this id"), (5, f"é {wrapped.lower()}"),
+    ]
+    got = {(r.doc_id, r.n_paragraphs): r.text for r in repeated_passages(
+        spark.createDataFrame(docs, "doc_id long, text string"), runs=True).collect()}
+    assert got[1, 1] == run
+    assert got[2, 2] == f"{own(2)} after  it\nlast line"
+    assert got[3, 9] == "Head\n\ntail"
+    assert got[4, 2] == f"{own(4)} y\n z" and got[4, 1] == "another text of this id"
+    assert got[5, 6] == "é"
+
+
+def test_runs_of_odd_rows(spark, odd, none):
+    rows = repeated_passages(odd, runs=True).collect()
+    assert len(rows) == odd.count()
+    by_id = {r.doc_id: r for r in rows if r.doc_id}
+    assert by_id[7].text == "" and [tuple(x) for x in by_id[7].runs] == [(0, 60_000)] and by_id[6].runs == []
+    assert by_id[3].text == "" and by_id[5].text == " \t\n"
+    assert repeated_passages(none, runs=True).count() == 0
