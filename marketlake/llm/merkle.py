@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and their pieces; DataFrame functions only.
 
-Sections are separated by blank lines, paragraphs are lines, and a paragraph's leaves are pieces of up to
-six words that end with a sentence. A node is the SHA-256 of its children's hashes, so equal roots mean
+Sections end with blank lines, paragraphs are lines, and a paragraph's leaves are pieces of up to six words
+that end with a sentence. A run of line ends stays with the last paragraph before it. A node is the SHA-256 of its children's hashes, so equal roots mean
 equal texts, and where roots differ, equal branches need no look inside. The fingerprint is one string:
 
     root section:paragraph=leaf.size,leaf.size;paragraph=...|section:...
@@ -23,6 +23,8 @@ from marketlake.llm.common import parallelism, range_bucket, range_borders
 
 #: up to five words that end no sentence, then one that may
 PIECE = r"\s*(?:\S*[^\s.!?]\s+){0,5}\S+\s*"
+#: between sections nothing is taken out; between paragraphs the one line end
+SECTION, PARAGRAPH = r"(?<=\n\n)(?![\n]|\z)", r"(?<!\n)\n(?!\n)"
 LEAF_DIGITS, BRANCH_DIGITS = 8, 12
 
 
@@ -49,7 +51,7 @@ def _section(section: Column) -> Column:
         )
 
     # each step stands alone, since an expression used twice inside a lambda is computed twice
-    leaves = F.transform(F.split(section, "\n"), paragraph)
+    leaves = F.transform(F.split(section, PARAGRAPH), paragraph)
     branches = F.transform(leaves, branch)
     return F.transform(
         F.array(branches),
@@ -63,7 +65,7 @@ def _section(section: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    sections = F.transform(F.split(F.coalesce(text, F.lit("")), "\n{2,}"), _section)
+    sections = F.transform(F.split(F.coalesce(text, F.lit("")), SECTION), _section)
     made = F.transform(
         F.array(sections),
         lambda s: F.concat(

@@ -27,6 +27,17 @@ def test_equal_roots_mean_equal_texts(spark):
     assert len(set(roots)) >= len(roots) - 1
 
 
+def test_blank_lines_change_the_root(spark):
+    texts = ["", "\n", "\n\n", "\n\n\n", "a", "a\n", "a\n\n", "a\n\n\n", "a\nb", "a\n\nb", "a\n\n\nb", "a\n\n\n\nb", "ab",
+             "\na", "\n\na", "\n\n\na", "a\n\nb\n", "a\n\nb\n\n", "a\n\n\nb\n\n", "a\n \nb", "a\n\n b", "a \n\nb"]
+    assert len({m[:64] for m in marks(spark, *texts)}) == len(texts)
+    near, at = compare(spark, "s p\na\n\nb c d", "s p\na\n\n\nb c d")
+    assert at == [(0, 1)] and 0 < near < 1
+    assert compare(spark, "a b\n\n", "a b\n\n\n")[1] == [(0, 0)]
+    # a paragraph put after a blank line is in the second section
+    assert compare(spark, "a b\n\nc d", "a b\n\nc e")[1] == [(1, 0)]
+
+
 def test_branches_locate_an_edit(spark):
     words = "one two three four five six seven eight nine ten. "
     text = "\n\n".join("\n".join(f"s{s} p{p} " + words for p in range(3)) for s in range(4))
