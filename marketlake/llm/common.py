@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: smaller than a checkpoint, and later
+    steps read only the columns they use."""
+    shared_checkpoints(df.sparkSession)
+    place = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def without_blanks(text: Column) -> Column:
     for blank in BLANKS:
         text = F.replace(text, F.lit(blank), F.lit(""))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm.bpe import encode_documents
+from marketlake.llm.codes import vector_codes
+from marketlake.llm.common import stored
 from marketlake.llm.chat import format_conversations, read_back, text_part
 from marketlake.llm.exact import exact_groups
 from marketlake.llm.merkle import fingerprint, likeness, with_next
@@ -104,8 +107,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    coded = stored(found).alias("c")
+    by_label = coded.groupBy("carried").agg(F.sum("error").alias("label_error")).alias("t")
+    listed = ",".join(str(v) for v in books.reshape(-1).tolist())
+    return coded.join(by_label, F.col("c.carried").eqNullSafe(F.col("t.carried"))).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(hashlib.sha256(listed.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat, op11_codes)}
 
 
 EXACT_SQL = r"""
@@ -142,5 +156,47 @@ FROM framed GROUP BY conv_id
 """
 
 
+_NEAREST = """
+SELECT r, p, x, min_by(e, d * 64 + e) AS e, min(d) AS d
+FROM (SELECT r, p, x, e,
+             cast(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d
+      FROM parts JOIN {book} USING (p))
+GROUP BY ALL
+"""
+
+_MOVED = """
+SELECT p, e, coalesce(m, c) AS c
+FROM {book} LEFT JOIN (
+  SELECT p, e, list(v ORDER BY i) AS m
+  FROM (SELECT p, e, i, cast(floor(sum(x[i]) / count(*)) AS BIGINT) AS v
+        FROM {near}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i) GROUP BY p, e, i)
+  GROUP BY p, e) USING (p, e)
+"""
+
+CODES_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, *
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))
+), parts AS (
+  SELECT r, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) AS t(p)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64),
+near0 AS MATERIALIZED ({_NEAREST.format(book="book0")}),
+book1 AS MATERIALIZED ({_MOVED.format(book="book0", near="near0")}),
+near1 AS MATERIALIZED ({_NEAREST.format(book="book1")}),
+book2 AS MATERIALIZED ({_MOVED.format(book="book1", near="near1")}),
+near2 AS MATERIALIZED ({_NEAREST.format(book="book2")}),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, cast(sum(d) AS BIGINT) AS error
+  FROM near2 JOIN kept USING (r) GROUP BY r, vec_id, label
+)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_SQL, "op10_chat": CHAT_SQL}
+    return {"op4_exact_dedup": EXACT_SQL, "op10_chat": CHAT_SQL, "op11_codes": CODES_SQL}
