@@ -18,6 +18,7 @@ from marketlake.llm.mixing import mix
 from marketlake.llm.near import near_components
 from marketlake.llm.pages import extract_main_text
 from marketlake.llm.passages import repeated_passages
+from marketlake.llm.shards import shard_documents
 from marketlake.llm.surrogates import replace_entities
 from marketlake.llm.toxicity import toxicity
 
@@ -118,8 +119,15 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat, op11_codes)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat, op11_codes, op12_shards)}
 
 
 EXACT_SQL = r"""
