@@ -33,11 +33,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_place(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    shared_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: smaller than a checkpoint, and later
     steps read only the columns they use."""
-    shared_checkpoints(df.sparkSession)
-    place = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    place = shared_place(df.sparkSession, "table")
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.bpe import encode_documents
 from marketlake.llm.codes import vector_codes
-from marketlake.llm.common import stored
+from marketlake.llm.common import shared_place, stored
 from marketlake.llm.chat import format_conversations, read_back, text_part
 from marketlake.llm.exact import exact_groups
+from marketlake.llm.lexical import build_index, search
 from marketlake.llm.merkle import fingerprint, likeness, with_next
 from marketlake.llm.mixing import mix
 from marketlake.llm.near import near_components
@@ -126,8 +127,14 @@ def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_place(spark, "index")
+    build_index(table(spark, sf_dir, "documents"), root)
+    return search(spark, root, table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat, op11_codes, op12_shards)}
+    return {f.__name__: f for f in (op1_mixing, op2_minhash, op3_merkle, op4_exact_dedup, op5_surrogates, op6_toxicity, op7_bpe, op8_pages, op9_passages, op10_chat, op11_codes, op12_shards, op13_lexical)}
 
 
 EXACT_SQL = r"""
@@ -206,5 +213,33 @@ FROM coded
 """
 
 
+LEXICAL_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), asked AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), postings AS (SELECT r, doc_id, term, count(*) AS tf FROM docs GROUP BY ALL),
+lengths AS (SELECT r, cast(sum(tf) AS BIGINT) AS n FROM postings GROUP BY r),
+total AS (SELECT count(*) AS d, cast(sum(n) AS BIGINT) AS l FROM lengths),
+norms AS (SELECT r, 75 + (25 * n * d) // l AS m FROM lengths, total),
+weights AS (SELECT term, cast(floor(1000 * ln((2 * d + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, total GROUP BY term, d),
+questions AS (SELECT i, item_id, term, count(*) AS q FROM asked GROUP BY ALL),
+scored AS (
+  SELECT i, item_id, r, doc_id, cast(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM questions JOIN weights USING (term) JOIN postings USING (term) JOIN norms USING (r) GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, cast(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_SQL, "op10_chat": CHAT_SQL, "op11_codes": CODES_SQL}
+    return {"op4_exact_dedup": EXACT_SQL, "op10_chat": CHAT_SQL, "op11_codes": CODES_SQL, "op13_lexical": LEXICAL_SQL}
