@@ -36,6 +36,8 @@ K = 20
 CHUNK_DOCS, CHUNK_TERMS = 1024, 1 << 18
 #: an items block holds at most so many (item, distinct term) cells, unless a single item has more
 BLOCK_CELLS = 1 << 22
+#: strata of several chunks that may be broadcast, 16 bytes each; more are joined by a shuffle
+BROADCAST_STRATA = 100_000
 _SLICE = 1 << 20
 #: ASCII other than digits and letters becomes a blank, A-Z become a-z, all else is part of a term
 _FOLD = bytes(
@@ -57,7 +59,7 @@ def term_counts(text: str | None) -> Counter:
 
 
 def _counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, terms, tfs) of the rows with a term."""
+    """(id, n, terms, tfs) of the rows with a term: terms parted by blanks, frequencies as 32-bit words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
@@ -66,13 +68,13 @@ def _counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             held = [found[k] for k in some]
             yield pa.RecordBatch.from_arrays(
                 [batch["id"].take(pa.array(some, pa.int32())), pa.array([c.total() for c in held], pa.int64()),
-                 pa.array([list(c) for c in held], pa.list_(pa.binary())),
-                 pa.array([list(c.values()) for c in held], pa.list_(pa.int32()))],
+                 pa.array([b" ".join(c) for c in held], pa.binary()),
+                 pa.array([np.fromiter(c.values(), "<i4", len(c)).tobytes() for c in held], pa.binary())],
                 names=["id", "n", "terms", "tfs"],
             )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(count, "id long, n long, terms array<binary>, tfs array<int>")
+    return narrow.mapInArrow(count, "id long, n long, terms binary, tfs binary")
 
 
 def _starts(changes: np.ndarray) -> np.ndarray:
@@ -82,10 +84,11 @@ def _starts(changes: np.ndarray) -> np.ndarray:
 
 def _stratum(group: pa.Table) -> list:
     """One index row of the documents of one chunk."""
-    terms, tfs = group["terms"].combine_chunks(), group["tfs"].combine_chunks()
+    terms = pc.split_pattern(group["terms"].combine_chunks(), " ")
     owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy())
     coded = terms.flatten().dictionary_encode()
-    code, tf = coded.indices.to_numpy().astype(np.int64), tfs.flatten().to_numpy().astype(np.int64)
+    code = coded.indices.to_numpy().astype(np.int64)
+    tf = np.frombuffer(b"".join(group["tfs"].to_pylist()), "<i4").astype(np.int64)
     order = np.lexsort((owner, -tf, code))
     code, tf = code[order], tf[order]
     new_term = code[1:] != code[:-1]
@@ -107,7 +110,11 @@ def build_index(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: st
     cuts = rows.groupBy("m").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_DOCS), F.ceil(F.sum("n") / CHUNK_TERMS)).alias("chunks")
     )
-    dealt = rows.join(cuts, "m").withColumn("chunk", F.pmod(F.xxhash64("draw"), F.col("chunks")))
+    # strata of one chunk, most of them, need no row; the others are few, but grow with the table
+    cuts = durable(cuts.where(F.col("chunks") > 1))
+    few = F.broadcast(cuts) if cuts.count() <= BROADCAST_STRATA else cuts
+    chunk = F.pmod(F.xxhash64("draw"), F.coalesce("chunks", F.lit(1).cast("long")))
+    dealt = rows.join(few, "m", "left").withColumn("chunk", chunk)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [f.split()[0] for f in _STRATA.split(", ")]
