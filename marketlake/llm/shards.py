@@ -3,8 +3,9 @@
 Documents with an equal ``link`` (by default: an equal text) are neighbours. Each starts in a seeded shard. In
 a round a group's documents are counted by shard, and those outside its fullest shard want to go there; a
 group larger than a shard fills several. What may move is a quota: a shard takes no more linked
-documents than it has rows, counting those that leave it in the same round, so exchanges are free and documents
-without neighbours make room. A group that finds its shard full turns to another in the next round.
+documents than it has rows, counting those that leave it in the same round, so exchanges are free; documents
+without neighbours, and small groups that are whole, make room. A group that finds its shard full turns to
+another in the next round.
 Moves never part documents that are together, so every round leaves fewer links cut.
 
 After the last round shards give up exactly the rows above their quota, documents without neighbours
@@ -31,6 +32,8 @@ SHARDS, ROUNDS, SEED = 24, 6, 12
 SLOTS = 1024
 #: groups up to this size stay in one slot, so that rows which must leave leave together
 SMALL = 1000
+#: groups of at most this part of a shard move as one, and make room once they are whole
+UNIT = 1 / 20
 _GRAINS = 1 << 20
 #: part of a short quota that is used, as documents are drawn by hash
 _CARE = 0.99
@@ -44,17 +47,17 @@ def _by_shard(values: list, shard: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (shard + 1).cast("int"))
 
 
-def shares(demand: list[list[int]], linked: list[int], quota: int) -> list[float]:
+def shares(demand: list[list[int]], bound: list[int], quota: int) -> list[float]:
     """For each shard the part of the documents which want to come that may: after the round none holds more
-    linked documents than ``quota``, those that leave counted."""
-    n = len(linked)
+    documents that make no room (``bound`` before it) than ``quota``, those that leave counted."""
+    n = len(bound)
     taken = [1.0] * n
     for _ in range(100):
         before = list(taken)
         for t in range(n):
             coming = sum(demand[s][t] for s in range(n))
             leaving = sum(demand[t][u] * taken[u] for u in range(n))
-            room = max(0.0, quota - linked[t] + leaving)
+            room = max(0.0, quota - bound[t] + leaving)
             if coming * taken[t] > room:
                 taken[t] = _CARE * room / coming
         if before == taken:
@@ -93,21 +96,25 @@ def propagate(members: DataFrame, shards: int, quota: int, rounds: int = ROUNDS,
         spot = _chance(F.lit(seed + turn), F.col("row"))
         goal = F.filter("targets", lambda t: t["reach"] > spot)[0]["shard"]
         outside = F.col("targets").isNotNull() & ~F.array_contains("keeps", F.col("shard"))
+        small = F.col("n") <= quota * UNIT
         wanted = durable(
-            members.join(targets, "link", "left").withColumn("to", F.when(outside, goal)).drop("keeps", "targets")
+            members.join(targets, "link", "left")
+            .withColumns({"to": F.when(outside, goal), "yields": small & F.col("targets").isNull()})
+            .drop("keeps", "targets")
         )
-        demand, linked = [[0] * shards for _ in range(shards)], [0] * shards
-        for r in wanted.groupBy("shard", "to").count().collect():  # at most shards x (shards + 1) rows
-            linked[r["shard"]] += r["count"]
+        demand, bound = [[0] * shards for _ in range(shards)], [0] * shards
+        # at most shards x (shards + 2) rows
+        for r in wanted.groupBy("shard", "to", "yields").count().collect():
+            bound[r["shard"]] += 0 if r["yields"] else r["count"]
             if r["to"] is not None:
                 demand[r["shard"]][r["to"]] = r["count"]
+        wanted = wanted.drop("yields")
         if not any(map(any, demand)):
             return wanted.drop("to")
-        taken = shares(demand, linked, quota)
+        taken = shares(demand, bound, quota)
         full = [t < 0.5 for t in taken]
         # a small group moves as one; of a large one each document draws for itself
-        whole = F.col("n") * 100 <= quota
-        draw = F.when(whole, _chance(F.lit(-turn), F.col("link"))).otherwise(_chance(F.lit(-turn), F.col("row")))
+        draw = F.when(small, _chance(F.lit(-turn), F.col("link"))).otherwise(_chance(F.lit(-turn), F.col("row")))
         goes = F.col("to").isNotNull() & (draw < _by_shard(taken, F.coalesce("to", F.lit(0))))
         members = wanted.withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard"))).drop("to")
     return durable(members)
