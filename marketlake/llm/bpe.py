@@ -4,8 +4,12 @@ Each pre-token is a doubly linked list of symbols; a priority queue holds the ra
 its neighbours allow, and entries whose symbols have changed meanwhile are skipped. Decoding joins the
 vocabulary strings of the ids, as the library does for a vocabulary without a decoder.
 
+No token reaches past an ASCII blank, so a portion of rows is cut into runs without blanks, each distinct run
+is encoded and decoded once, and the rows' ids are put together from those of their runs by offsets.
+
 Defined results: null and empty texts have no tokens and decode to an empty text; a text of any length
-is encoded whole; repeated rows repeat.
+is encoded whole; repeated rows, and rows of one id, repeat; an empty table gives none; columns other than the
+id and the text are not looked at.
 """
 
 from __future__ import annotations
@@ -15,17 +19,23 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: pieces held in each of two generations: the older is dropped when the younger is full
-_CACHE_PIECES = 1 << 17
+_CACHE_PIECES = 1 << 18
+#: runs that a worker holds before it begins anew
+_CACHE_RUNS = 1 << 20
 _POSITION = (1 << 40) - 1
-_ROWS = 256
+#: a portion ends with the row that passes either
+_ROWS, _BYTES = 1024, 1 << 22
 
 
 class Recent(dict):
@@ -42,6 +52,7 @@ class Recent(dict):
         self[key] = value
         return value
 
+
 # fixed values: the split pattern of the vocabulary file; its \s is Unicode's White_Space
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECE = regex.compile(
@@ -67,100 +78,176 @@ class WordBpe:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
         size = 1 + max([*self.ids.values(), *self.special.values()])
-        self.strings = [""] * size
+        self.strings = [b""] * size
         for text, number in [*self.ids.items(), *self.special.items()]:
-            self.strings[number] = text
-        #: pair of ids -> (rank above the bits of a position, id of the merged symbol)
-        self.merges: dict[int, tuple[int, int]] = {}
-        for rank, (left, right) in enumerate(model["merges"]):
+            self.strings[number] = text.encode("utf-8")
+        #: pair of ids -> rank above the bits of a position; the symbol that a rank makes
+        self.merges: dict[int, int] = {}
+        self.made: list[int] = [0]
+        for rank, (left, right) in enumerate(model["merges"], 1):
             joined = left.removesuffix(self.end) if self.end and left.endswith(self.end) else left
-            self.merges[self.ids[left] << 20 | self.ids[right]] = (rank << 40, self.ids[joined + right])
+            self.merges[self.ids[left] << 20 | self.ids[right]] = rank << 40
+            self.made.append(self.ids[joined + right])
         letters = byte_letters()
         self.first = [self.ids[x] for x in letters]
         self.closing = [self.ids[x + self.end] for x in letters]
+        #: ranks of the merges of two bytes, inside a piece and at its end
+        self.inside, self.at_end = (
+            [[self.merges.get(a << 20 | b, 0) for b in second] for a in self.first]
+            for second in (self.first, self.closing)
+        )
         self.marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        self.known, self.pieces = Recent(), Recent()
+        self.mark_bytes = b"".join(m.encode("utf-8")[:1] for m in self.special)
+        self.pieces = Recent()
 
     def piece(self, text: str) -> list[int]:
         """Ids of one pre-token."""
         raw = text.encode("utf-8")
         last = len(raw) - 1
-        first = self.first
+        first, inside = self.first, self.inside
         symbols = [first[b] for b in raw]
         symbols[-1] = self.closing[raw[-1]]
-        merges = self.merges
-        # an entry is rank and left position in one integer, so the queue orders by both
-        queue = [
-            found[0] | at for at in range(last)
-            if (found := merges.get(symbols[at] << 20 | symbols[at + 1]))
-        ]
+        if not last:
+            return symbols
+        # an entry is rank and left position in one integer, so the queue orders by both; the one that
+        # holds for a position now is kept beside, 0 if there is none
+        holds = [inside[a][b] for a, b in zip(raw, raw[1:])]
+        holds[-1] = self.at_end[raw[-2]][raw[-1]]
+        holds = [rank | at if rank else 0 for at, rank in enumerate(holds)]
+        queue = [entry for entry in holds if entry]
         if not queue:
             return symbols
+        holds.append(0)
         heapq.heapify(queue)
+        pop, push, rank_of, made = heapq.heappop, heapq.heappush, self.merges.get, self.made
         before, after = list(range(-1, last)), list(range(1, last + 2))
         while queue:
-            entry = heapq.heappop(queue)
+            entry = pop(queue)
             left = entry & _POSITION
+            if holds[left] != entry:
+                continue  # stale: merged away, or a neighbour has merged since
             right = after[left]
-            if symbols[left] < 0 or right > last:
-                continue  # stale: merged away, or nothing left to merge with
-            found = merges.get(symbols[left] << 20 | symbols[right])
-            if not found or found[0] | left != entry:
-                continue  # stale: a neighbour has merged since
-            symbols[left], symbols[right] = found[1], -1
+            symbol = symbols[left] = made[entry >> 40]
+            symbols[right], holds[right] = -1, 0
             far = after[left] = after[right]
+            entry = 0
             if far <= last:
                 before[far] = left
-                if found := merges.get(symbols[left] << 20 | symbols[far]):
-                    heapq.heappush(queue, found[0] | left)
+                if rank := rank_of(symbol << 20 | symbols[far]):
+                    entry = rank | left
+                    push(queue, entry)
+            holds[left] = entry
             near = before[left]
-            if near >= 0 and (found := merges.get(symbols[near] << 20 | symbols[left])):
-                heapq.heappush(queue, found[0] | near)
+            if near >= 0:
+                entry = 0
+                if rank := rank_of(symbols[near] << 20 | symbol):
+                    entry = rank | near
+                    push(queue, entry)
+                holds[near] = entry
         return [s for s in symbols if s >= 0]
 
-    def _plain(self, text: str) -> list[int]:
+    def _known(self, found: str) -> tuple[int, ...]:
+        ids = self.pieces.get(found)
+        if ids is None:
+            # a tuple of numbers is nothing that the collector must follow
+            ids = self.pieces.older.get(found) or tuple(self.piece(found))
+            if len(found) <= 64:
+                self.pieces.add(found, ids)
+        return ids
+
+    def _plain(self, text: str) -> Sequence[int]:
         # one code point at a time, as the library lower-cases: no rule for a final sigma
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        if text.isalpha():
+            return self._known(text)
         out: list[int] = []
-        for found in _PIECE.findall(text.lower()):
-            ids = self.pieces.get(found)
-            if ids is None:
-                ids = self.pieces.older.get(found) or self.piece(found)
-                if len(found) <= 64:
-                    self.pieces.add(found, ids)
-            out += ids
+        for found in _PIECE.findall(text):
+            out += self._known(found)
         return out
 
-    def run(self, raw: bytes) -> list[int]:
+    def run(self, raw: bytes) -> Sequence[int]:
         """Ids of a run without ASCII blanks; no pre-token and no special token reaches past one."""
-        if raw in self.known.older:
-            return self.known.add(raw, self.known.older[raw])
-        text, out, at = raw.decode("utf-8"), [], 0
+        text = raw.decode("utf-8")
+        if raw.translate(None, self.mark_bytes) == raw:
+            return self._plain(text)
+        out, at = [], 0
         for mark in self.marks.finditer(text):
             out += self._plain(text[at : mark.start()])
             out.append(self.special[mark.group()])
             at = mark.end()
         out += self._plain(text[at:])
-        if len(raw) <= 64:
-            self.known.add(raw, out)
         return out
 
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        known, run = self.known, self.run
-        for raw in (text or "").encode("utf-8").split():
-            ids += known.get(raw) or run(raw)
-        return ids
+        return [i for raw in (text or "").encode("utf-8").split() for i in self.run(raw)]
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.strings.__getitem__, ids))
+        return self.decoded(ids).decode("utf-8")
+
+    def decoded(self, ids: Sequence[int]) -> bytes:
+        return b" ".join(map(self.strings.__getitem__, ids))
+
+
+class Runs(dict):
+    """Number of each run met, with its ids and their text; begins anew when it has grown past a fixed size."""
+
+    def __init__(self, bpe: WordBpe):
+        super().__init__()
+        self.bpe = bpe
+        self._begin()
+
+    def _begin(self) -> None:
+        self.clear()
+        self.ids, self.ends, self.decoded = array("I"), array("q", [0]), []
+
+    def __missing__(self, raw: bytes) -> int:
+        ids = self.bpe.run(raw)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        self.decoded.append(self.bpe.decoded(ids))
+        number = self[raw] = len(self.decoded) - 1
+        return number
+
+    def portion(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(ids of all texts, where each text's begin and the last's end, decoded texts)."""
+        if len(self) > _CACHE_RUNS:
+            self._begin()
+        runs = pc.ascii_split_whitespace(texts.fill_null(""))
+        rows = np.repeat(np.arange(len(runs)), pc.list_value_length(runs).to_numpy())
+        coded = runs.flatten().cast(pa.binary()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
+        ends = np.array(self.ends)
+        held = numbers[coded.indices.to_numpy()]
+        sizes = ends[held + 1] - ends[held]
+        some = sizes > 0  # blanks at the ends of a text part off empty runs
+        held, sizes, rows = held[some], sizes[some], rows[some]
+        upto = np.cumsum(sizes)
+        at = np.arange(upto[-1] if len(upto) else 0) + np.repeat(ends[held] - upto + sizes, sizes)
+        cuts = np.searchsorted(rows, np.arange(len(runs) + 1))
+        text_of = self.decoded
+        words = [text_of[k] for k in held.tolist()]
+        decoded = [b" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:])]
+        return np.array(self.ids, np.uint32)[at], np.concatenate([[0], upto])[cuts], decoded
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            done = sizes[at - 1] if at else 0
+            end = min(at + _ROWS, batch.num_rows, int(np.searchsorted(sizes, done + _BYTES)) + 1)
+            yield batch.slice(at, end - at)
+            at = end
 
 
 @functools.lru_cache(maxsize=2)
-def vocabulary_of(definition: str) -> WordBpe:
+def runs_of(definition: str) -> Runs:
     """One encoder for each Python worker, kept from task to task."""
-    return WordBpe(definition)
+    return Runs(WordBpe(definition))
 
 
 def encode_documents(
@@ -177,30 +264,18 @@ def encode_documents(
         shared = spark.sparkContext.broadcast(file.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        bpe = vocabulary_of(shared.value)
-        parts = (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS))
-        for batch in parts:  # ids take more room than their texts
-            rows = []
-            for text in batch["text"].to_pylist():
-                tokens = bpe.encode(text)
-                numbers = np.fromiter(tokens, "<u4", len(tokens))
-                packed = numbers.tobytes()
-                rows.append((
-                    len(tokens),
-                    hashlib.sha256(packed).hexdigest(),
-                    hashlib.sha256(bpe.decode(tokens).encode("utf-8")).hexdigest(),
-                    numbers.astype(np.int32) if ids else None,
-                ))
-            count, hashed, decoded, arrays = zip(*rows) if rows else ((),) * 4
+        runs = runs_of(shared.value)
+        for batch in _portions(batches):
+            numbers, cuts, decoded = runs.portion(batch["text"])
+            packed, sha = memoryview(numbers.astype("<u4")).cast("B"), hashlib.sha256
             columns = [
-                batch["doc_id"], pa.array(count, pa.int64()), pa.array(hashed, pa.string()),
-                pa.array(decoded, pa.string()),
+                batch["doc_id"], pa.array(np.diff(cuts), pa.int64()),
+                pa.array([sha(packed[4 * a : 4 * b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string()),
+                pa.array([sha(text).hexdigest() for text in decoded], pa.string()),
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
-                columns.append(pa.array(arrays, pa.list_(pa.int32())))
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(numbers.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
