@@ -23,7 +23,7 @@ repeated rows repeat; an empty table gives none.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import durable
 from marketlake.llm.components import components
-from marketlake.llm.shingles import WORDS_PER_SHINGLE, WordHashes, common, mixed, shingle_set
+from marketlake.llm.shingles import WORDS_PER_SHINGLE, WordHashes, common, mixed, shingle_set, shingle_sets
 
 BITS = 4
 #: lowest bit of each lane of a long
@@ -42,7 +42,7 @@ LOW = int("1" * 16, 16)
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 19
 #: ids that may be broadcast to pick texts map-side (about 10 MB); more are joined by a shuffle
 BROADCAST_IDS = 200_000
-
+_BLOCK_WORDS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -73,6 +73,18 @@ def minima(shingles: np.ndarray, how: Banding) -> np.ndarray:
     return out
 
 
+def minima_of(hashes: np.ndarray, owner: np.ndarray, texts: int, how: Banding) -> np.ndarray:
+    """``minima`` of many shingle sets at once, laid end to end; zeros for a text without shingles."""
+    factors, out = _FACTORS[:, : how.minima], np.full((texts, how.minima), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 512):
+        mine = owner[at : at + 512]
+        starts = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
+        least = np.minimum.reduceat(hashes[at : at + 512, None] * factors[0] + factors[1], starts, axis=0)
+        out[mine[starts]] = np.minimum(out[mine[starts]], least)
+    out[np.bincount(owner, minlength=texts) == 0] = 0
+    return out
+
+
 def packed(low: np.ndarray, how: Banding) -> np.ndarray:
     """Low bits of the minima, 16 lanes to a long; one row of ``low`` for each text."""
     lanes = (low & np.uint64(15)).reshape(-1, how.lanes, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
@@ -87,6 +99,19 @@ def band_keys(low: np.ndarray, how: Banding) -> np.ndarray:
     return mixed(keys)
 
 
+def _word_blocks(texts: pa.Array, words: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(number of the first text, word hashes of each text) of runs of texts with about ``_BLOCK_WORDS`` words."""
+    first, found, size = 0, [], 0
+    for row, text in enumerate(texts):
+        found.append(words.of(text.as_py()))
+        size += len(found[-1])
+        if size >= _BLOCK_WORDS:
+            yield first, found
+            first, found, size = row + 1, [], 0
+    if found:
+        yield first, found
+
+
 def signatures(
     docs: DataFrame, id_col: str, text_col: str, width: int, how: Banding, carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -96,14 +121,15 @@ def signatures(
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
-            sizes, digests = [], []
-            low = np.zeros((batch.num_rows, how.minima), np.uint64)
-            for row, text in enumerate(batch["text"].to_pylist()):
-                shingles = shingle_set(words.of(text), width)
-                sizes.append(len(shingles))
-                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-                if len(shingles):
-                    low[row] = minima(shingles, how)
+            sizes, digests, low = [], [], np.zeros((batch.num_rows, how.minima), np.uint64)
+            for first, found in _word_blocks(batch["text"], words):
+                hashes, owner = shingle_sets(found, width)
+                ends = np.cumsum(np.bincount(owner, minlength=len(found)))
+                sizes += np.diff(ends, prepend=0).tolist()
+                raw = memoryview(hashes).cast("B")
+                starts = [0, *ends[:-1].tolist()]
+                digests += [xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(starts, ends.tolist())]
+                low[first : first + len(found)] = minima_of(hashes, owner, len(found), how)
             pair = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
             keys = np.hstack([pair, packed(low, how), band_keys(low, how)]).view(np.int64)
             columns = [batch["id"], pa.array(sizes, pa.int64())]
@@ -271,11 +297,12 @@ def _together(df: DataFrame) -> DataFrame:
 
 
 def near_links(
-    docs: DataFrame, signed: DataFrame, id_col: str, text_col: str, percent: int, width: int, how: Banding
+    sets_of: Callable[[DataFrame], DataFrame], signed: DataFrame, percent: int, how: Banding
 ) -> DataFrame | None:
     """(node, component) of the nodes in components of two or more; None if there are none.
 
-    ``signed`` has one row for each node: node, n, digest1, digest2, lanes, bands.
+    ``signed`` has one row for each node: node, n, digest1, digest2, lanes, bands; ``sets_of`` makes
+    (node, shingles) for rows of node, digest1 and digest2.
     """
     threshold = percent / 100
     allowed = most_differing(threshold, how)
@@ -299,7 +326,7 @@ def near_links(
         .select("p.node", "p.hub")
     )
     wanted = close.select("node").unionAll(close.select(F.col("hub").alias("node"))).distinct()
-    sets = _sets(docs, id_col, text_col, near.join(wanted, "node").select("node", "digest1", "digest2"), width)
+    sets = sets_of(near.join(wanted, "node").select("node", "digest1", "digest2"))
     inter = F.size(F.array_intersect("x.shingles", "y.shingles"))
     either = F.size("x.shingles") + F.size("y.shingles")
     confirmed = (
@@ -352,7 +379,7 @@ def near_links(
     wanted = kept.select("node", "digest1", "digest2").distinct()
     if not kept.take(1):
         return labels
-    more = _sets(docs, id_col, text_col, wanted, width)
+    more = sets_of(wanted)
     kind = blocks.schema["node"].dataType.simpleString()
     across = durable(
         _together(kept.join(more, "node")).mapInArrow(linked, f"node {kind}, hub {kind}")
@@ -372,10 +399,12 @@ def near_components(
     width: int = WORDS_PER_SHINGLE,
     how: Banding = DOCUMENTS,
     carry: tuple[str, ...] = (),
+    texts_of: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, carry...), one row for each row of ``docs``. Documents whose
     sets have an intersection of ``percent`` or more of their union are linked; the component is
-    named by the smallest id in it. Ids must be integers."""
+    named by the smallest id in it. Ids must be integers. ``texts_of`` finds the rows (``id_col``,
+    ``text_col``) for ids with their ``carry`` columns, where reading ``docs`` again does not give the same ids."""
     signed = durable(signatures(docs, id_col, text_col, width, how, carry))
     classes = durable(
         signed.where(F.col("n") > 0).groupBy("digest1", "digest2").agg(F.min("id").alias("node"))
@@ -386,7 +415,15 @@ def near_components(
         members.where(F.col("id") == F.col("node"))
         .select("node", "n", "digest1", "digest2", *how.lane_columns, "bands")
     )
-    labels = near_links(docs, nodes, id_col, text_col, percent, width, how)
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        if texts_of is None:
+            return _sets(docs, id_col, text_col, wanted, width)
+        wanted = durable(wanted)
+        places = signed.select(F.col("id").alias("node"), *carry).join(wanted.select("node"), "node")
+        return _sets(texts_of(places), id_col, text_col, wanted, width)
+
+    labels = near_links(sets_of, nodes, percent, how)
     component = F.coalesce("node", "id")
     found = members.select("id", "n", "node", *carry)
     if labels is not None:

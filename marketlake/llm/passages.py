@@ -9,8 +9,8 @@ lose theirs.
 Words that stand in a run of ``RUN_WORDS`` or more words which a document with a smaller id holds too go as
 well, wherever the run begins and ends: inside a paragraph, across line ends, over short lines. Every
 window of ``RUN_WORDS`` words is marked by the least hash of its runs of ``MARK_WORDS`` words, so equal
-windows have equal marks and none is missed. Where all that have a mark agree on all the words of its
-windows, they are settled; elsewhere window by window. Words are told apart by what is not blank, A-Z
+windows have equal marks and none is missed. Documents that agree on all the words of a mark's windows are
+settled at once; what is left, one document for each such frame, window by window. Words are told apart by what is not blank, A-Z
 lower-cased; a line that loses all its words goes whole.
 
 Shorter lines and runs stay: they are headings, licence lines and the like, which clean documents share too.
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,16 +62,24 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, percent:
     lines = (
         docs.where(F.col(id_col).isNotNull())
         .select(
-            F.col(id_col).alias("doc_id"), _digest(text_col).alias("digest"),
+            F.col(id_col).alias("owner"), _digest(text_col).alias("digest"),
             F.posexplode(_paragraphs(text_col)).alias("position", "line"),
         )
         .where((F.length("line") >= 2 * min_words - 1) & (_words("line") >= min_words))
-        .withColumn("line_id", F.xxhash64("line"))
-        .withColumnRenamed("doc_id", "owner")
     )
+    place = ["owner", "digest", "position"]
+
+    def texts_of(places: DataFrame) -> DataFrame:
+        few = F.broadcast(places) if places.count() <= BROADCAST_IDS else places
+        return lines.join(few, place).select(F.col("node").alias("row"), "line")
+
+    # a line is told from others by its place, and equal lines are found by their sets' 128-bit digests
     found = durable(
-        near_components(lines, "line_id", "line", percent, how=PARAGRAPHS, carry=("owner", "digest", "position"))
-        .select("component_id", "owner", "digest", "position")
+        near_components(
+            lines.withColumn("row", F.monotonically_increasing_id()), "row", "line", percent, how=PARAGRAPHS,
+            carry=tuple(place), texts_of=texts_of,
+        )
+        .select("component_id", *place)
     )
     shared = durable(
         found.groupBy("component_id").agg(F.min("owner").alias("first_doc_id"), F.max("owner").alias("last"))
@@ -123,7 +132,8 @@ def _marked(words: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest, start, end, first_doc_id): words ``start`` to before ``end`` of a text are also in the
-    document ``first_doc_id``, which has the smallest id of all that hold them. The rows overlap."""
+    document ``first_doc_id``, which has a smaller id: the smallest of those that agree on all words of a
+    mark's windows, or, window by window, of all that hold the window. The rows overlap."""
     texts = docs.where(F.col(id_col).isNotNull() & (F.length(text_col) >= 2 * RUN_WORDS - 1)).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _digest(text_col).alias("digest")
     )
@@ -151,18 +161,24 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         texts.mapInArrow(mark, f"doc_id {kind}, digest long, mark long, frame long, first int, last int")
     )
     shared = durable(
-        marks.groupBy("mark").agg(
-            F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("top"),
-            (F.min("frame") == F.max("frame")).alias("settled"),
-        ).where(F.col("first_doc_id") != F.col("top")).drop("top")
+        marks.groupBy("mark").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
+        .where(F.col("low") != F.col("top")).select("mark")
     )
-    hits = durable(marks.join(shared, "mark").drop("frame"))
-    whole = hits.where(F.col("settled") & (F.col("doc_id") != F.col("first_doc_id"))).select(
+    hits = durable(marks.join(shared, "mark"))
+    frames = durable(hits.groupBy("mark", "frame").agg(F.min("doc_id").alias("first_doc_id")))
+    framed = durable(hits.join(frames, ["mark", "frame"]).drop("frame"))
+    # a frame says all words of its windows: a smaller id that holds it holds them all
+    whole = framed.where(F.col("doc_id") != F.col("first_doc_id")).select(
         "doc_id", "digest", F.col("first").alias("start"), (F.col("last") + RUN_WORDS).alias("end"), "first_doc_id"
     )
+    # between the frames of a mark, the windows of the documents that hold each first decide
+    several = (
+        frames.groupBy("mark").agg(F.min("first_doc_id").alias("low"), F.max("first_doc_id").alias("top"))
+        .where(F.col("low") != F.col("top")).select("mark")
+    )
     open_ = durable(
-        hits.where(~F.col("settled")).groupBy("doc_id", "digest")
-        .agg(F.collect_set(F.struct("mark", "first", "last")).alias("marks"))
+        framed.where(F.col("doc_id") == F.col("first_doc_id")).join(several, "mark").groupBy("doc_id", "digest")
+        .agg(F.collect_set(F.struct("mark", "first", "last")).alias("marks"), F.sum(F.lit(1)).alias("held"))
     )
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +198,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     names=["doc_id", "digest", "mark", "window", "start"],
                 )
 
-    wanted = F.broadcast(open_) if open_.count() <= BROADCAST_IDS // 4 else open_
+    # 16 bytes a mark
+    wanted = F.broadcast(open_) if (open_.agg(F.sum("held")).first()[0] or 0) <= BROADCAST_IDS else open_
+    wanted = wanted.drop("held")
     windows = durable(
         texts.join(wanted, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
         .mapInArrow(spell, f"doc_id {kind}, digest long, mark long, window long, start int")
@@ -280,16 +298,17 @@ def repeated_passages(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans = [], []
-            for row, text in enumerate(batch["text"]):
-                removed = batch["removed"][row].as_py()
+            touched = pc.or_(*[pc.greater(pc.list_value_length(batch[c]), 0) for c in ("removed", "runs")])
+            rows = np.flatnonzero(touched.to_numpy(zero_copy_only=False))
+            texts, spans = [], [[] for _ in range(batch.num_rows)]
+            for row in rows.tolist():
                 found = _merged([(r["start"], r["end"]) for r in batch["runs"][row].as_py()])
-                texts.append(_without(text.as_py(), set(removed), found) if removed or found else text.as_py())
-                spans.append([{"start": a, "end": b} for a, b in found])
+                texts.append(_without(batch["text"][row].as_py(), set(batch["removed"][row].as_py()), found))
+                spans[row] = [{"start": a, "end": b} for a, b in found]
             columns = [batch[c] for c in batch.schema.names[:-2]]
+            text = pc.replace_with_mask(batch["text"], touched, pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(spans, batch.schema.field("runs").type), pa.array(texts, pa.string())],
-                names=batch.schema.names,
+                [*columns, pa.array(spans, batch.schema.field("runs").type), text], names=batch.schema.names
             )
 
     return made.mapInArrow(cut, made.schema)

@@ -50,6 +50,26 @@ def shingle_set(words: np.ndarray, width: int = WORDS_PER_SHINGLE) -> np.ndarray
     return np.unique(mixed(runs))
 
 
+def shingle_sets(texts: list[np.ndarray], width: int = WORDS_PER_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_set`` of each text, laid end to end, and the number of the text that each hash is of."""
+    sizes = np.array([len(t) for t in texts])
+    words, owner = np.concatenate(texts), np.repeat(np.arange(len(texts)), sizes)
+    count = max(0, len(words) - width + 1)
+    runs = words[:count]
+    for k in range(1, width):
+        runs = mixed(runs) + words[k : k + count]
+    inside = owner[:count] == owner[len(words) - count :]  # not across the end of a text
+    hashes, owner = mixed(runs)[inside], owner[:count][inside]
+    short = np.flatnonzero((sizes > 0) & (sizes < width))
+    if len(short):
+        hashes = np.concatenate([hashes, *[shingle_set(texts[k], width) for k in short]])
+        owner = np.concatenate([owner, short])
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)]
+    return hashes[new], owner[new]
+
+
 def common(left: np.ndarray, right: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if not len(left) or not len(right):
