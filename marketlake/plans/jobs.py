@@ -41,9 +41,16 @@ from marketlake.sinks.tables import (
 )
 from marketlake.sources.catalog import covered, define_raw
 from marketlake.sources.rates import read_rate_files
-from marketlake.plans.shared import shared_folder
+from marketlake.plans.shared import discard, shared_folder
 from marketlake.sources.tables import read_table, read_table_or_none
-from marketlake.sources.ticks import FOLDER_INDEX, in_event_time, in_folders, read_tick_csv
+from marketlake.sources.ticks import (
+    STATED_INDEX,
+    folder_states,
+    in_event_time,
+    in_folders,
+    index_rows,
+    read_tick_csv,
+)
 
 
 @dataclass(frozen=True)
@@ -95,6 +102,7 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 FOLDER = ("folder_date", "folder_hour")
+HOUR = ("date", "hour")
 
 
 def tick_etl(
@@ -110,9 +118,10 @@ def tick_etl(
     """Raw tick files to hourly bars, replacing the bars of the covered hours only.
 
     With ``day`` (and ``hour``) the bars of those event hours are rebuilt from all their ticks, in
-    whatever folder these landed: the index of landed folders names the folders; where there is
-    none, all are read. So a day run gives what a full run gives, and an hour whose ticks
-    have all gone loses its bar.
+    whatever folder these landed: an index says which event hours a folder's files hold. The job keeps it
+    itself and knows it by the files' names, sizes and times, so it does not matter who landed them: a folder
+    with files that the index has not seen is read, never passed over. So a day run gives what a full
+    run gives, and in both an hour whose ticks have all gone loses its bar.
 
     The raw text is read and parsed once, into a staged table by validity; bars come from its
     valid part, and the rejects of the folders read are replaced by the other. ``dedup_on``
@@ -120,39 +129,63 @@ def tick_etl(
     hour folders are written at once.
     """
     raw = read_tick_csv(spark, lake.raw_ticks, columns)
-    near = in_folders(raw, day, hour, read_table_or_none(spark, lake.tick_index, FOLDER_INDEX))
-    tagged, seen = _observed(normalize_ticks(near), "ticks")
+    states = folder_states(spark, lake.raw_ticks)  # before the files are read: what lands later is seen next time
+    index, unknown = _known_folders(spark, lake, states)
+    tagged, seen = _observed(normalize_ticks(in_folders(raw, day, hour, index, unknown)), "ticks")
     staged = shared_folder(spark, "ticks")
     flagged = tagged.withColumn("rejected", F.col(REASON).isNotNull())
     flagged.write.partitionBy("rejected").parquet(staged)
     stage = spark.read.schema(flagged.schema).parquet(staged)
-    ticks = in_event_time(stage.filter(~F.col("rejected")).drop(REASON, "rejected"), day, hour)
+    valid = stage.filter(~F.col("rejected")).drop(REASON, "rejected")
+    ticks = in_event_time(valid, day, hour)
     if dedup_on:
         ticks = dedup_trades(ticks, dedup_on)
-    root = lake.table("trades_agg_hourly")
-    replace_partitions(hourly_bars(ticks, _stamp(load_ts)), root, ("date", "hour"), tasks=write_tasks)
-    if day is not None:
-        _clear_hours(spark, lake, ticks, day, hour)
+    made = f"{staged}-bars"
+    hourly = hourly_bars(ticks, _stamp(load_ts))
+    hourly.write.parquet(made)
+    bars = spark.read.schema(hourly.schema).parquet(made)
+    replace_partitions(bars, lake.table("trades_agg_hourly"), HOUR, tasks=write_tasks)
+    _clear_hours(spark, lake, bars, day, hour)
     rejects = stage.filter("rejected").drop("rejected")
     replace_rejects(
         spark, rejects, f"{lake.rejects}/ticks", FOLDER, read=None if day is None else stage.select(*FOLDER)
     )
+    if unknown:
+        fresh = spark.createDataFrame([tuple(f[c] for c in ("date", "hour", "state")) for f in unknown],
+                                      "date DATE, hour INT, state BIGINT")
+        index_rows(valid, fresh).coalesce(1).write.mode("append").parquet(lake.tick_index)
+    for done in (staged, made):
+        discard(spark, done)
     return dict(seen.get)
 
 
+def _known_folders(
+    spark: SparkSession, lake: Lake, states: list[dict]
+) -> tuple[DataFrame | None, list[dict]]:
+    """The index rows that hold for the folders as they are now, and the folders that have none."""
+    stored = read_table_or_none(spark, lake.tick_index, STATED_INDEX)
+    if stored is None or not states:
+        return None, states
+    now = spark.createDataFrame([tuple(f[c] for c in ("date", "hour", "state")) for f in states],
+                                "date DATE, hour INT, state BIGINT")
+    index = stored.join(F.broadcast(now), ["date", "hour", "state"])
+    known = {tuple(r) for r in index.select("date", "hour").distinct().collect()}
+    return index, [f for f in states if (f["date"], f["hour"]) not in known]
+
+
 def _clear_hours(
-    spark: SparkSession, lake: Lake, ticks: DataFrame, day: str, hour: int | None
+    spark: SparkSession, lake: Lake, bars: DataFrame, day: str | None, hour: int | None
 ) -> None:
-    """Remove the bars of the covered hours that have no tick left; at most 24 hours of one date."""
+    """Remove the bars of the covered hours that the run made no bar for. Hours are partitions."""
     stored = read_table_or_none(spark, lake.table("trades_agg_hourly"), LAKE_TABLES["trades_agg_hourly"][0])
     if stored is None:
         return
-    covered_hours = on_date(stored, day).select("hour").distinct()
+    covered_hours = on_date(stored, day).select(*HOUR).distinct()
     if hour is not None:
         covered_hours = covered_hours.filter(F.col("hour") == hour)
-    left = {r.hour for r in ticks.select(F.hour("event_ts").alias("hour")).distinct().collect()}
-    gone = [{"date": day, "hour": r.hour} for r in covered_hours.collect() if r.hour not in left]
-    drop_partitions(spark, lake.table("trades_agg_hourly"), ("date", "hour"), gone)
+    left = {tuple(r) for r in bars.select(*HOUR).distinct().collect()}
+    gone = [{"date": r.date.isoformat(), "hour": r.hour} for r in covered_hours.collect() if tuple(r) not in left]
+    drop_partitions(spark, lake.table("trades_agg_hourly"), HOUR, gone)
 
 
 def rate_etl(

@@ -416,7 +416,7 @@ def _landed_lake(spark, sf_dir, name, delay=None) -> jobs.Lake:
     raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
     if delay is not None:
         raw = raw.withColumn("event_ts", F.col("event_ts") + delay)
-    land_ticks_csv(raw, lake.raw_ticks, TICK_HEADER, lake.tick_index)
+    land_ticks_csv(raw, lake.raw_ticks, TICK_HEADER)
     return lake
 
 
@@ -445,7 +445,7 @@ def lake_rejects_rerun(spark, sf_dir):
     raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
     mended = raw.withColumns({"price": F.coalesce(F.col("price").try_cast("double"), F.lit(1.0)).cast("string"),
                               "quantity": F.coalesce("quantity", F.lit("1"))})
-    land_ticks_csv(mended, lake.raw_ticks, TICK_HEADER, lake.tick_index)
+    land_ticks_csv(mended, lake.raw_ticks, TICK_HEADER)
     jobs.tick_etl(spark, lake, columns=list(TICK_HEADER))
     return spark.read.parquet(f"{lake.rejects}/ticks").select("trade_id", REASON)
 

@@ -15,7 +15,6 @@ from marketlake.operators.cleaning import REASON
 from marketlake.operators.latest import latest_wins, upsert
 from marketlake.schemas import RATE_JSON
 from marketlake.sources.tables import partition_predicate, read_table_or_none
-from marketlake.sources.ticks import folder_index
 
 
 def spread(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
@@ -117,21 +116,21 @@ def upsert_partitions(
 
 
 def land_ticks_csv(
-    ticks: DataFrame, root: str, columns: Sequence[str], index_root: str | None = None
+    ticks: DataFrame, root: str, columns: Sequence[str], append: bool = False, tasks: int | None = None
 ) -> None:
     """Batch landing of raw ticks as CSV with a header, ``date=/hour=`` folders.
 
-    Needs ``event_ts``, the time of landing; the folders of the ticks at hand are replaced. With
-    ``index_root`` a few rows for each folder are added to a small table that says which event hours
-    it holds, so that a day is rebuilt from the folders with its ticks, however late they came.
-    Rows of an earlier landing of a folder stay: at worst one folder too many is read.
+    Needs ``event_ts``, the time of landing; the folders of the ticks at hand are replaced, or with
+    ``append`` get files beside those they have.
     """
     landed = ticks.select(
         *columns, F.to_date("event_ts").alias("date"), F.hour("event_ts").alias("hour")
     )
-    replace_partitions(landed, root, ("date", "hour"), file_format="csv", header="true")
-    if index_root is not None:
-        folder_index(landed).write.mode("append").parquet(index_root)
+    if append:
+        by = ("date", "hour")
+        spread(landed, by, tasks).write.mode("append").partitionBy(*by).option("header", True).csv(root)
+    else:
+        replace_partitions(landed, root, ("date", "hour"), file_format="csv", tasks=tasks, header="true")
 
 
 def drop_partitions(

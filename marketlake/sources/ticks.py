@@ -9,10 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.fixed_values import TICK_COLUMNS
-from marketlake.functions import epoch_ms_to_ts, is_epoch_ms, to_double
-from marketlake.operators.cleaning import computed_once, require_columns
+from marketlake.operators.cleaning import require_columns
 from marketlake.schemas import CORRUPT
-from marketlake.sources.tables import partition_predicate
 
 FOLDERS = ("date", "hour")
 
@@ -24,21 +22,26 @@ def header_columns(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_tick_csv(
-    spark: SparkSession, root: str, columns: Sequence[str] | None = None
+    spark: SparkSession, root: str, columns: Sequence[str] | None = None, max_files: int | None = None,
+    stream: bool = False,
 ) -> DataFrame:
     """All tick files under ``root`` as text columns plus ``folder_date``, ``folder_hour``.
 
     Pass ``columns`` (the header) to save the look at the first file. A file whose
     header differs fails instead of being misread by position; a row with too many or
     too few fields keeps its text in ``_corrupt_record`` and is rejected by
-    ``normalize_ticks``. Folder values are typed, so ``hour=05`` is 5.
+    ``normalize_ticks``. Folder values are typed, so ``hour=05`` is 5. With ``stream`` the files are read
+    as a stream, each once and at most ``max_files`` in a batch.
     """
     columns = list(columns) if columns else header_columns(spark, root)
     fields = [f"`{c}` STRING" for c in (*columns, CORRUPT)]
+    reader = spark.readStream if stream else spark.read
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     raw = (
         # folder columns are left to partition discovery: given here too, they would be
         # taken for fields of the files where a stream sink wrote the folders
-        spark.read.schema(", ".join(fields))
+        reader.schema(", ".join(fields))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
@@ -77,21 +80,40 @@ def _between(ts: Column, start: dt.datetime, end: dt.datetime) -> Column:
 
 
 FOLDER_INDEX = "event_date DATE, event_hour INT, ticks BIGINT, date DATE, hour INT"
+#: the index as it is stored: with the state of the folder's files that a row was made from
+STATED_INDEX = f"{FOLDER_INDEX}, state BIGINT"
 
 
-def folder_index(landed: DataFrame) -> DataFrame:
-    """Which event hours the raw ticks of each folder hold: a few rows for each folder."""
-    read = computed_once(landed, _event_ms=to_double("event_time"))
-    timed = read.filter(is_epoch_ms("_event_ms")).withColumn("_ts", epoch_ms_to_ts("_event_ms"))
-    return timed.groupBy(
-        F.to_date("_ts").alias("event_date"), F.hour("_ts").alias("event_hour"), *FOLDERS
+def folder_states(spark: SparkSession, root: str) -> list[dict]:
+    """(date, hour, state) of each folder; the state changes with any file that is added, replaced or gone.
+
+    Only the listing is read, not the files. One row for each folder, as many as hours have landed.
+    """
+    files = spark.read.format("binaryFile").load(root)
+    one = F.xxhash64("path", "length", "modificationTime")
+    states = files.groupBy(F.col("date").cast("date").alias("date"), F.col("hour").cast("int").alias("hour")).agg(
+        F.bit_xor(one).alias("state")
+    )
+    return [r.asDict() for r in states.collect()]
+
+
+def index_rows(ticks: DataFrame, states: DataFrame) -> DataFrame:
+    """Rows of the stored index for the folders in ``states``: which event hours their ticks are of. A
+    folder without a valid tick has one row without an hour, so that it counts as known."""
+    held = ticks.groupBy(
+        F.to_date("event_ts").alias("event_date"), F.hour("event_ts").alias("event_hour"),
+        F.col("folder_date").alias("date"), F.col("folder_hour").alias("hour"),
     ).agg(F.count(F.lit(1)).alias("ticks"))
+    found = states.join(held, list(FOLDERS), "left")
+    return found.select("event_date", "event_hour", "ticks", *FOLDERS, "state")
 
 
 def in_folders(
-    raw: DataFrame, day: str | None, hour: int | None = None, index: DataFrame | None = None
+    raw: DataFrame, day: str | None, hour: int | None = None, index: DataFrame | None = None,
+    unknown: Sequence[dict] = (),
 ) -> DataFrame:
-    """Rows of the folders that hold ticks of a date or hour, by an index of the landed folders.
+    """Rows of the folders that hold ticks of a date or hour, by an index of folders, and of the
+    ``unknown`` folders, of which no index says what they hold.
 
     Without an index nothing says where a late tick may be, so all folders stay. With one, the
     folders come as literals, so no other is read.
@@ -102,9 +124,15 @@ def in_folders(
     held = index.filter(F.col("event_date") == F.lit(day).cast("date"))
     if hour is not None:
         held = held.filter(F.col("event_hour") == hour)
-    folders = [r.asDict() for r in held.select(
-        F.col("date").alias("folder_date"), F.col("hour").alias("folder_hour")).distinct().collect()]
-    return raw.filter(partition_predicate(raw, folders))
+    folders = {(r.date, r.hour) for r in held.select(*FOLDERS).distinct().collect()}
+    folders |= {(f["date"], f["hour"]) for f in unknown}
+    hours: dict = {}
+    for date, hour_ in sorted(folders):
+        hours.setdefault(date, []).append(hour_)
+    any_of = F.lit(False)
+    for date, list_ in hours.items():
+        any_of = any_of | ((F.col("folder_date") == F.lit(date)) & F.col("folder_hour").isin(list_))
+    return raw.filter(any_of)
 
 
 def in_event_time(ticks: DataFrame, day: str | None, hour: int | None = None) -> DataFrame:
