@@ -63,6 +63,12 @@ class Lake:
     def raw_ticks(self) -> str:
         return f"{self.root}/raw/ticks"
 
+    @property
+    def streamed_ticks(self) -> str:
+        """Where a stream lands: Spark reads a folder with a stream's log by that log alone, so it
+        is kept apart from files that others land."""
+        return f"{self.root}/raw/ticks_streamed"
+
     @property
     def tick_index(self) -> str:
         return f"{self.root}/raw/_tick_index"
@@ -128,8 +134,17 @@ def tick_etl(
     names the columns that identify a trade, to drop replays. ``write_tasks`` helps when many tiny
     hour folders are written at once.
     """
-    raw = read_tick_csv(spark, lake.raw_ticks, columns)
-    states = folder_states(spark, lake.raw_ticks)  # before the files are read: what lands later is seen next time
+    roots, states = [], {}
+    for root in (lake.raw_ticks, lake.streamed_ticks):
+        # listed before the files are read: what lands later is seen next time
+        for f in folder_states(spark, root):
+            folder = (f["date"], f["hour"])
+            states[folder] = {**f, "state": f["state"] ^ states.get(folder, {"state": 0})["state"]}
+            roots += [root] * (root not in roots)
+    states = list(states.values())
+    raw = read_tick_csv(spark, (roots or [lake.raw_ticks])[0], columns)
+    for root in roots[1:]:
+        raw = raw.unionByName(read_tick_csv(spark, root, columns), allowMissingColumns=True)
     index, unknown = _known_folders(spark, lake, states)
     tagged, seen = _observed(normalize_ticks(in_folders(raw, day, hour, index, unknown)), "ticks")
     staged = shared_folder(spark, "ticks")

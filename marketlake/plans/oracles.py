@@ -407,6 +407,18 @@ ORACLES: dict[str, str] = {
     "lake_rejects_rerun": """SELECT event_id AS trade_id, 'event_time' AS reject_reason
     FROM events WHERE event_type = 'error' AND value > 100""",
     "lake_day_equals_full": _RAW_BARS,
+    "lake_day_mixed_landing": _RAW_BARS
+    + f" WHERE CAST(hour_start_ts AS DATE) = DATE '{COVERAGE_DAY}'",
+    "lake_incremental": _RAW_BARS,
+    "stream_late_hours": _with("raw_valid")
+    + """, days AS (SELECT min(CAST(ts AS DATE)) AS d0, date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1 AS n
+      FROM events),
+    parted AS (SELECT event_ts, least(date_diff('day', d0, CAST(ts AS DATE)) * 3 // n
+        + CASE WHEN trade_id % 20 = 3 THEN 1 ELSE 0 END, 2) AS part FROM raw_valid, days),
+    borders AS (SELECT p, (SELECT max(event_ts) FROM parted WHERE part < p) - INTERVAL 10 MINUTE AS border
+      FROM (VALUES (1), (2)) AS t(p))
+    SELECT CAST(event_ts AS DATE) AS date, CAST(hour(event_ts) AS INTEGER) AS hour, CAST(count(*) AS BIGINT) AS ticks
+    FROM parted JOIN borders ON part = p AND event_ts < border GROUP BY 1, 2""",
     "document_rejects": """SELECT strftime(d, '%j/%Y') AS no,
     CASE WHEN dayofyear(d) <= 31 THEN 'no_tables' ELSE 'malformed' END AS reject_reason
     FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)

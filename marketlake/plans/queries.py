@@ -54,6 +54,7 @@ from marketlake.sources.files import rows_per_file
 from marketlake.sources.rates import explode_rate_documents, read_landed_rates, tag_rate_documents
 from marketlake.sources.tables import read_table
 from marketlake.sources.ticks import read_tick_csv
+from marketlake.streaming.curate import Curated, late_hours, rebuild_late, start_curating
 from marketlake.streaming.bars import (
     current_bars,
     start_bar_updates,
@@ -463,6 +464,59 @@ def lake_day_equals_full(spark, sf_dir):
     return _rounded_bars(lake.read(spark, "trades_agg_hourly").drop("load_ts"))
 
 
+def lake_day_mixed_landing(spark, sf_dir):
+    """Ticks with even ids land as files, a full run reads them, then a stream lands the others: a day run
+    finds them in folders that no index has named."""
+    lake = jobs.Lake(shared_folder(spark, "mixed"))
+    raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
+    even = F.col("trade_id").cast("bigint") % 2 == 0
+    land_ticks_csv(raw.filter(even), lake.raw_ticks, TICK_HEADER, tasks=_tasks(spark))
+    jobs.tick_etl(spark, lake, columns=list(TICK_HEADER), write_tasks=_tasks(spark))
+    rest = f"{lake.root}/rest"
+    raw.filter(~even).write.parquet(rest)
+    start_landing(
+        stream_table(spark, rest, raw.schema), lake.streamed_ticks, f"{lake.root}/checkpoint", TICK_HEADER,
+        AVAILABLE_NOW, _tasks(spark),
+    ).awaitTermination()
+    jobs.tick_etl(spark, lake, COVERAGE_DAY, columns=list(TICK_HEADER), write_tasks=_tasks(spark))
+    return _rounded_bars(lake.read(spark, "trades_agg_hourly").drop("load_ts").filter(F.col("date") == COVERAGE_DAY))
+
+
+LANDINGS = 3
+
+
+def _curated(spark, sf_dir, name) -> Curated:
+    """Three landings of raw files and a run after each. Dates fall into three parts; every twentieth tick
+    comes one landing late."""
+    root = shared_folder(spark, name)
+    raw = inputs.raw_ticks(spark, sf_dir).withColumnRenamed("landed_ts", "event_ts")
+    date = F.to_date("event_ts")
+    span = raw.agg(F.min(date), (F.datediff(F.max(date), F.min(date)) + 1)).first()
+    part = F.floor(F.datediff(date, F.lit(span[0])) * LANDINGS / F.lit(span[1])).cast("int")
+    behind = (F.col("trade_id").cast("bigint") % 20 == 3).cast("int")
+    parted = raw.withColumn("part", F.least(part + behind, F.lit(LANDINGS - 1)))
+    tables = Curated(f"{root}/curated")
+    for k in range(LANDINGS):
+        land_ticks_csv(parted.filter(F.col("part") == k), f"{root}/raw", TICK_HEADER, append=True, tasks=_tasks(spark))
+        start_curating(
+            read_tick_csv(spark, f"{root}/raw", TICK_HEADER, stream=True), tables, f"{root}/checkpoint", STREAM_DELAY,
+            tasks=_tasks(spark),
+        ).awaitTermination()
+    return tables
+
+
+def stream_late_hours(spark, sf_dir):
+    """Hours of the ticks behind the watermark, with their number: none is dropped."""
+    return late_hours(spark, _curated(spark, sf_dir, "late"))
+
+
+def lake_incremental(spark, sf_dir):
+    """Bars of three incremental runs and a rebuild of the late hours: those of one full run."""
+    tables = _curated(spark, sf_dir, "incremental")
+    rebuild_late(spark, tables, tasks=_tasks(spark))
+    return _rounded_bars(read_table(spark, tables.bars, HOURLY_BARS).drop("load_ts"))
+
+
 def document_rejects(spark, sf_dir):
     """Documents cut short in March, and one without tables each January, with their reasons."""
     docs = inputs.rate_documents(spark, sf_dir)
@@ -735,6 +789,7 @@ REGISTERED: tuple[Query, ...] = (
     topk_partition_sql, date_count_sql,
     coverage_latest_common_date, coverage_latest_hour, quality_report_all,
     lake_bars_from_csv, lake_rejects_from_csv, lake_rejects_rerun, lake_day_equals_full,
+    lake_day_mixed_landing, lake_incremental, stream_late_hours,
     document_rejects, lake_day_rebuild, lake_rates_upsert,
     lake_rates_month, lake_rates_json, lake_rate_documents, lake_analytics_checks,
     lake_serving_cells, lake_external_tables, lake_partition_coverage,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,21 +28,26 @@ def read_table(
     return df if columns is None else df.select(*columns)
 
 
-def read_table_or_none(
-    spark: SparkSession, root: str, schema: str, file_format: str = "parquet"
-) -> DataFrame | None:
-    """The table with a given schema, or None when it was never written.
+def load_or_none(reader: DataFrameReader, root: str) -> DataFrame | None:
+    """What a reader finds at ``root``, or None when nothing was ever written there.
 
     Only a missing path counts as absent; an unreadable table raises.
     """
     try:
-        return spark.read.schema(schema).format(file_format).load(root)
+        return reader.load(root)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def read_table_or_none(
+    spark: SparkSession, root: str, schema: str, file_format: str = "parquet"
+) -> DataFrame | None:
+    """The table with a given schema, or None when it was never written."""
+    return load_or_none(spark.read.schema(schema).format(file_format), root)
+
+
 def partition_predicate(df: DataFrame, partitions: Sequence[Mapping[str, object]]) -> Column:
     """True for rows of the listed partitions; literals only, so folders are pruned."""
     any_of = F.lit(False)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketlake.fixed_values import TICK_COLUMNS
 from marketlake.operators.cleaning import require_columns
 from marketlake.schemas import CORRUPT
+from marketlake.sources.tables import load_or_none
 
 FOLDERS = ("date", "hour")
 
@@ -87,9 +88,12 @@ STATED_INDEX = f"{FOLDER_INDEX}, state BIGINT"
 def folder_states(spark: SparkSession, root: str) -> list[dict]:
     """(date, hour, state) of each folder; the state changes with any file that is added, replaced or gone.
 
-    Only the listing is read, not the files. One row for each folder, as many as hours have landed.
+    Only the listing is read, not the files. One row for each folder, as many as hours have landed; none
+    where nothing has landed yet.
     """
-    files = spark.read.format("binaryFile").load(root)
+    files = load_or_none(spark.read.format("binaryFile"), root)
+    if files is None or "hour" not in files.columns:
+        return []
     one = F.xxhash64("path", "length", "modificationTime")
     states = files.groupBy(F.col("date").cast("date").alias("date"), F.col("hour").cast("int").alias("hour")).agg(
         F.bit_xor(one).alias("state")

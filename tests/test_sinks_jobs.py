@@ -200,6 +200,54 @@ def test_an_hour_without_ticks_loses_its_bar(spark, lake):
     assert [b for b in left if b[0] == 5] == [(5, 23, 100.0, 100.0, 1)] and len(left) == 7
 
 
+def test_a_folder_the_index_does_not_know_is_read(spark, lake):
+    jobs.tick_etl(spark, lake)
+    # another tool adds a file to a known folder and a new folder
+    land(lake, 5, 10, [f"BTCUSDT,90,1,{ms(5, 10, 5)},57"], "later")
+    land(lake, 9, 1, [f"BTCUSDT,91,1,{ms(6, 10, 5)},58"])
+    jobs.tick_etl(spark, lake, "2026-01-06")
+    after_day = bars(spark, lake)
+    assert (6, 10, 109.0, 91.0, 2) in after_day and (5, 10, 99.0, 99.0, 1) in after_day and len(after_day) == 8
+    # the first folder was read as unknown then, and is known as one of the 5th now
+    jobs.tick_etl(spark, lake, "2026-01-05", 10)
+    assert (5, 10, 99.0, 90.0, 2) in bars(spark, lake)
+
+
+def test_an_incomplete_index_loses_no_bar(spark, tmp_path):
+    made = jobs.Lake(str(tmp_path / "lake"))
+    for day in (1, 2):
+        for k in range(3):
+            land(made, day, k, [f"BTCUSDT,{k + 1},1,{ms(day, k)},{day}{k}"])
+        if day == 1:
+            jobs.tick_etl(spark, made)
+    jobs.tick_etl(spark, made)
+    whole = bars(spark, made)
+    assert len(whole) == 6
+    # an index that names folders of the first day only
+    index = spark.read.parquet(made.tick_index)
+    kept = index.filter("date = date'2026-01-01'").toPandas()
+    kept = spark.createDataFrame(kept.astype(object).where(kept.notna(), None), index.schema)
+    kept.write.mode("overwrite").parquet(made.tick_index)
+    jobs.tick_etl(spark, made, "2026-01-02")
+    assert bars(spark, made) == whole
+
+
+def test_a_full_run_drops_hours_that_turned_bad(spark, lake):
+    jobs.tick_etl(spark, lake)
+    for hour in (10, 23):
+        land(lake, 5, hour, [f"BTCUSDT,bad,1,{ms(5, hour)},51"])
+    jobs.tick_etl(spark, lake)
+    assert {b[0] for b in bars(spark, lake)} == {6, 7, 8}
+
+
+def test_staging_is_emptied(spark, lake):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base))
+    jobs.tick_etl(spark, lake, "2026-01-05")
+    new = [f for f in os.listdir(base) if f not in before]
+    assert new and all(spark.read.parquet(f"{base}/{f}").count() == 0 for f in new)
+
+
 def test_replays_are_dropped_on_request(spark, lake):
     land(lake, 5, 10, [f"BTCUSDT,99,1,{ms(5, 10)},51"], "01")
     jobs.tick_etl(spark, lake, "2026-01-05", 10)
