@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import durable
+from marketlake.llm.common import durable, stored
 from marketlake.llm.components import components
 from marketlake.llm.shingles import WORDS_PER_SHINGLE, WordHashes, common, mixed, shingle_set, shingle_sets
 
@@ -405,7 +405,7 @@ def near_components(
     sets have an intersection of ``percent`` or more of their union are linked; the component is
     named by the smallest id in it. Ids must be integers. ``texts_of`` finds the rows (``id_col``,
     ``text_col``) for ids with their ``carry`` columns, where reading ``docs`` again does not give the same ids."""
-    signed = durable(signatures(docs, id_col, text_col, width, how, carry))
+    signed = stored(signatures(docs, id_col, text_col, width, how, carry))
     classes = durable(
         signed.where(F.col("n") > 0).groupBy("digest1", "digest2").agg(F.min("id").alias("node"))
         .where(F.col("node").isNotNull())

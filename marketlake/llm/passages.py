@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import durable
+from marketlake.llm.common import durable, stored
 from marketlake.llm.near import BROADCAST_IDS, Banding, near_components
 from marketlake.llm.shingles import WordHashes, mixed
 
@@ -157,16 +157,16 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     names=["doc_id", "digest", "mark", "frame", "first", "last"],
                 )
 
-    marks = durable(
+    marks = stored(
         texts.mapInArrow(mark, f"doc_id {kind}, digest long, mark long, frame long, first int, last int")
     )
     shared = durable(
         marks.groupBy("mark").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
         .where(F.col("low") != F.col("top")).select("mark")
     )
-    hits = durable(marks.join(shared, "mark"))
+    hits = stored(marks.join(shared, "mark"))
     frames = durable(hits.groupBy("mark", "frame").agg(F.min("doc_id").alias("first_doc_id")))
-    framed = durable(hits.join(frames, ["mark", "frame"]).drop("frame"))
+    framed = stored(hits.join(frames, ["mark", "frame"]).drop("frame"))
     # a frame says all words of its windows: a smaller id that holds it holds them all
     whole = framed.where(F.col("doc_id") != F.col("first_doc_id")).select(
         "doc_id", "digest", F.col("first").alias("start"), (F.col("last") + RUN_WORDS).alias("end"), "first_doc_id"
@@ -201,7 +201,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # 16 bytes a mark
     wanted = F.broadcast(open_) if (open_.agg(F.sum("held")).first()[0] or 0) <= BROADCAST_IDS else open_
     wanted = wanted.drop("held")
-    windows = durable(
+    windows = stored(
         texts.join(wanted, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
         .mapInArrow(spell, f"doc_id {kind}, digest long, mark long, window long, start int")
     )
