@@ -438,8 +438,14 @@ def near_components(
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80
 ) -> DataFrame:
-    """The rows of ``docs`` whose document stays: the smallest id of each component. Rows without an
-    id stay when no other row of their component has one."""
-    found = near_components(docs, id_col, text_col, percent)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti")
+    """The rows of ``docs`` that stay, one of each component: the one with the smallest id, rows without an
+    id last. Rows are told apart by a key of their own, so rows of one id with unlike texts stay apart,
+    and no column's name can clash."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    keyed = stored(docs.select(row, F.monotonically_increasing_id().alias("key")))
+    told = keyed.select("key", F.col("row")[id_col].alias("owner"), F.col("row")[text_col].alias("text"))
+    found = near_components(told, "key", "text", percent, carry=("owner",))
+    first = found.groupBy("component_id").agg(
+        F.min(F.struct(F.col("owner").isNull().alias("none"), "owner", F.col("doc_id").alias("key"))).alias("first")
+    )
+    return keyed.join(first.select("first.key"), "key").select("row.*")
