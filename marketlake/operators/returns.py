@@ -23,8 +23,7 @@ def simple_return(
     """Return against the previous *row* of the entity; null on its first row.
 
     Give ``blocks`` for series finer than daily (the first order column is then a
-    timestamp): a task then holds one chunk of an entity while rows are numbered and one block after,
-    so choose ``Blocks.chunk`` to fit the hottest entity.
+    timestamp): a task then holds blocks of an entity, cut between time chunks.
     """
     entity = [entity] if isinstance(entity, str) else list(entity)
     order = [order] if isinstance(order, str) else list(order)

@@ -202,7 +202,7 @@ def returns_ticks(spark, sf_dir):
     """Tick-to-tick returns of whole series, cut into blocks."""
     made = simple_return(
         inputs.ticks(spark, sf_dir).select("symbol", "event_ts", "trade_id", "price"),
-        "symbol", ("event_ts", "trade_id"), "price", out="ret", blocks=Blocks("1 day", 1_000),
+        "symbol", ("event_ts", "trade_id"), "price", out="ret", blocks=Blocks("1 minute", 1_000),
     )
     return _round(made, 6, "ret")
 

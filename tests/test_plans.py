@@ -9,6 +9,8 @@ from marketlake.plans import inputs
 from marketlake.operators.bars import bars, daily_close, daily_summary, daily_volume
 from marketlake.operators.cells import get_row, scan_rows
 from marketlake.operators.coverage import latest_common
+from marketlake.operators.returns import simple_return
+from marketlake.operators.series import Blocks
 
 SF_DIR = "/root/testdata/sf0.001"
 LAZY = [n for n in entry.queries() if not n.startswith(("lake_", "stream_"))]
@@ -80,3 +82,22 @@ def test_point_get_prunes_the_date_and_pushes_the_key(spark, tmp_path):
 def test_scan_is_a_distributed_top_k(spark):
     cells = spark.range(100).selectExpr("CAST(id AS STRING) AS rowkey", "id AS v")
     assert "TakeOrderedAndProject" in plan(scan_rows(cells, 10))
+
+
+def test_a_cut_series_is_shuffled_once(spark, tmp_path):
+    root = str(tmp_path / "ticks")
+    spark.range(2_000).selectExpr(
+        "'hot' AS symbol", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts",
+        "id AS trade_id", "CAST(id AS DOUBLE) AS price", "'wide' AS other",
+    ).write.parquet(root)
+    made = simple_return(
+        spark.read.parquet(root), "symbol", ("ts", "trade_id"), "price", blocks=Blocks("1 minute", 100)
+    )
+    text = plan(made)
+    schemas = [{c.split(":")[0] for c in s.split(",")} for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+    assert sorted(map(len, schemas)) == [2, 5]  # the counts read the entity and the time alone
+    assert len(re.findall(r" Exchange hashpartitioning\(symbol#\d+, _block#", text)) == 1
+    # rows go from their scan to the shuffle by block past a broadcast of the cuts
+    rows = text[text.index("_block#") :]
+    assert "SortMergeJoin" not in rows and "BroadcastHashJoin" in rows
+    assert made.count() == 2_000

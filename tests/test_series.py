@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators.returns import rate_returns, rolling_volatility, simple_return
-from marketlake.operators.series import Blocks, number_rows
+from marketlake.operators.series import BLOCK, HALO, Blocks, cut_series, drop_halo
 
 
 def hot_series(spark):
@@ -47,10 +47,46 @@ def test_halo_must_fit_a_block(spark):
         rolling_volatility(hot_series(spark), "s", "ts", "v", 63, blocks=Blocks("1 day", 61))
 
 
-def test_number_rows(spark):
-    made = number_rows(hot_series(spark), ["s"], "ts", ["ts", "id"], "1 day")
-    rows = made.filter("s = 'hot'").orderBy("id").collect()
-    assert [r._pos for r in rows] == list(range(900))
+def test_blocks_hold_each_row_once(spark):
+    cut, _ = cut_series(hot_series(spark), ["s"], "ts", ["ts", "id"], 3, Blocks("1 day", 50))
+    rows = sorted(drop_halo(cut).filter("s = 'hot'").collect(), key=lambda r: r.id)
+    assert [r.id for r in rows] == list(range(900))
+
+
+@pytest.mark.parametrize("rows, halo", [(20, 3), (50, 50), (200, 1)])
+def test_no_block_is_much_larger_than_asked(spark, rows, halo):
+    """One day of one symbol with most rows is cut; a block of an entity holds at most ``rows`` and a
+    chunk, and at least ``halo`` earlier rows where there are as many."""
+    df = spark.range(3_000).select(
+        F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("s"),
+        F.timestamp_add("SECOND", F.col("id") * 7, F.expr("timestamp_ntz'1969-12-31 20:00:00'")).alias("ts"),
+        F.col("id").cast("double").alias("v"),
+    )
+    cut, _ = cut_series(df, ["s"], "ts", ["ts"], halo, Blocks("1 minute", rows))
+    chunk = 9  # rows of a symbol in a minute, at most
+    found = cut.groupBy("s", BLOCK).agg(
+        F.count_if(~F.col(HALO)).alias("own"), F.count_if(HALO).alias("fed")).collect()
+    assert len(found) >= 2_700 // (rows + chunk)
+    for r in found:
+        assert 0 < r.own < rows + chunk
+        assert r.fed < halo + chunk and (r[BLOCK] == 0 or r.fed >= halo)
+
+
+def test_cuts_do_not_follow_the_session_zone(spark):
+    df = hot_series(spark)
+    plain = sorted(map(str, simple_return(df, "s", ("ts", "id"), "v").collect()))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("Asia/Kolkata", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            cut = simple_return(df, "s", ("ts", "id"), "v", blocks=Blocks("30 minutes", 20))
+            assert sorted(map(str, cut.collect())) == plain
+            zoned = df.withColumn("ts", F.col("ts").cast("timestamp"))
+            cut = simple_return(zoned, "s", ("ts", "id"), "v", blocks=Blocks("1 hour", 20))
+            assert sorted(map(str, cut.drop("ts").collect())) == sorted(
+                map(str, simple_return(zoned, "s", ("ts", "id"), "v").drop("ts").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_return_uses_the_previous_row(spark):
