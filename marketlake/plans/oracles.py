@@ -383,6 +383,12 @@ ORACLES: dict[str, str] = {
     round(CASE WHEN family = 'volume' THEN value * 2 ELSE value END, 4) + 0.0 AS value,
     CASE WHEN family = 'volume' THEN 2 ELSE 1 END AS version FROM cells""",
     "cells_delete": _CELLS_ALL + " WHERE family <> 'metrics' AND rowkey NOT LIKE '%|signup|%'",
+    "cells_store_changes": _with("cells")
+    + f"""SELECT rowkey, date, family, qualifier,
+    round(CASE WHEN rowkey LIKE '%|signup|%' THEN value * 2 ELSE value END, 4) + 0.0 AS value,
+    CASE WHEN rowkey LIKE '%|signup|%' THEN 3 ELSE 1 END AS version FROM cells
+    WHERE CASE WHEN rowkey LIKE '%|signup|%' THEN family = 'price' AND day(date) % 2 = 1
+    ELSE family <> 'metrics' AND rowkey NOT LIKE '%|{CELL_KEY_DAY}' END""",
     "cells_pivot_back": _with("facts", "keys")
     + f"""SELECT rowkey, round(ret_1d, 4) + 0.0 AS metrics_ret_1d,
     round(close, 4) + 0.0 AS price_avg, round(volume_sum, 4) + 0.0 AS volume_sum,

@@ -39,6 +39,7 @@ from marketlake.operators.series import Blocks
 from marketlake.plans import inputs, jobs
 from marketlake.plans.shared import shared_folder
 from marketlake.schemas import FX_DAILY, HOURLY_BARS
+from marketlake.sinks.cellstore import CellStore
 from marketlake.sinks.cells import export_put_commands, upload_cells, write_cells
 from marketlake.sinks.tables import (
     land_rates_json,
@@ -324,28 +325,68 @@ def _stored_cells(spark, sf_dir, name):
     return spark.read.parquet(root).select("rowkey", "date", "family", "qualifier", "value", "version")
 
 
+def _versioned(cells: DataFrame, version: int) -> DataFrame:
+    return cells.select("rowkey", "family", "qualifier", "value").withColumn(
+        "version", F.timestamp_seconds(F.lit(version))
+    )
+
+
+def _cell_store(spark, sf_dir, name) -> CellStore:
+    """All cells in a stored table, at version 1."""
+    store = CellStore(spark, f"{shared_folder(spark, name)}/store")
+    store.load(_versioned(_cells(spark, sf_dir), 1))
+    return store
+
+
+def _served(store: CellStore) -> DataFrame:
+    return _numbers(store.read())
+
+
+def _twice(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("value", (F.col("value").cast("double") * 2).cast("string"))
+
+
 def cells_scan_limit(spark, sf_dir):
-    return _numbers(cell_ops.scan_rows(_stored_cells(spark, sf_dir, "scan"), SCAN_ROWS).drop("version"))
+    return _numbers(_cell_store(spark, sf_dir, "scan").scan(SCAN_ROWS).drop("version"))
 
 
 def cells_upsert(spark, sf_dir):
     """All cells, then a newer version of every volume cell, at twice the value."""
-    old = _cells(spark, sf_dir).withColumn("version", F.lit(1))
-    new = (
-        _cells(spark, sf_dir)
-        .filter(F.col("family") == "volume")
-        .withColumn("value", (F.col("value").cast("double") * 2).cast("string"))
-        .withColumn("version", F.lit(2))
-    )
-    return _numbers(cell_ops.put_cells(old, new))
+    store = _cell_store(spark, sf_dir, "upsert")
+    store.put(_versioned(_twice(store.read().filter(F.col("family") == "volume")), 2), "volumes")
+    return _served(store).withColumn("version", F.unix_seconds("version").cast("int"))
 
 
 def cells_delete(spark, sf_dir):
     """All cells without the return cells, and without the rows of one symbol."""
-    made = _cells(spark, sf_dir)
-    cells = made.filter(F.col("family") == "metrics").select("rowkey", "family", "qualifier")
-    rows = made.filter(F.col("rowkey").contains("|signup|")).select("rowkey")
-    return _numbers(cell_ops.delete_cells(cell_ops.delete_cells(made, cells), rows))
+    store = _cell_store(spark, sf_dir, "delete")
+    cells = _versioned(store.read().filter(F.col("family") == "metrics"), 2)
+    rows = store.read().filter(F.col("rowkey").contains("|signup|")).select("rowkey").distinct()
+    store.delete(cells, "cells")
+    store.delete(rows.withColumn("version", F.timestamp_seconds(F.lit(2))), "rows")
+    return _served(store).drop("version")
+
+
+def cells_store_changes(spark, sf_dir):
+    """Stored cells through puts, deletes of rows, families and cells, compaction and puts again.
+
+    Returns go, the rows of one symbol go, all rows of one day go; changes are folded; one symbol's
+    closes come back at twice the value; last, a put that is older than a marker stays hidden.
+    """
+    store = _cell_store(spark, sf_dir, "changes")
+    loaded = _cells(spark, sf_dir)
+    second = F.timestamp_seconds(F.lit(2))
+    rows = store.read().select("rowkey", "date").distinct().withColumn("version", second)
+    store.delete(rows.select("rowkey", F.lit("metrics").alias("family"), "version"), "families")
+    symbol = F.split("rowkey", r"\|")[1]
+    store.delete(rows.filter(symbol == "signup").select("rowkey", "version"), "symbol")
+    store.delete(rows.filter(F.col("date") == F.to_date(F.lit(CELL_KEY_DAY), "yyyyMMdd")).drop("date"), "day")
+    store.compact()
+    closes = loaded.filter((symbol == "signup") & (F.col("family") == "price"))
+    store.put(_versioned(_twice(closes), 3), "again")
+    store.delete(_versioned(closes.filter(F.dayofmonth("date") % 2 == 0), 4), "even")
+    store.put(_versioned(closes, 2), "late")
+    return _served(store).withColumn("version", F.unix_seconds("version").cast("int"))
 
 
 def cells_pivot_back(spark, sf_dir):
@@ -785,7 +826,7 @@ REGISTERED: tuple[Query, ...] = (
     rolling_moment_sums, rolling_corr_pairs, rolling_corr_compat,
     facts_monthly, facts_monthly_rates, facts_assembled,
     rowkeys, cells_unpivot, cells_point_get, cells_family_get, cells_scan_limit,
-    cells_upsert, cells_delete, cells_pivot_back, cells_upload_count,
+    cells_upsert, cells_delete, cells_store_changes, cells_pivot_back, cells_upload_count,
     topk_partition_sql, date_count_sql,
     coverage_latest_common_date, coverage_latest_hour, quality_report_all,
     lake_bars_from_csv, lake_rejects_from_csv, lake_rejects_rerun, lake_day_equals_full,
