@@ -6,7 +6,13 @@ the rest is ambiguous. In the second pass an ambiguous block takes the label of
 neighbours, inside its article if it is in one, and a heading that of the next; where they disagree or there are none, blocks of an article
 are kept and others are not.
 
-Defined results: null, empty and text-less pages give an empty text; an unclosed tag ends with what holds
+What surrounds a block is evidence of two kinds. Tags such as ``nav`` and class, id or role names that say
+nothing but boilerplate (``comments``, ``cookie-notice``) decide. A form, or a name that only contains such a word
+(``post-meta-box``), is a guess: it does not hold for a container with an article, a main part or a
+first heading in it, nor for one with most of the page's words. Names of states (``has-sidebar``) say nothing.
+An open menu ends at the next article, main part or first heading, an open header at the first two.
+
+A page is read in time linear in its length, broken or very long ones too. Defined results: an empty table gives none; null, empty and text-less pages give an empty text; an unclosed tag ends with what holds
 it, an unclosed script, style or comment with the page; unknown character references stay as they are;
 repeated rows repeat.
 """
@@ -15,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,16 +55,25 @@ ARTICLE = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: words of class, id and role that name what is not the article
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|promotion|banner|cookies?|consent|gdpr|"
+    r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|promotion|banner|cookies?|consent|gdpr|"
     r"notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|sidebar|side|aside|widget|"
     r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|foot|copyright|legal|comments?|"
     r"commentlist|respond|replies|disqus|share|sharing|social|related|recommended|tags?|pagination|pager|"
-    r"contentinfo|complementary|toolbar|skip|hidden|meta|byline)(?:$|[\s_-])",
+    r"contentinfo|complementary|toolbar|skip|hidden|meta|byline",
     re.I,
 )
+#: words that make a compound name one of a state or of the page's frame
+STATES = frozenset(
+    "has have no not non with without is are show shows hide open opened closed fixed sticky active enabled disabled "
+    "left right top bottom wrapper wrap container outer inner page body content main layout".split()
+)
+#: words that a container under a guess must hold, beside half of the page's, to be taken for the article
+GUESS_WORDS = 60
+#: attributes up to the end of the tag; a quote counts only after an equals sign, and where it is closed
+_ATTRS = r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>]|\Z){_ATTRS}(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{_ATTRS})(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -74,12 +90,13 @@ class Block:
     boilerplate: bool
     article: int  # number of the article it stands in, 0 if none
     heading: bool = False
+    holder: int = 0  # number of the innermost container under a guess, 0 if none
 
     def first_label(self) -> str:
         """What the block's own measures say: good, bad or unsure."""
         if self.boilerplate or self.linked > LINKS_HIGH * self.words:
             return "bad"
-        if "\N{COPYRIGHT SIGN}" in self.text and not self.article:
+        if "\N{COPYRIGHT SIGN}" in self.text and not self.article and len(self.text) < LONG_CHARS:
             return "bad"
         dense = self.stops >= STOP_HIGH * self.words
         if len(self.text) >= LONG_CHARS and (dense or self.article):
@@ -89,32 +106,67 @@ class Block:
         return "unsure"
 
 
-def _boilerplate(tag: str, attrs: str, inside: bool) -> bool:
+def _named(attrs: str) -> str:
+    """What class, id and role say: "bad", "guess" or nothing."""
+    said = ""
+    for found in _NAMED.findall(attrs):
+        for name in "".join(found).split():
+            parts = [p for p in re.split(r"[-_]+", name.lower()) if p]
+            hits = [bool(NAMES.fullmatch(p)) for p in parts]
+            if hits and all(hits):
+                return "bad"
+            if any(hits) and STATES.isdisjoint(parts):
+                said = "guess"
+    return said
+
+
+def _evidence(tag: str, attrs: str, inside: bool) -> str:
+    """What a container's own tag and attributes say: "hidden", "bad", "guess" or nothing."""
+    if attrs and tag not in ("html", "body") and _HIDDEN.search(attrs):
+        return "hidden"
+    if tag == "form":
+        return "guess"
     if tag in BOILERPLATE and not (tag in ("header", "figcaption") and inside):
-        return True
-    if not attrs or tag in ("html", "body"):
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    return tag not in ARTICLE and any(NAMES.search(a or b or c) for a, b, c in _NAMED.findall(attrs))
+        return "bad"
+    return "" if not attrs or tag in ("html", "body") or tag in ARTICLE else _named(attrs)
+
+
+@dataclass
+class Open:
+    """An open container, with what it has from those around it."""
+
+    tag: str = ""
+    bad: bool = False
+    hidden: bool = False
+    article: int = 0
+    heading: bool = False
+    holder: int = 0
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order."""
     out: list[Block] = []
-    open_: list[tuple[str, bool, int]] = []  # (tag, boilerplate, article)
+    open_: list[Open] = []
+    depth: Counter[str] = Counter()  # open containers by tag
+    around: list[int] = [0]  # of each container under a guess, the one around it
+    proven: list[bool] = [False]  # whether it holds an article, a main part or a first heading
     parts: list[str] = []
     linked: list[str] = []
     links = articles = 0
 
+    def close() -> str:
+        tag = open_.pop().tag
+        depth[tag] -= 1
+        return tag
+
     def flush() -> None:
         words = "".join(parts).split()
         if words:
             in_links = "".join(linked).split()
             stops = sum(_EDGES.sub("", w.lower()) in STOP_WORDS for w in words)
-            bad, article = open_[-1][1:] if open_ else (False, 0)
-            heading = any(t in HEADINGS for t, _, _ in open_)
-            out.append(Block(" ".join(words), len(words), len(in_links), stops, bad, article, heading))
+            here = open_[-1] if open_ else Open()
+            out.append(Block(" ".join(words), len(words), len(in_links), stops, here.bad or here.hidden,
+                             here.article, here.heading, here.holder))
         parts.clear()
         linked.clear()
 
@@ -145,21 +197,56 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if closing:
-            if any(t == tag for t, _, _ in open_):
-                while open_.pop()[0] != tag:
+            if depth[tag]:
+                while close() != tag:
                     pass
             continue
-        if open_ and open_[-1][0] == "p":  # a paragraph ends where the next block starts
-            open_.pop()
-        while open_ and tag == open_[-1][0] and tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
-            open_.pop()
-        bad, article = open_[-1][1:] if open_ else (False, 0)
+        if open_ and open_[-1].tag == "p":  # a paragraph ends where the next block starts
+            close()
+        while open_ and tag == open_[-1].tag and tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
+            close()
+        proof = tag in ARTICLE or tag == "h1"
+        for unclosed in ("nav", "header")[: 2 if tag in ARTICLE else int(proof)]:
+            if depth[unclosed] and not (open_ and open_[-1].article):
+                while close() != unclosed:
+                    pass
+        up = open_[-1] if open_ else Open()
+        article = up.article
         if tag in ARTICLE and not article:
             articles += 1
             article = articles
-        open_.append((tag, bad or _boilerplate(tag, found["attrs"], bool(article)), article))
+        said = _evidence(tag, found["attrs"], bool(article))
+        holder = up.holder
+        if proof and holder:
+            proven[holder] = True
+        if said == "guess":
+            around.append(holder)
+            proven.append(False)
+            holder = len(around) - 1
+        open_.append(Open(
+            tag, said == "bad" or (up.bad and tag != "main"), said == "hidden" or up.hidden,
+            article, up.heading or tag in HEADINGS, holder,
+        ))
+        depth[tag] += 1
     say(page[at:])
     flush()
+    return _judged(out, around, proven)
+
+
+def _judged(out: list[Block], around: list[int], proven: list[bool]) -> list[Block]:
+    """Blocks with the guesses about their containers settled."""
+    words = [0] * len(around)
+    for block in out:
+        words[block.holder] += block.words
+    for k in range(len(around) - 1, 0, -1):  # inner containers come after those around them
+        words[around[k]] += words[k]
+        proven[around[k]] |= proven[k]
+    bad = [False] * len(around)
+    for k in range(1, len(around)):
+        most = words[k] >= max(GUESS_WORDS, words[0] / 2)
+        bad[k] = bad[around[k]] or not (proven[k] or most)
+    for block in out:
+        block.boilerplate = block.boilerplate or bad[block.holder]
     return out
 
 
