@@ -15,13 +15,13 @@ Turns are formatted row by row; only then are the rows of a conversation gathere
 role and text. A conversation is one training example, so its rows meet in one row of the result.
 
 Defined results: null or empty text is empty; a null role is an empty name; a conversation of no assistant
-has no loss; repeated rows are turns of their own; a row without a conversation id is
-a conversation of its own; an empty table gives none. Parts of an unknown kind become a placeholder that names the kind.
+has no loss; repeated rows are turns of their own; each row without a conversation id,
+repeated ones too, is a conversation of its own; long conversations cost time in proportion to their turns; an empty table gives none. Parts of an unknown kind become a placeholder that names the kind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, AFTER_ROLE, CLOSE = "### ", " ###\n", "\n</turn>\n"
@@ -85,24 +85,28 @@ def format_conversations(
             F.col(turn_col).alias("turn"), role.alias("role"), lead.alias("lead"), body.alias("body"),
             F.transform(others, attached).alias("attached"),
         ).alias("made"),
-    ).withColumn("alone", F.when(F.col("conv_id").isNull(), F.xxhash64("made")))
-    gathered = rows.groupBy("conv_id", "alone").agg(F.array_sort(F.collect_list("made")).alias("made"))
-    lengths = lambda t: F.length(t["lead"]) + F.length(t["body"]) + F.lit(len(CLOSE))
+    )
     # a running start for each turn, so that the mask needs no search in the text
-    mask = F.aggregate(
-        "made",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda acc, t: F.struct(
-            (acc["at"] + lengths(t)).alias("at"),
-            F.when(
-                t["role"] == LEARNED_ROLE,
-                F.concat(acc["spans"], F.array(F.struct(
-                    (acc["at"] + F.length(t["lead"])).alias("start"),
-                    F.length(t["body"]).cast("long").alias("length"),
-                ))),
-            ).otherwise(acc["spans"]).alias("spans"),
+    length = F.length("made.lead") + F.length("made.body") + F.lit(len(CLOSE))
+    earlier = Window.partitionBy("conv_id").orderBy("made").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(length).over(earlier), F.lit(0)).cast("long")
+    turn = F.struct("start", "made.role", "made.lead", "made.body", "made.attached")
+    gathered = (
+        rows.where(F.col("conv_id").isNotNull())
+        .withColumn("start", start)
+        .groupBy("conv_id")
+        .agg(F.array_sort(F.collect_list(turn)).alias("made"))
+        .unionByName(  # a row without an id meets no other
+            rows.where(F.col("conv_id").isNull())
+            .withColumn("start", F.lit(0).cast("long"))
+            .select("conv_id", F.array(turn).alias("made"))
+        )
+    )
+    mask = F.transform(
+        F.filter("made", lambda t: t["role"] == LEARNED_ROLE),
+        lambda t: F.struct(
+            (t["start"] + F.length(t["lead"])).alias("start"), F.length(t["body"]).cast("long").alias("length")
         ),
-        lambda acc: acc["spans"],
     )
     pieces = F.transform("made", lambda t: F.concat(t["lead"], t["body"], F.lit(CLOSE)))
     attachments = F.flatten(F.transform("made", lambda t: t["attached"]))

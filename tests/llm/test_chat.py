@@ -42,3 +42,20 @@ def test_odd_rows(spark):
     assert sorted((r.conv_id or 0, r.n_turns, len(r.loss_text)) for r in got) == [
         (0, 1, 0), (0, 1, 1), (1, 3, 2), (3, 1, 250_000)]
     assert format_conversations(turns.withColumn("parts", text_part(F.col("text"))).where("false")).count() == 0
+
+
+def test_rows_without_an_id_are_conversations_of_their_own(spark):
+    rows = [(None, 0, "assistant", "x")] * 3 + [(1, 0, "assistant", "x")] * 3
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = read_back(format_conversations(turns.withColumn("parts", text_part(F.col("text"))))).collect()
+    assert sorted((r.conv_id or 0, r.n_turns, r.loss_text) for r in got) == [(0, 1, "x")] * 3 + [(1, 3, "xxx")]
+
+
+def test_the_mask_covers_each_answer_in_order(spark):
+    rows = [(1, n, ("user", "assistant")[n % 2], f"\U0001f600<#{n}" * (n % 4)) for n in range(400)]
+    turns = spark.createDataFrame(rows[::-1], "conv_id long, turn long, role string, text string")
+    got = format_conversations(turns.withColumn("parts", text_part(F.col("text"))))
+    [one] = read_back(got).collect()
+    said = [one.formatted[m.start : m.start + m.length].replace("\\", "") for m in one.loss_mask]
+    assert said == [text for _, n, _, text in rows if n % 2]
+    assert one.loss_text == "".join(said) and one.n_turns == 400
