@@ -1,18 +1,24 @@
 """Surrogates for personal data; DataFrame functions only.
 
-Entities are found by patterns: mail addresses, phone numbers, payment cards, social security numbers, IPv4
-addresses, secrets, and names after a form of address. Each is cut into units (a name has a given and a
-family name), and a unit in its canonical spelling gets a surrogate from a keyed digest: character by
-character within its class, so script, case, punctuation and length stay, a given name ends by the gender of
-the form of address, a phone keeps its country code, a card its issuer digit.
-
-The same unit gets the same surrogate everywhere, whatever its spelling, so coreference stays. All distinct
+Entities are found by patterns: mail addresses, secrets, account numbers (IBAN), IPv6 and IPv4 addresses,
+payment cards, phone numbers (international and national), social security numbers, and names after a form of
+address. A name that a text introduces in this way is also found where the same text has it, or a part of it,
+without the form of address. Each entity is cut into units (a name has a given and a family name), and a unit
+in its canonical spelling gets a surrogate from a keyed digest: character by character within its class, so
+script, case, punctuation and length stay, a given name ends by the gender of the form of address, a phone
+keeps its country code, a card its issuer digit, an account its country, an IPv6 address its groups of zero.
+Check digits of cards and accounts hold in the surrogate where they hold in the text.
+
+The same unit gets the same surrogate everywhere, whatever its spelling, so coreference stays: ``+1 212 555
+0147``, ``001 212 555 0147`` and ``(212) 555-0147`` are one unit, as are a short and a full IPv6 spelling. A
+national number with a leading zero names no country and is a unit of its own. All distinct
 units of the table are then checked: two that would share a surrogate, or one whose surrogate is itself a
 unit of the table, are drawn anew, the smallest of a clash aside, until none clash; from the sixth
-draw on letters grow longer, so every round can succeed.
+draw on letters grow longer and zeros of IPv6 addresses are drawn too, so every round can succeed.
 
 Defined results: null and empty texts have no entities and stay (null becomes empty); equal rows get
-equal results; an empty table gives none. Nothing is cut: every entity of a text is replaced.
+equal results; an empty table gives none. Nothing is cut: every entity of a text is replaced. Four numbers
+with dots after ``version``, ``release`` or ``v`` are no address.
 """
 
 from __future__ import annotations
@@ -32,25 +38,53 @@ LETTERS = (
 )
 _TITLE = "|".join(FEMALE + MALE)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_HEX = "[0-9A-Fa-f]"
+#: a word of a name: capital first, also after a hyphen or an apostrophe, so a genitive ends before it
+NAME = r"\p{Lu}\p{L}*(?:['’-]\p{Lu}\p{L}*)*"
 # kind -> pattern; the first that fits at a place wins
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![0-9A-Za-z])(?=[A-Za-z]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
     r"|(?<=(?:token|secret|password|api_key|apikey) ?[=:] ?[\"'])[^\s\"']{8,}(?=[\"'])",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "card": r"(?<!\d)\d{4}(?:[ -]?\d{4}){3}(?!\d)",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?|[0-9A-Z]{11,30})(?![0-9A-Za-z])",
+    # all eight groups, or fewer with one gap, and a digit somewhere
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX}{{1,4}}:){{7}}{_HEX}{{1,4}}"
+    rf"|(?=(?:{_HEX}{{1,4}}:){{1,6}}:)(?!{_HEX}*(?::{_HEX}+)*::(?:{_HEX}+:)*:)(?:{_HEX}{{0,4}}:){{2,7}}{_HEX}{{1,4}})"
+    r"(?![0-9A-Za-z:])",
+    "ip": rf"(?<![\d.vV])(?<![vV]ersion )(?<![rR]elease )(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
+    "card": r"(?<!\d)(?:\d{4}(?:[ -]?\d{4}){3}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)",
+    "phone": r"(?<![\w+])\+(?=(?:[ .()-]*\d){8,15}(?!\d))\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,8}){1,5}(?!\d)"
+    r"|(?<![\w+.-])00[1-9]\d{0,2}[ .-](?=(?:[ .()-]*\d){7,13}(?!\d))\(?\d{1,4}\)?(?:[ .-]\d{2,8}){1,4}(?!\d)"
+    r"|(?<![\w+)])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)"
+    r"|(?<![\w+.-])(?:[2-9]\d{2}-\d{3}-\d{4}|[2-9]\d{2}\.\d{3}\.\d{4})(?![\w-]|\.\d)"
+    r"|(?<![\w+.,-])0[1-9](?:(?:[ .-]\d{2}){4}|\d{0,3}(?:[ /-]\d{5,8}| \d{3,4} \d{3,4}))(?![\w-]|[.,]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "person": rf"(?<![\p{{L}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
+    "person": rf"(?<![\p{{L}}])(?:{_TITLE})\.? {NAME}(?: {NAME})?",
 }
 ANY = "|".join(PATTERNS.values())
+# fixed values: country calling codes of two digits, as a pattern; 1 and 7 have one digit, the others three
+CALLING = r"2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 DIGITS = "0123456789"
+ALPHANUMERIC = DIGITS + "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 UNIT = "struct<kind:string,canon:string,form:string>"
 
 
 #: what every form of address contains, the shorter for the longer
 TITLE_ROOTS = sorted({t for t in FEMALE + MALE if not any(o != t and o in t for o in FEMALE + MALE)})
-TOKEN = "struct<entity:boolean,value:string>"
+#: text that stays, the entity after it (null: none), and its kind
+TOKEN = "struct<before:string,value:string,kind:string>"
+GIVEN = ("given-f", "given-m")
+
+
+def _token(before: Column, value: Column, kind: Column) -> Column:
+    return F.struct(before.alias("before"), value.alias("value"), kind.alias("kind"))
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """(before, value) in order; the last has no value."""
+    return F.arrays_zip(
+        F.split(text, pattern, -1).alias("before"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value")
+    )
 
 
 def may_hold(text: Column) -> Column:
@@ -63,38 +97,69 @@ def may_hold(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """A text as entities and what stands between them, in order. No entity reaches past a line, so
+    """A text as entities and what stands before them, in order. No entity reaches past a line, so
     only lines that may hold one meet the patterns."""
-    token = lambda is_entity, value: F.struct(F.lit(is_entity).alias("entity"), value.alias("value"))
+    none = F.lit(None).cast("string")
 
-    def cut(line: Column) -> Column:
-        pairs = F.arrays_zip(
-            F.split(line, ANY, -1).alias("between"), F.regexp_extract_all(line, F.lit(ANY), F.lit(0)).alias("found")
+    def read(line: Column, k: Column) -> Column:
+        line = F.when(k > 0, F.concat(F.lit("\n"), line)).otherwise(line)
+        cut = F.transform(
+            _pieces(line, ANY),
+            lambda p: _token(p["before"], p["value"], F.when(p["value"].isNotNull(), kind_of(p["value"]))),
         )
-        both = F.flatten(F.transform(pairs, lambda p: F.array(token(False, p["between"]), token(True, p["found"]))))
-        return F.filter(both, lambda t: t["value"].isNotNull())
-
-    return F.flatten(
-        F.transform(
-            F.split(text, "\n"),
-            lambda line, k: F.concat(
-                F.when(k > 0, F.array(token(False, F.lit("\n")))).otherwise(F.array().cast(f"array<{TOKEN}>")),
-                F.when(may_hold(line), cut(line)).otherwise(F.array(token(False, line))),
-            ),
+        return F.when(may_hold(line), cut).otherwise(F.array(_token(line, none, none)))
+
+    return F.flatten(F.transform(F.split(text, "\n"), read))
+
+
+def names_of(found: Column) -> Column:
+    """(kind, canon) of the names that a text introduces after a form of address."""
+    persons = F.filter(found, lambda t: t["kind"] == "person")
+    return F.array_distinct(F.transform(
+        F.filter(F.flatten(F.transform(persons, lambda t: units(t["value"], t["kind"]))), lambda u: u["kind"] != "title"),
+        lambda u: F.struct(u["kind"].alias("kind"), u["canon"].alias("canon")),
+    ))
+
+
+def mentions(found: Column, names: Column) -> Column:
+    """Tokens in which the words of ``names`` are entities too: ``family``, ``given-f`` or ``given-m``. A word
+    that is both is a family name."""
+    own = rf"(?<![\p{{L}}\p{{M}}'’-]){NAME}(?![\p{{L}}\p{{M}}])"
+
+    def as_name(word: Column) -> Column:
+        return F.array_min(F.transform(F.filter(names, lambda n: n["canon"] == F.lower(word)), lambda n: n["kind"]))
+
+    def again(t: Column) -> Column:
+        return F.transform(
+            _pieces(t["before"], own),
+            lambda p: F.when(p["value"].isNull(), _token(p["before"], t["value"], t["kind"])).otherwise(
+                F.when(as_name(p["value"]).isNull(), _token(F.concat(p["before"], p["value"]), F.lit(None).cast("string"),
+                                                            F.lit(None).cast("string")))
+                .otherwise(_token(p["before"], p["value"], as_name(p["value"])))),
         )
-    )
+
+    return F.when(F.size(names) == 0, found).otherwise(F.flatten(F.transform(found, again)))
 
 
 def kind_of(entity: Column) -> Column:
     found = F.lit("secret")
-    for kind in ("ssn", "card", "phone", "ip", "person", "email"):
+    for kind in reversed([k for k in PATTERNS if k != "secret"]):
         found = F.when(entity.rlike(rf"\A(?:{PATTERNS[kind]})\z"), kind).otherwise(found)
     return found
 
 
-def units(entity: Column) -> Column:
+def groups_of(address: Column) -> Column:
+    """The eight groups of four hex digits of an IPv6 address in any spelling."""
+    left = F.filter(F.split(F.substring_index(address, "::", 1), ":"), lambda g: g != "")
+    right = F.when(F.instr(address, "::") > 0, F.filter(F.split(F.substring_index(address, "::", -1), ":"), lambda g: g != "")
+                   ).otherwise(F.array().cast("array<string>"))
+    gap = F.array_repeat(F.lit("0"), 8 - F.size(left) - F.size(right))
+    return F.transform(F.concat(left, gap, right), lambda g: F.lpad(F.lower(g), 4, "0"))
+
+
+def units(entity: Column, kind: Column) -> Column:
     """(kind, canon, form) parts of an entity; a form of address is a unit that stays."""
-    kind, digits = kind_of(entity), F.regexp_replace(entity, r"\D", "")
+    digits = F.regexp_replace(entity, r"\D", "")
     make = lambda k, c, f: F.struct(k.alias("kind"), c.alias("canon"), f.alias("form"))
     title = F.regexp_extract(entity, rf"\A(?:{_TITLE})\.? ", 0)
     names = F.split(F.substr(entity, F.length(title) + 1), " ")
@@ -106,16 +171,40 @@ def units(entity: Column) -> Column:
                ).otherwise(F.array().cast(f"array<{UNIT}>")),
         F.array(make(F.lit("family"), F.lower(family), family)),
     )
-    code = F.regexp_extract(entity, r"\A\+(\d{1,3}?)(?=[ .(-])", 1)
+    # digits from the country code on; ten digits in threes are of the numbering plan of country 1
+    phone = (
+        F.when(entity.startswith("00"), F.substr(digits, F.lit(3)))
+        .when(entity.startswith("+") | entity.startswith("0"), digits)
+        .otherwise(F.concat(F.lit("1"), digits))
+    )
     return (
         F.when(kind == "person", person)
-        .when(kind == "phone", F.array(make(F.concat(F.lit("phone"), F.length(code).cast("string")), digits, entity)))
+        .when(kind == "phone", F.array(make(kind, phone, entity)))
         .when(kind.isin("card", "ssn"), F.array(make(kind, digits, entity)))
-        .when(kind == "email", F.array(make(kind, F.lower(entity), entity)))
+        .when(kind == "iban", F.array(make(kind, F.replace(entity, F.lit(" "), F.lit("")), entity)))
+        .when(kind == "ipv6", F.array(make(kind, F.array_join(groups_of(entity), ":"), entity)))
+        .when(kind.isin("email", "family", *GIVEN), F.array(make(kind, F.lower(entity), entity)))
         .otherwise(F.array(make(kind, entity, entity)))
     )
 
 
+def luhn(digits: Column) -> Column:
+    """Sum of a card number's digits, every second from the right doubled; a valid one ends in 0."""
+    value = lambda c, k: F.when(k % 2 == 0, c).when(c > 4, 2 * c - 9).otherwise(2 * c)
+    each = F.transform(F.split(F.reverse(digits), ""), lambda c, k: value(F.try_to_number(c, F.lit("9")).cast("int"), k))
+    return F.aggregate(each, F.lit(0), lambda total, d: total + F.coalesce(d, F.lit(0)))
+
+
+def remainder_97(account: Column) -> Column:
+    """Remainder by 97 of an account number, country and check digits moved to its end, letters from 10."""
+    turned = F.split(F.concat(F.substr(account, F.lit(5)), F.substr(account, F.lit(1), F.lit(4))), "")
+    value = lambda c: F.instr(F.lit(ALPHANUMERIC), c) - 1
+    return F.aggregate(
+        F.filter(turned, lambda c: c != ""), F.lit(0),
+        lambda rest, c: (rest * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97,
+    )
+
+
 def _draw(digest: Column, k: Column) -> Column:
     """A number of 0 to 255, and on, for place ``k``: two hex digits of the digest, moved on each turn."""
     pair = F.substr(digest, (2 * k) % 62 + 1, F.lit(2))
@@ -155,15 +244,33 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         if vowel and vowel != "a":
             here = canon.rlike(f"[{alphabet}]")
             ending = F.when(here & (kind == "given-f"), vowel).when(here, "ν" if vowel == "α" else "н").otherwise(ending)
-    issuer = F.substr(canon, F.lit(1), F.lit(1))
+    card = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(plain, F.lit(2)))
+    front = F.substr(card, F.lit(1), F.length(card) - 1)
+    check = (10 - luhn(F.concat(front, F.lit("0"))) % 10) % 10
+    country = F.substr(canon, F.lit(1), F.lit(2))
+    account = F.array_join(F.transform(  # capitals of any letter, unlike names
+        F.split(F.substr(canon, F.lit(5)), ""), lambda c, k: F.when(
+            F.instr(F.lit(DIGITS), c) > 0, F.substr(F.lit(DIGITS), _draw(digest, k) % 10 + 1, F.lit(1))
+        ).otherwise(F.when(c != "", F.substr(F.lit(ALPHANUMERIC), _draw(digest, k) % 26 + 11, F.lit(1))).otherwise(""))), "")
+    two = F.lpad((98 - remainder_97(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
+    stays = (
+        F.when(canon.startswith("0"), 2).when(canon.rlike(r"\A[17]"), 1).when(canon.rlike(rf"\A(?:{CALLING})"), 2).otherwise(3)
+    )
+    # leading zeros of a group stay, its first digit is no zero
+    group = lambda g, at: F.array_join(F.transform(F.split(g, ""), lambda c, k: F.when(
+        (attempt <= 5) & F.substr(g, F.lit(1), k + 1).rlike(r"\A0+\z"), F.lit("0")
+    ).when((attempt <= 5) & F.substr(g, F.lit(1), k).rlike(r"\A0*\z"), F.substr(F.lit("123456789abcdef"), _draw(digest, at + k) % 15 + 1, F.lit(1))
+           ).otherwise(F.substr(F.lit("0123456789abcdef"), _draw(digest, at + k) % 16 + 1, F.lit(1)))), "")
+    address = F.array_join(F.transform(F.split(canon, ":"), lambda g, k: group(g, 4 * k)), ":")
     return (
         F.when(kind == "ip", octets)
         .when(kind == "email", F.concat(chars(user, digest, no), more, F.lit("@"), chars(labels, domain, no),
                                         F.substr(host, F.length(labels) + 1)))
-        .when(kind == "card", F.concat(issuer, F.substr(plain, F.lit(2))))
-        .when(kind.startswith("phone"), F.concat(
-            F.substr(canon, F.lit(1), F.substr(kind, F.lit(6)).cast("int")),
-            F.substr(plain, F.substr(kind, F.lit(6)).cast("int") + 1)))
+        .when(kind == "ipv6", address)
+        .when(kind == "card", F.when(luhn(canon) % 10 == 0, F.concat(front, check.cast("string"))).otherwise(card))
+        .when(kind == "iban", F.concat(
+            country, F.when(remainder_97(canon) == 1, two).otherwise(F.substr(plain, F.lit(3), F.lit(2))), account))
+        .when(kind == "phone", F.concat(F.substr(canon, F.lit(1), stays), F.substr(plain, stays + 1)))
         .when(kind.isin("given-f", "given-m"), F.concat(
             F.substr(plain, F.lit(1), F.length(plain) - 1), more, ending))
         .when(kind == "ssn", plain)
@@ -172,19 +279,40 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
 
 
 def shaped(kind: Column, form: Column, made: Column) -> Column:
-    """A surrogate in the spelling of one occurrence: separators of numbers, capitals of words."""
+    """A surrogate in the spelling of one occurrence: separators of numbers, groups of addresses, capitals of
+    words. A number without its country code takes the last digits."""
+    shown = F.length(F.regexp_replace(form, "[^0-9A-Z]", ""))
+    filling = F.when((kind == "phone") & form.startswith("00"), F.concat(F.lit("00"), made)).otherwise(made)
+    skipped = F.length(filling) - shown
     number = F.aggregate(
         F.split(form, ""),
-        F.struct(F.lit(0).alias("k"), F.lit("").alias("out")),
+        F.struct(skipped.alias("k"), F.lit("").alias("out")),
         lambda acc, c: F.when(
-            F.instr(F.lit(DIGITS), c) > 0,
-            F.struct((acc["k"] + 1).alias("k"), F.concat(acc["out"], F.substr(made, acc["k"] + 1, F.lit(1))).alias("out")),
+            c.rlike("[0-9A-Z]"),
+            F.struct((acc["k"] + 1).alias("k"), F.concat(acc["out"], F.substr(filling, acc["k"] + 1, F.lit(1))).alias("out")),
         ).otherwise(F.struct(acc["k"].alias("k"), F.concat(acc["out"], c).alias("out"))),
         lambda acc: acc["out"],
     )
+    made_groups = F.split(made, ":")
+
+    def written(part: Column, first: Column) -> Column:
+        """Groups of the address as long as they are in the text, from place ``first`` on."""
+        shorts = F.filter(F.split(part, ":"), lambda g: g != "")
+        return F.array_join(F.transform(shorts, lambda g, k: F.right(F.get(made_groups, first + k), F.length(g))), ":")
+
+    tail = F.substring_index(form, "::", -1)
+    tail_size = F.size(F.filter(F.split(tail, ":"), lambda g: g != ""))
+    address = F.when(
+        F.array_join(F.filter(F.transform(made_groups, lambda g, k: F.when(g == "0000", k.cast("string"))), lambda k: k.isNotNull()), ",")
+        != F.array_join(F.filter(F.transform(groups_of(form), lambda g, k: F.when(g == "0000", k.cast("string"))), lambda k: k.isNotNull()), ","),
+        made,
+    ).when(F.instr(form, "::") > 0, F.concat(written(F.substring_index(form, "::", 1), F.lit(0)), F.lit("::"), written(tail, 8 - tail_size))
+           ).otherwise(written(form, F.lit(0)))
+    address = F.when(form.rlike("[A-F]"), F.upper(address)).otherwise(address)
     capital = F.concat(F.upper(F.substr(made, F.lit(1), F.lit(1))), F.substr(made, F.lit(2)))
     return (
-        F.when(kind.startswith("phone") | kind.isin("card", "ssn"), number)
+        F.when(kind.isin("phone", "card", "ssn", "iban"), number)
+        .when(kind == "ipv6", address)
         .when(kind.isin("ip", "secret"), made)
         .when((form == F.upper(form)) & (F.length(form) > 1), F.upper(made))
         .when(F.substr(form, F.lit(1), F.lit(1)) != F.lower(F.substr(form, F.lit(1), F.lit(1))), capital)
@@ -232,20 +360,20 @@ def replace_entities(
     cut = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn(
         "tokens", F.when(may_hold(F.col("text")), tokens(F.col("text"))).otherwise(F.array().cast(f"array<{TOKEN}>"))
     )
-    found = F.exists("tokens", lambda t: t["entity"])
+    found = F.exists("tokens", lambda t: t["value"].isNotNull())
     none = F.array().cast("array<string>")
     clean = cut.where(~found).select(
         "doc_id", F.lit(0).cast("long").alias("n_entities"), none.alias("kinds"), none.alias("surrogates"), "text"
     )
-    numbered = F.transform("tokens", lambda t, k: F.struct(k.alias("place"), t["entity"].alias("entity"), t["value"].alias("value")))
+    placed = F.transform("tokens", lambda t, k: F.struct(k.alias("place"), t["value"].alias("value"), t["kind"].alias("kind")))
     rows = durable(
-        cut.where(found).select(
-            F.monotonically_increasing_id().alias("row"), "doc_id", "tokens",
-            F.filter(numbered, lambda t: t["entity"]).alias("entities"),
-        )
+        cut.where(found)
+        .select("doc_id", "tokens", names_of(F.col("tokens")).alias("names"))
+        .select(F.monotonically_increasing_id().alias("row"), "doc_id", mentions(F.col("tokens"), F.col("names")).alias("tokens"))
+        .withColumn("entities", F.filter(placed, lambda t: t["value"].isNotNull()))
     )
     parts = rows.select("row", F.inline("entities")).select(
-        "row", "place", F.posexplode(units(F.col("value"))).alias("part", "unit")
+        "row", "place", F.posexplode(units(F.col("value"), F.col("kind"))).alias("part", "unit")
     ).select("row", "place", "part", "unit.*")
     drawn = assign(parts.where(F.col("kind") != "title").select("kind", "canon"), key)
     written = parts.join(drawn, ["kind", "canon"], "left").select(
@@ -260,21 +388,16 @@ def replace_entities(
         F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["made"]), "").alias("made")
     )
     by_row = whole.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "made"))).alias("made"))
-    joined = rows.join(by_row, "row").select(
-        "doc_id", "tokens", "entities",
-        F.transform("made", lambda m: m["made"]).alias("surrogates"),
-        F.transform("made", lambda m: m["place"]).alias("places"),
-    )
-    replaced = F.transform(
-        "tokens",
-        lambda t, k: F.when(
-            t["entity"], F.get(F.col("surrogates"), (F.array_position("places", k) - 1).cast("int"))
-        ).otherwise(t["value"]),
+    # a token without an entity is followed by nothing; by place, so no token is searched for
+    gaps = F.filter(
+        F.transform("tokens", lambda t, k: F.struct(k.alias("place"), F.when(t["value"].isNull(), "").alias("made"))),
+        lambda g: g["made"].isNotNull(),
     )
-    return joined.select(
+    after = F.array_sort(F.concat("made", gaps))
+    return rows.join(by_row, "row").select(
         "doc_id",
         F.size("entities").cast("long").alias("n_entities"),
-        F.transform("entities", lambda e: kind_of(e["value"])).alias("kinds"),
-        "surrogates",
-        F.array_join(replaced, "").alias("text"),
+        F.transform("entities", lambda e: e["kind"]).alias("kinds"),
+        F.transform("made", lambda m: m["made"]).alias("surrogates"),
+        F.array_join(F.zip_with("tokens", after, lambda t, m: F.concat(t["before"], m["made"])), "").alias("text"),
     ).unionByName(clean)
