@@ -18,37 +18,38 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import durable, parallelism, seeded
+from marketlake.llm.common import durable, parallelism, seeded, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
 SLOTS = 4096
 SEED = 20
-#: words that the dynamic program may have to reach, at least; beyond it grows with the longest document
-LEAST_REACH = 4096
+#: longest documents' worth of words that the dynamic program fills, and the most sums that it may keep
+ROOM, STATES = 8, 1 << 24
 
 
-def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc_id, source, size); ``bytes.split`` cuts at exactly the blanks of the contract."""
+def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str, draw: Column) -> DataFrame:
+    """(doc_id, source, draw, size); ``bytes.split`` cuts at exactly the blanks of the contract."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [0 if t is None else len(t.encode("utf-8").split()) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["source"], pa.array(sizes, pa.int64())],
-                names=["doc_id", "source", "size"],
+                [batch["doc_id"], batch["source"], batch["draw"], pa.array(sizes, pa.int64())],
+                names=["doc_id", "source", "draw", "size"],
             )
 
     narrow = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), draw.alias("draw"), F.col(text_col).alias("text")
     )
     kinds = {f.name: f.dataType.simpleString() for f in narrow.schema}
-    return narrow.mapInArrow(count, f"doc_id {kinds['doc_id']}, source {kinds['source']}, size long")
+    return narrow.mapInArrow(count, f"doc_id {kinds['doc_id']}, source {kinds['source']}, draw long, size long")
 
 
 def source_targets(sized: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
@@ -98,39 +99,56 @@ def fit_counts(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     ``budget`` or to the nearest sum below it that the sizes left over allow.
 
     A proportional share of each size keeps the mix like its source; whole documents from the
-    longest down bring the rest within reach of the dynamic program, whose state is one big integer
-    with a bit for each sum that can be reached.
+    longest down bring the rest within ``ROOM`` of the longest documents. That rest goes to the dynamic
+    program, which notes for every sum the step that first reached it. Where it can't be met exactly, the
+    room is doubled as long as ``STATES`` sums hold it.
     """
     total = sum(s * n for s, n in zip(sizes, counts))
     if budget >= total:
         return list(counts)
+    room, best = ROOM * max(sizes, default=0), None
+    while True:
+        taken, short = _fill(sizes, counts, budget, total, min(room, STATES))
+        if best is None or short < best[1]:
+            best = taken, short
+        if short == 0 or room >= min(budget, STATES):
+            return best[0]
+        room *= 2
+
+
+def _fill(sizes: list[int], counts: list[int], budget: int, total: int, room: int) -> tuple[list[int], int]:
+    """Counts by size, and how far their sum ends below ``budget``; about ``room`` words are left to choose."""
     taken = [int(n * budget // total) for n in counts]
     left = budget - sum(s * n for s, n in zip(sizes, taken))
     order = sorted((i for i, s in enumerate(sizes) if s > 0), key=lambda i: -sizes[i])
-    reach = max(LEAST_REACH, 2 * max(sizes, default=0))
     for i in order:
-        more = min(counts[i] - taken[i], max(0, left - reach // 2) // sizes[i])
+        more = min(counts[i] - taken[i], max(0, left - room) // sizes[i])
         taken[i] += more
         left -= more * sizes[i]
-    if left <= 0:
-        return taken
-    sums, steps, within = 1, [], (1 << (left + 1)) - 1
+    reached = np.zeros(left + 1, bool)
+    reached[0] = True
+    first = np.full(left + 1, -1, np.int32)
+    steps: list[tuple[int, int]] = []
     for i in reversed(order):  # short documents first: they reach every sum soonest
         spare, block = min(counts[i] - taken[i], left // sizes[i]), 1
-        while spare > 0 and not sums >> left & 1:
+        while spare > 0 and not reached[left]:
             block = min(block, spare)
-            steps.append((i, block, sums))
-            sums |= sums << (block * sizes[i]) & within
+            by = block * sizes[i]
+            new = np.flatnonzero(reached[:-by] & ~reached[by:]) + by
+            first[new] = len(steps)
+            reached[new] = True
+            steps.append((i, block))
             spare -= block
             block *= 2
-        if sums >> left & 1:
+        if reached[left]:
             break
-    at = sums.bit_length() - 1
-    for i, block, earlier in reversed(steps):
-        if not earlier >> at & 1:
-            taken[i] += block
-            at -= block * sizes[i]
-    return taken
+    at = int(np.flatnonzero(reached)[-1])
+    short = left - at
+    while at:
+        i, block = steps[first[at]]
+        taken[i] += block
+        at -= block * sizes[i]
+    return taken, short
 
 
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -148,15 +166,16 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     most: float = MOST,
     seed: int = SEED,
+    drawn_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, repeats, taken), one row for each row of ``docs``;
-    ``taken`` is ``size * repeats``."""
+    ``taken`` is ``size * repeats``. Rows of a source and size are chosen in the order of a seeded hash of the
+    columns ``drawn_by``, the id unless named."""
     # a null source must join: its key is empty, other keys start with a mark
     key = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
     sized = durable(
-        word_counts(docs, id_col, text_col, source_col)
+        word_counts(docs, id_col, text_col, source_col, seeded(seed, *[F.col(c) for c in drawn_by or (id_col,)]))
         .withColumn("source_key", key)
-        .withColumn("draw", seeded(seed, F.col("doc_id")))
         .withColumn("slot", F.pmod("draw", F.lit(SLOTS)))
     )
     targets = durable(
@@ -198,15 +217,18 @@ def mix(
 def drop_unmixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how
 ) -> DataFrame:
-    """The rows of the mix with all columns of ``docs``: each document as often as it is taken. Rows of
-    one id are taken together, as often as the first of them; rows without an id are not taken."""
+    """The rows of the mix with all columns of ``docs``: each row as often as it is taken. Rows are told apart
+    by a key of their own, so rows of one id, or without an id, are taken each for itself; which ones are
+    taken depends on id and text, and no column's name can clash."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    keyed = stored(docs.select(row, F.monotonically_increasing_id().alias("key")))
+    told = keyed.select(
+        "key", F.col("row")[id_col].alias("owner"), F.col("row")[text_col].alias("text"), F.col("row")[source_col].alias("source")
+    )
     taken = (
-        mix(docs, id_col, text_col, source_col, **how)
-        .where(F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.max("repeats").alias("repeats"))
+        mix(told, "key", "text", "source", drawn_by=("owner", "text"), **how)
         .where(F.col("repeats") > 0)
+        .select(F.col("doc_id").alias("key"), "repeats")
     )
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     times = F.explode(F.array_repeat(F.lit(True), F.col("repeats").cast("int")))
-    joined = docs.select(row, F.col(id_col).alias("doc_id")).join(taken, "doc_id")
-    return joined.select("row", times.alias("time")).select("row.*")
+    return keyed.join(taken, "key").select("row", times.alias("time")).select("row.*")

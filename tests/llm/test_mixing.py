@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -58,11 +59,37 @@ def test_fit_is_the_nearest_sum_below(found, budget):
         assert took == counts
         return
     got = sum(s * t for s, t in zip(sizes, took))
-    shared = [n * budget // total for n in counts]  # the proportional share stays
-    sums = {sum(s * n for s, n in zip(sizes, shared))}
-    for s, n, t in zip(sizes, counts, shared):
-        sums = {x + k * s for x in sums for k in range(n - t + 1)}
-    assert got == max(x for x in sums if x <= budget)
+    assert got == nearest(sizes, counts, [n * budget // total for n in counts], budget)  # the proportional share stays
+
+
+def nearest(sizes, counts, least, budget):
+    """The nearest sum at or below ``budget`` with at least ``least`` of each size, as bits of one integer."""
+    sums = 1 << sum(s * n for s, n in zip(sizes, least))
+    for s, n, t in zip(sizes, counts, least):
+        for _ in range(n - t):
+            sums |= sums << s
+    return (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_fit_of_long_documents_is_nearest_too(seed):
+    """Budgets far beyond the room of the program: many sizes, one document or a few of each."""
+    rnd = random.Random(seed)
+    sizes = sorted(rnd.sample(range(1000, 1400), 150)) if seed % 2 else sorted(rnd.sample(range(1, 20_000), 60))
+    counts = [rnd.randrange(1, 3) for _ in sizes]
+    total = sum(s * n for s, n in zip(sizes, counts))
+    for share in (3, 2):
+        budget = total // share
+        took = fit_counts(sizes, counts, budget)
+        assert all(0 <= t <= n for t, n in zip(took, counts))
+        shared = [n * budget // total for n in counts]
+        assert sum(s * t for s, t in zip(sizes, took)) == nearest(sizes, counts, shared, budget)
+
+
+def test_fit_of_very_long_documents_ends_near_its_budget():
+    sizes = list(range(100_000, 140_000, 40))
+    budget = sum(sizes) // 3
+    assert 0 <= budget - sum(s * t for s, t in zip(sizes, fit_counts(sizes, [1] * 1000, budget))) < 40
 
 
 def test_drop_repeats_what_is_taken_more_than_once(spark, odd, none):
@@ -73,3 +100,12 @@ def test_drop_repeats_what_is_taken_more_than_once(spark, odd, none):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     # 12 words; 9 for s, which is thrice its size; 3 for t, whose only document is longer
     assert Counter(r.doc_id for r in drop_unmixed(docs).collect()) == {1: 3}
+
+
+def test_rows_of_one_id_or_none_are_taken_each_for_itself(spark):
+    # all words of one source are taken, once
+    rows = [(1, "a b c", "s"), (1, "d e", "s"), (None, "f g h i", "s"), (None, "f g h i", "s"), (2, "k", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 as key", "2 as owner", "3 as repeats")
+    got = drop_unmixed(docs)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((r[0], r[1]) for r in rows)
