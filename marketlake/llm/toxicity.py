@@ -1,10 +1,12 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon words, word-start patterns and densities of such words, found among labelled training
-rows; each votes on a document by firing on it or abstains. A generative label model then looks at the votes alone: EM estimates how
-often each voter fires on either class, and the correlations between voters within a class discount
-voters that repeat each other. Its posterior labels train a linear classifier over the votes, which
-scores documents in one narrow pass.
+rows; each votes on a document by firing on it or abstains. Labels choose the voters and so fix their side; they
+go no further. A generative label model looks at the votes alone: EM estimates from their agreement how
+often each voter fires on either class and how common the classes are, and the correlations between voters within
+a class discount voters that repeat each other. Its posterior labels train a linear classifier over the
+votes and over hashed words of the text, so words that no voter knows count too. The classifier scores documents
+in one narrow pass.
 
 The model is fitted on a bounded sample, ``sample_rows`` rows with the smallest seeded hash; the score of
 a document depends on its text alone. Nothing in the scoring pass is bounded or cut.
@@ -17,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -29,8 +32,6 @@ from marketlake.llm.common import durable, seeded
 SAMPLE_ROWS = 20_000
 #: candidate words and word starts that the sample is matched with, and the most voters
 CANDIDATES, VOTERS = 4096, 384
-#: toxic rows below which one sample both finds and judges the entries
-FEWEST = 80
 #: how many voters each toxic training document should get
 COVER = 6
 #: a voter must be this many times likelier in toxic documents
@@ -38,6 +39,10 @@ RATIO = 20.0
 STARTS = range(3, 9)
 #: shares of matching words at which a density pattern fires
 DENSITY = (1 / 800, 1 / 400, 1 / 200, 1 / 140, 1 / 100, 1 / 70, 1 / 50, 1 / 25, 1 / 10)
+#: buckets of hashed words, and the most of them that the classifier looks at
+BUCKETS, FEATURES = 1 << 16, 512
+#: belief that a document without any vote is toxic
+UNHEARD = 0.01
 _CACHE_WORDS = 1 << 17
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -53,41 +58,68 @@ def word_features(raw: str) -> list[str]:
     return ["=" + word, *(word[:k] + "*" for k in STARTS if len(word) > k)] if word else []
 
 
+def bucket(raw: str) -> int:
+    """Hashed word, -1 for what has no letter or digit."""
+    word = _EDGES.sub("", raw.lower())
+    return crc32(word.encode("utf-8", "replace")) % BUCKETS if word else -1
+
+
 class Matcher(dict):
-    """Numbers of the lexicon entries that a raw word matches; emptied when it has grown past a fixed
-    size."""
+    """Numbers of the lexicon entries that a raw word matches, and its bucket if that is one of ``hashed``;
+    emptied when it has grown past a fixed size."""
 
-    def __init__(self, lexicon: list[str]):
+    def __init__(self, lexicon: list[str], hashed: dict[int, int] | None = None):
         super().__init__()
         self.numbers = {v: k for k, v in enumerate(lexicon)}
+        self.hashed = hashed or {}
 
-    def __missing__(self, raw: str) -> tuple[int, ...]:
+    def __missing__(self, raw: str) -> tuple[tuple[int, ...], int]:
         if len(self) > _CACHE_WORDS:
             self.clear()
-        found = tuple(self.numbers[f] for f in word_features(raw) if f in self.numbers)
+        entries = tuple(self.numbers[f] for f in word_features(raw) if f in self.numbers)
+        found = entries, self.hashed.get(bucket(raw), -1) if self.hashed else -1
         if len(raw) <= 64:
             self[raw] = found
         return found
 
-    def read(self, text: str | None) -> tuple[list[int], int]:
-        """Entries that occur in a text, and how many steps of ``DENSITY`` the share of its words that
-        match any reaches."""
+    def read(self, text: str | None) -> tuple[list[int], int, list[int], int]:
+        """Entries that occur in a text, how many steps of ``DENSITY`` the share of its words that
+        match any reaches, its features of ``hashed``, and how many distinct words it has."""
         words = (text or "").split()
-        hits = [hit for hit in map(self.__getitem__, words) if hit]
-        step = sum(len(hits) >= share * len(words) for share in DENSITY) if hits else 0
-        return sorted({k for hit in hits for k in hit}), step
+        distinct = set(words)
+        entries: set[int] = set()
+        features: set[int] = set()
+        matching = set()
+        for raw in distinct:
+            hit, feature = self[raw]
+            if hit:
+                entries.update(hit)
+                matching.add(raw)
+            if feature >= 0:
+                features.add(feature)
+        hits = sum(map(matching.__contains__, words)) if matching else 0
+        step = sum(hits >= share * len(words) for share in DENSITY) if hits else 0
+        return sorted(entries), step, sorted(features), len(distinct)
+
+
+def worth(distinct: int) -> float:
+    """What a hashed word counts in a text of so many distinct words: chance words of a long text add up
+    to no more than those of a short one."""
+    return float(1 / np.sqrt(1 + distinct / 50))
 
 
 @dataclass
 class Model:
     """``entry`` maps a lexicon entry to its voter; the last ``len(DENSITY)`` voters are patterns that
     fire when the share of matching words reaches their step. All abstain below step ``gate``: a
-    single chance match in a long text is no vote."""
+    single chance match in a long text is no vote. ``hashed`` maps a bucket to its place in ``words``."""
 
     lexicon: list[str] = field(default_factory=list)
     entry: dict[int, int] = field(default_factory=dict)
     gate: int = 0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(DENSITY)))
+    hashed: dict[int, int] = field(default_factory=dict)
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = -np.inf
 
     def votes(self, found: list[int], step: int) -> list[int]:
@@ -96,57 +128,64 @@ class Model:
         lexical = [self.entry[k] for k in found if k in self.entry]
         return lexical + [len(self.entry) + k for k in range(self.gate - 1, step)]
 
-    def score(self, found: list[int], step: int) -> float:
+    def score(self, found: list[int], step: int, features: list[int], distinct: int) -> float:
         if not self.lexicon:
             return 0.0
-        z = self.bias + self.weights[self.votes(found, step)].sum()
+        z = self.bias + self.weights[self.votes(found, step)].sum() + worth(distinct) * self.words[features].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def label_model(
-    votes: np.ndarray, times: np.ndarray, prior: float, expected: np.ndarray, rounds: int = 50
-) -> tuple[np.ndarray, dict]:
+def label_model(votes: np.ndarray, times: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, dict]:
     """Posterior of class 1 for each vote pattern, a row of 0/1 that occurs ``times`` times, and what was
-    estimated: how often a voter fires in either class, and how voters correlate within a class. Voters
-    that fire together share their weight by these correlations.
+    estimated from the votes alone: how often a voter fires in either class, how common class 1 is, and how
+    voters correlate within a class. Voters that fire together share their weight by these correlations, as do those that stay silent.
 
-    ``expected`` holds how often each voter is expected to fire in class 0 and 1; twice as many
-    documents as there are speak for it, so that a group of voters can't change sides."""
+    All voters speak for class 1: EM starts from patterns with votes on that side. Documents without any vote
+    say nothing of that class; they keep ``UNHEARD`` and anchor the other, or the classes could drift apart
+    along languages instead. Two imagined documents for each voter and class, which it fires on in twenty of
+    a hundred and in one of a thousand, keep rates off zero."""
     v = votes.shape[1]
-    fires = expected.copy()
-    related = np.eye(v)
-    spoken = 2 * times.sum() * np.array([1 - prior, prior])
-    post = np.full(len(votes), prior)
-    silent, quiet = ~votes.any(axis=1), np.array([0.5, 0.5])
+
+    def correlations(weights: np.ndarray) -> np.ndarray:
+        """Between voters over weighted patterns, each about its own mean; none where one hardly fires."""
+        apart = votes - weights @ votes / weights.sum()
+        joint = apart.T @ (apart * weights[:, None])
+        spread = np.sqrt(np.diag(joint))
+        return joint / (np.outer(spread, spread) + 0.5)
+
+    # voters that fire alike in all documents are one voter from the start
+    related = correlations(times)
+    related[related < 0.9] = 0
+    np.fill_diagonal(related, 1)
+    silent = ~votes.any(axis=1)
+    many = (votes / (votes @ related).clip(1)).sum(axis=1)
+    post = np.where(silent, UNHEARD, many**2 / (many**2 + 9))  # a lone vote is no agreement
+    spoken, guess = 2.0, (0.001, 0.2)
+    fires = np.zeros((2, v))
     for step in range(rounds):
+        for c, w in enumerate((times * (1 - post), times * post)):
+            fires[c] = (w @ votes + spoken * guess[c]) / (w.sum() + spoken)
+        prior = (times @ post + 1) / (times.sum() + 2)
+        if step % 10 == 5:  # what the classes leave unexplained
+            related = np.maximum(correlations(times * (1 - post)), correlations(times * post))
+            related[related < 0.1] = 0
+            np.fill_diagonal(related, 1)
         old = post
-        # a voter that stays silent abstains: it may not know the language of the text
+        quiet = 1 - votes
         odds = np.log(prior / (1 - prior)) + (votes / (votes @ related).clip(1)) @ np.log(fires[1] / fires[0])
-        odds = odds + np.where(silent, np.log(quiet[1] / quiet[0]), 0)
-        post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        odds = odds + (quiet / (quiet @ related).clip(1)) @ np.log((1 - fires[1]) / (1 - fires[0]))
+        post = np.where(silent, UNHEARD, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
         if step > 10 and np.abs(post - old).max() < 1e-6:
             break
-        for c, w in enumerate((times * (1 - post), times * post)):
-            fires[c] = (w @ votes + spoken[c] * expected[c]) / (w.sum() + spoken[c])
-            quiet[c] = (w @ silent + 0.5) / (w.sum() + 1)
-        if step % 10 == 5:  # correlations of what the classes leave unexplained
-            rest = votes - (np.outer(1 - post, fires[0]) + np.outer(post, fires[1]))
-            related = np.eye(v)
-            for inside in (post > 0.5, post <= 0.5):
-                joint = rest[inside].T @ (rest[inside] * times[inside, None])
-                spread = np.sqrt(np.diag(joint)) + 1e-9
-                related = np.maximum(related, joint / np.outer(spread, spread))
-            related[related < 0.1] = 0
-    return post, {"fires": fires, "related": related}
+    return post, {"fires": fires, "related": related, "prior": prior}
 
 
 def linear_fit(
-    votes: np.ndarray, times: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds: int = 40
+    features: np.ndarray, times: np.ndarray, target: np.ndarray, ridge: float | np.ndarray = 0.05, rounds: int = 40
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Newton steps; the bias is not shrunk."""
-    x = np.hstack([votes, np.ones((len(votes), 1))])
-    w, shrink = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
-    shrink[-1] = 1e-6
+    x = np.hstack([features, np.ones((len(features), 1))])
+    w, shrink = np.zeros(x.shape[1]), np.append(np.broadcast_to(ridge, features.shape[1]), 1e-6)
     loss = np.inf
     for _ in range(rounds):
         z = np.clip(x @ w, -30, 30)
@@ -203,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not all(whole):
         return Model()
     one, two = sample.where("first"), sample.where("not first")
-    if whole[1] < FEWEST or len(size) < 4:  # too few to split
+    if len(size) < 4:  # a half lacks a class
         one = two = sample
         size = {(half, label): whole[label] for half in (True, False) for label in (0, 1)}
     (clean, toxic), (clean2, toxic2) = ((size[half, 0], size[half, 1]) for half in (True, False))
@@ -298,11 +337,59 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     votes = np.zeros((len(patterns), len(chosen) + len(DENSITY)))
     for row, r in enumerate(patterns):
         votes[row, model.votes(r["found"], r["step"])] = 1
-    expected = np.stack([
-        ((times * ~is_toxic) @ votes + 0.05) / (clean + 1), ((times * is_toxic) @ votes + 0.5) / (toxic + 1)
-    ])
-    posterior, _ = label_model(votes, times, toxic / (toxic + clean), expected)
-    model.weights, model.bias = linear_fit(votes, times, posterior)
+    posterior, _ = label_model(votes, times)
+    believed = {(tuple(r["found"]), r["step"]): float(p) for r, p in zip(patterns, posterior)}
+    base = float(times @ posterior / times.sum())
+    lent = sample.sparkSession.sparkContext.broadcast((picked, believed))
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many texts hold a bucket, and how many of these are believed to be toxic."""
+        lexicon, belief = lent.value
+        matcher = Matcher(lexicon)
+        held, mass = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                here = list({bucket(raw) for raw in (text or "").split()} - {-1})
+                found, step, _, _ = matcher.read(text)
+                held[here] += 1
+                mass[here] += belief[tuple(found), step]
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(held[at]), pa.array(mass[at])], names=["bucket", "held", "mass"]
+        )
+
+    leaning = (
+        two.mapInArrow(lean, "bucket int, held double, mass double").groupBy("bucket")
+        .agg(F.sum("held").alias("held"), F.sum("mass").alias("mass"))
+        .where((F.col("held") >= 4) & (F.abs(F.col("mass") - base * F.col("held")) > 4 * F.sqrt(F.col("held") * base * (1 - base))))
+        .orderBy(F.round(-F.abs(F.col("mass") - base * F.col("held")) / F.sqrt("held"), 6), "bucket").limit(FEATURES).collect()
+    )
+    model.hashed = {r["bucket"]: k for k, r in enumerate(leaning)}
+    hashed = sample.sparkSession.sparkContext.broadcast(model.hashed)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, belief = lent.value
+        matcher = Matcher(lexicon, hashed.value)
+        for batch in batches:
+            rows = [matcher.read(t) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.int32()),
+                 pa.array([r[2] for r in rows], pa.list_(pa.int32())), pa.array([r[3] for r in rows], pa.int64()),
+                 pa.array([belief[tuple(r[0]), r[1]] for r in rows], pa.float64())],
+                names=["found", "step", "features", "distinct", "target"],
+            )
+
+    schema = "found array<int>, step int, features array<int>, distinct long, target double"
+    # at most sample_rows rows; ordered, so that sums are added alike in every run
+    seen_rows = two.mapInArrow(look, schema).orderBy("found", "step", "features", "distinct").collect()
+    voters, size = len(chosen) + len(DENSITY), len(chosen) + len(DENSITY) + len(leaning)
+    x = np.zeros((len(seen_rows), size))
+    for row, r in enumerate(seen_rows):
+        x[row, model.votes(r["found"], r["step"])] = 1
+        x[row, [voters + k for k in r["features"]]] = worth(r["distinct"])
+    ridge = np.where(np.arange(size) < voters, 0.05, 1.0)
+    weights, model.bias = linear_fit(x, np.ones(len(x)), np.array([r["target"] for r in seen_rows]), ridge)
+    model.weights, model.words = weights[:voters], weights[voters:]
     return model
 
 
@@ -313,7 +400,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fitted = shared.value
-        matcher = Matcher(fitted.lexicon)
+        matcher = Matcher(fitted.lexicon, fitted.hashed)
         for texts in parts:
             yield pd.Series([fitted.score(*matcher.read(t)) for t in texts], dtype="float64")
 
