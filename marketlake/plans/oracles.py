@@ -446,6 +446,24 @@ ORACLES: dict[str, str] = {
     FROM closes JOIN volume USING (symbol, date)""",
     "lake_partition_coverage": """SELECT DISTINCT CAST(ts AS DATE) AS date,
     CAST(hour(ts) AS INTEGER) AS hour FROM events""",
+    "lake_daily_returns": _with("daily")
+    + "SELECT symbol, date, close, ts_max, round(ret_1d, 6) + 0.0 AS ret_1d FROM daily",
+    "lake_rate_returns": _with("daily")
+    + """SELECT date AS fx_date, symbol AS code, close AS mid, round(ret_1d, 6) + 0.0 AS ret_1d,
+    CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM daily""",
+    "lake_monthly_facts": _with("monthly")
+    + """SELECT symbol, year, month, round(avg_ret_1d, 6) + 0.0 AS avg_ret_1d,
+    round(vol_ret, 6) + 0.0 AS vol_ret, days_ret, last_close FROM monthly""",
+    "lake_correlation": _with("corr")
+    + "SELECT date, round(corr_btc_usdpln_63d, 6) + 0.0 AS corr_btc_usdpln_63d FROM corr",
+    "lake_table_samples": _with("daily", "monthly", "corr")
+    + """SELECT table_name, CAST(least(n, 5) AS BIGINT) AS rows, n IS NULL AS missing FROM (
+    SELECT 'fx_daily_returns' AS table_name, (SELECT count(*) FROM daily) AS n
+    UNION ALL SELECT 'crypto_daily', (SELECT count(*) FROM daily)
+    UNION ALL SELECT 'corr_btc_usdpln_63d', (SELECT count(*) FROM corr)
+    UNION ALL SELECT 'crypto_monthly_facts', (SELECT count(*) FROM monthly))""",
+    "lake_file_dates": """SELECT DISTINCT CAST(ts AS DATE) AS date,
+    CAST(hour(ts) AS INTEGER) AS hour FROM events""",
     "lake_put_commands": _with("cells")
     + """SELECT 'finance:facts_daily' AS table_name, rowkey, family, qualifier,
     round(value, 4) + 0.0 AS value FROM cells""",

@@ -8,6 +8,7 @@ inputs to the shared folder and read them back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,8 @@ from marketlake.sinks.tables import (
     upsert_partitions,
 )
 from marketlake.sinks.topics import topic_records
-from marketlake.sources.catalog import covered, define_lake, define_table
-from marketlake.sources.files import rows_per_file
+from marketlake.sources.catalog import covered, define_lake, define_table, missing_tables, sample_rows
+from marketlake.sources.files import list_files, rows_per_file
 from marketlake.sources.rates import explode_rate_documents, read_landed_rates, tag_rate_documents
 from marketlake.sources.tables import read_table
 from marketlake.sources.ticks import read_tick_csv
@@ -664,6 +665,48 @@ def lake_analytics_checks(spark, sf_dir):
     return jobs.check_report(spark, lake)
 
 
+def _analysed_lake(spark, sf_dir, name) -> jobs.Lake:
+    lake = _event_lake(spark, sf_dir, name)
+    jobs.analytics(spark, lake, BASE, QUOTE)
+    return lake
+
+
+def lake_daily_returns(spark, sf_dir):
+    """The daily table of the analytics job, row by row."""
+    daily = _analysed_lake(spark, sf_dir, "daily").read(spark, "crypto_daily")
+    return _round(daily.select("symbol", "date", "close", "ts_max", "ret_1d"), 6, "ret_1d")
+
+
+def lake_rate_returns(spark, sf_dir):
+    rates = _analysed_lake(spark, sf_dir, "rate-returns").read(spark, "fx_daily_returns")
+    return _round(rates.select("fx_date", "code", "mid", "ret_1d", "year", "month"), 6, "ret_1d")
+
+
+def lake_monthly_facts(spark, sf_dir):
+    facts = _analysed_lake(spark, sf_dir, "monthly").read(spark, "crypto_monthly_facts")
+    made = facts.select("symbol", "year", "month", "avg_ret_1d", "vol_ret", "days_ret", "last_close")
+    return _round(made, 6, "avg_ret_1d", "vol_ret")
+
+
+def lake_correlation(spark, sf_dir):
+    found = _analysed_lake(spark, sf_dir, "correlation").read(spark, "corr_btc_usdpln_63d")
+    return _round(found, 6, "corr_btc_usdpln_63d")
+
+
+def lake_table_samples(spark, sf_dir):
+    """How many rows a sample of five finds in each table of the catalog; none is missing."""
+    lake = _analysed_lake(spark, sf_dir, "samples")
+    database = "lake_" + lake.root.rsplit("-", 1)[-1][:12]
+    define_lake(spark, lake.root, database)
+    absent = missing_tables(spark, database)
+    counts = [
+        sample_rows(spark, f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(name).alias("table_name"), "rows", F.lit(name in absent).alias("missing"))
+        for name in jobs.CHECKED
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def lake_serving_cells(spark, sf_dir):
     """The serving job: all dates, then one date again; cells read back."""
     lake = _event_lake(spark, sf_dir, "serving")
@@ -734,6 +777,15 @@ def lake_file_rows(spark, sf_dir):
     )
 
 
+def lake_file_dates(spark, sf_dir):
+    """Dates and hours of the folders that hold files, by the names of the files."""
+    found = list_files(spark, _landed_lake(spark, sf_dir, "files").raw_ticks, "*.csv")
+    return found.select(
+        F.regexp_extract("path", "date=([0-9-]+)", 1).cast("date").alias("date"),
+        F.regexp_extract("path", "hour=([0-9]+)", 1).cast("int").alias("hour"),
+    ).distinct()
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -834,7 +886,8 @@ REGISTERED: tuple[Query, ...] = (
     document_rejects, lake_day_rebuild, lake_rates_upsert,
     lake_rates_month, lake_rates_json, lake_rate_documents, lake_analytics_checks,
     lake_serving_cells, lake_external_tables, lake_partition_coverage,
-    lake_put_commands, lake_file_rows,
+    lake_put_commands, lake_file_rows, lake_daily_returns, lake_rate_returns, lake_monthly_facts,
+    lake_correlation, lake_table_samples, lake_file_dates,
     stream_bars_hourly, stream_bars_closed, stream_dedup, stream_route_valid,
     stream_route_rejects, stream_landing,
 )
