@@ -31,3 +31,14 @@ def test_run_equals_its_stages(spark):
     again = corpus_pipeline.run(spark, SF)
     assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
     assert got.columns[:2] == ["doc_id", "n_tokens"] and got.count() > 0
+
+
+def test_stages_take_odd_rows(spark, odd, none):
+    for docs in (odd, none):
+        before = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = durable(stage(spark, before, SF))
+            assert after.columns == docs.columns, name
+            before = after
+        last = corpus_pipeline.STAGES[-1][1](spark, before, SF)
+        assert last.count() == before.count()
