@@ -5,7 +5,7 @@ the columns of the table they got; a document that the mix takes more than once
 and one that it does not take is gone. The last returns a row for each of these with its token ids.
 
 Defined results: null and empty texts hold no toxic word, null counts as empty for exact copies, of which the row with
-the longest text and then the smallest id stays; texts without words have no near copy and no share of the mix. The
+the longest text and then the smallest id stays; texts without words have no near copy and count for nothing in the mix. The
 near-duplicate and mixing stages decide row by row, also for repeated ids and rows without one. Empty tables
 stay empty, very long texts are read whole, and columns of any name are handed on.
 """
