@@ -30,27 +30,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: pieces held in each of two generations: the older is dropped when the younger is full
-_CACHE_PIECES = 1 << 18
-#: runs that a worker holds before it begins anew
-_CACHE_RUNS = 1 << 20
+_CACHE_PIECES = 1 << 17
+#: runs that a worker holds before it begins anew: few, since their pieces are held too
+_CACHE_RUNS = 1 << 16
 _POSITION = (1 << 40) - 1
 #: a portion ends with the row that passes either
-_ROWS, _BYTES = 1024, 1 << 22
+_ROWS, _BYTES = 1024, 1 << 20
 
 
-class Recent(dict):
+class Recent:
     """The results met lately, at most two generations of ``_CACHE_PIECES``."""
 
     def __init__(self):
-        super().__init__()
+        self.younger: dict = {}
         self.older: dict = {}
 
+    def get(self, key):
+        found = self.younger.get(key)
+        if found is None and (found := self.older.get(key)) is not None:
+            self.add(key, found)
+        return found
+
     def add(self, key, value):
-        if len(self) >= _CACHE_PIECES:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+        if len(self.younger) >= _CACHE_PIECES:
+            self.younger, self.older = {}, self.younger
+        self.younger[key] = value
 
 
 # fixed values: the split pattern of the vocabulary file; its \s is Unicode's White_Space
@@ -78,9 +82,10 @@ class WordBpe:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
         size = 1 + max([*self.ids.values(), *self.special.values()])
-        self.strings = [b""] * size
+        strings = [b""] * size
         for text, number in [*self.ids.items(), *self.special.items()]:
-            self.strings[number] = text.encode("utf-8")
+            strings[number] = text.encode("utf-8")
+        self.strings = pa.array(strings, pa.large_binary())
         #: pair of ids -> rank above the bits of a position; the symbol that a rank makes
         self.merges: dict[int, int] = {}
         self.made: list[int] = [0]
@@ -150,7 +155,7 @@ class WordBpe:
         ids = self.pieces.get(found)
         if ids is None:
             # a tuple of numbers is nothing that the collector must follow
-            ids = self.pieces.older.get(found) or tuple(self.piece(found))
+            ids = tuple(self.piece(found))
             if len(found) <= 64:
                 self.pieces.add(found, ids)
         return ids
@@ -184,33 +189,39 @@ class WordBpe:
         return [i for raw in (text or "").encode("utf-8").split() for i in self.run(raw)]
 
     def decode(self, ids: list[int]) -> str:
-        return self.decoded(ids).decode("utf-8")
+        return self.decoded(np.array(ids, np.uint32), np.array([0, len(ids)]))[0].as_py().decode("utf-8")
 
-    def decoded(self, ids: Sequence[int]) -> bytes:
-        return b" ".join(map(self.strings.__getitem__, ids))
+    def decoded(self, ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        """The texts of ``ids``, cut at ``cuts``."""
+        strings = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), self.strings.take(pa.array(ids)))
+        return pc.binary_join(strings, pa.scalar(b" ", pa.large_binary()))
 
 
 class Runs(dict):
-    """Number of each run met, with its ids and their text; begins anew when it has grown past a fixed size."""
+    """Number of each run met, with its ids; begins anew when it has grown past a fixed size."""
 
     def __init__(self, bpe: WordBpe):
         super().__init__()
         self.bpe = bpe
         self._begin()
 
+    def release(self) -> None:
+        """Hold no results between tasks: the worker's next may be of a stage that needs the memory."""
+        self._begin()
+        self.bpe.pieces = Recent()
+        pa.default_memory_pool().release_unused()
+
     def _begin(self) -> None:
         self.clear()
-        self.ids, self.ends, self.decoded = array("I"), array("q", [0]), []
+        self.ids, self.ends = array("I"), array("q", [0])
 
     def __missing__(self, raw: bytes) -> int:
-        ids = self.bpe.run(raw)
-        self.ids.extend(ids)
+        number = self[raw] = len(self.ends) - 1
+        self.ids.extend(self.bpe.run(raw))
         self.ends.append(len(self.ids))
-        self.decoded.append(self.bpe.decoded(ids))
-        number = self[raw] = len(self.decoded) - 1
         return number
 
-    def portion(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def portion(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """(ids of all texts, where each text's begin and the last's end, decoded texts)."""
         if len(self) > _CACHE_RUNS:
             self._begin()
@@ -226,11 +237,9 @@ class Runs(dict):
         held, sizes, rows = held[some], sizes[some], rows[some]
         upto = np.cumsum(sizes)
         at = np.arange(upto[-1] if len(upto) else 0) + np.repeat(ends[held] - upto + sizes, sizes)
-        cuts = np.searchsorted(rows, np.arange(len(runs) + 1))
-        text_of = self.decoded
-        words = [text_of[k] for k in held.tolist()]
-        decoded = [b" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:])]
-        return np.array(self.ids, np.uint32)[at], np.concatenate([[0], upto])[cuts], decoded
+        cuts = np.concatenate([[0], upto])[np.searchsorted(rows, np.arange(len(runs) + 1))]
+        ids = np.array(self.ids, np.uint32)[at]
+        return ids, cuts, self.bpe.decoded(ids, cuts)
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +255,7 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @functools.lru_cache(maxsize=2)
 def runs_of(definition: str) -> Runs:
-    """One encoder for each Python worker, kept from task to task."""
+    """One encoder for each Python worker, kept from task to task without what it met."""
     return Runs(WordBpe(definition))
 
 
@@ -265,19 +274,22 @@ def encode_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = runs_of(shared.value)
-        for batch in _portions(batches):
-            numbers, cuts, decoded = runs.portion(batch["text"])
-            packed, sha = memoryview(numbers.astype("<u4")).cast("B"), hashlib.sha256
-            columns = [
-                batch["doc_id"], pa.array(np.diff(cuts), pa.int64()),
-                pa.array([sha(packed[4 * a : 4 * b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string()),
-                pa.array([sha(text).hexdigest() for text in decoded], pa.string()),
-            ]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if ids:
-                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(numbers.astype(np.int32))))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for batch in _portions(batches):
+                numbers, cuts, decoded = runs.portion(batch["text"])
+                packed, sha = memoryview(numbers.astype("<u4")).cast("B"), hashlib.sha256
+                columns = [
+                    batch["doc_id"], pa.array(np.diff(cuts), pa.int64()),
+                    pa.array([sha(packed[4 * a : 4 * b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string()),
+                    pa.array([sha(text.as_buffer()).hexdigest() for text in decoded], pa.string()),
+                ]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(numbers.astype(np.int32))))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        finally:
+            runs.release()
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()

@@ -1,13 +1,15 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketlake.llm.bpe import WordBpe, encode_documents
+from marketlake.llm.bpe import Runs, WordBpe, encode_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -57,3 +59,21 @@ def test_documents(spark, odd, none, library):
                        hashlib.sha256(decoded.encode()).hexdigest(), ids))
     assert sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256, r.ids) for r in got) == sorted(wanted)
     assert encode_documents(none, PATH, ids=False).count() == 0
+
+
+def test_memory_of_many_distinct_runs(library, own):
+    """A worker has little memory beside the JVM, and keeps its encoder for the stages that follow."""
+    runs = Runs(own)
+    tracemalloc.start()
+    for at in range(10**7, 10**7 + 500_000, 5000):
+        text = " ".join(map(str, range(at, at + 5000)))
+        ids, cuts, decoded = runs.portion(pa.array([text, None]))
+        assert cuts.tolist() == [0, 40_000, 40_000]
+    peak = tracemalloc.get_traced_memory()[1]
+    runs.release()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert peak < 64 << 20 and held < 8 << 20
+    wanted = library.encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == wanted
+    assert decoded.to_pylist() == [library.decode(wanted, skip_special_tokens=False).encode(), b""]
