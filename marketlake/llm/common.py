@@ -39,14 +39,20 @@ def shared_place(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: smaller than a checkpoint, and later
-    steps read only the columns they use."""
-    place = shared_place(df.sparkSession, "table")
+def stored(df: DataFrame, place: str | None = None) -> DataFrame:
+    """``df`` written as a table in the shared folder, or at ``place``, and read again: smaller than a
+    checkpoint, and later steps read only the columns they use."""
+    place = place or shared_place(df.sparkSession, "table")
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+def emptied(spark: SparkSession, place: str) -> None:
+    """Remove a table, or a folder of tables, of ``shared_place`` that no frame reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without_blanks(text: Column) -> Column:
     for blank in BLANKS:
         text = F.replace(text, F.lit(blank), F.lit(""))

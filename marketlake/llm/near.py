@@ -400,12 +400,14 @@ def near_components(
     how: Banding = DOCUMENTS,
     carry: tuple[str, ...] = (),
     texts_of: Callable[[DataFrame], DataFrame] | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, carry...), one row for each row of ``docs``. Documents whose
     sets have an intersection of ``percent`` or more of their union are linked; the component is
     named by the smallest id in it. Ids must be integers. ``texts_of`` finds the rows (``id_col``,
-    ``text_col``) for ids with their ``carry`` columns, where reading ``docs`` again does not give the same ids."""
-    signed = stored(signatures(docs, id_col, text_col, width, how, carry))
+    ``text_col``) for ids with their ``carry`` columns, where reading ``docs`` again does not give the same ids. The
+    result reads the signatures at ``place``, if one is given, which the caller may remove after use."""
+    signed = stored(signatures(docs, id_col, text_col, width, how, carry), place)
     classes = durable(
         signed.where(F.col("n") > 0).groupBy("digest1", "digest2").agg(F.min("id").alias("node"))
         .where(F.col("node").isNotNull())

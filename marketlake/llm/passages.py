@@ -31,9 +31,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import durable, stored
+from marketlake.llm.common import durable, emptied, shared_place, stored
 from marketlake.llm.near import BROADCAST_IDS, Banding, near_components
-from marketlake.llm.shingles import WordHashes, mixed
+from marketlake.llm.shingles import WordHashes, mixed, portions
 
 MIN_WORDS = 20
 PERCENT = 80
@@ -59,28 +59,37 @@ def _paragraphs(text_col: str):
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, percent: int) -> DataFrame:
     """(doc_id, digest, position, component_id, first_doc_id) of the paragraphs that other documents share."""
-    lines = (
-        docs.where(F.col(id_col).isNotNull())
-        .select(
-            F.col(id_col).alias("owner"), _digest(text_col).alias("digest"),
-            F.posexplode(_paragraphs(text_col)).alias("position", "line"),
-        )
-        .where((F.length("line") >= 2 * min_words - 1) & (_words("line") >= min_words))
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("owner"), _digest(text_col).alias("digest"), F.col(text_col).alias("text")
     )
+
+    def split(rows: DataFrame) -> DataFrame:
+        return (
+            rows.select("owner", "digest", F.posexplode(_paragraphs("text")).alias("position", "line"))
+            .where((F.length("line") >= 2 * min_words - 1) & (_words("line") >= min_words))
+        )
+
+    lines = split(rows)
     place = ["owner", "digest", "position"]
 
     def texts_of(places: DataFrame) -> DataFrame:
-        few = F.broadcast(places) if places.count() <= BROADCAST_IDS else places
-        return lines.join(few, place).select(F.col("node").alias("row"), "line")
-
+        found = lines.join(places, place)
+        if places.count() <= BROADCAST_IDS:
+            # only rows that hold a wanted line are split again
+            homes = F.broadcast(places.select("owner", "digest").distinct())
+            found = split(rows.join(homes, ["owner", "digest"])).join(F.broadcast(places), place)
+        return found.select(F.col("node").alias("row"), "line")
+
+    spark, signed = docs.sparkSession, shared_place(docs.sparkSession, "signed")
     # a line is told from others by its place, and equal lines are found by their sets' 128-bit digests
     found = durable(
         near_components(
             lines.withColumn("row", F.monotonically_increasing_id()), "row", "line", percent, how=PARAGRAPHS,
-            carry=tuple(place), texts_of=texts_of,
+            carry=tuple(place), texts_of=texts_of, place=signed,
         )
         .select("component_id", *place)
     )
+    emptied(spark, signed)
     shared = durable(
         found.groupBy("component_id").agg(F.min("owner").alias("first_doc_id"), F.max("owner").alias("last"))
         .where(F.col("first_doc_id") != F.col("last")).drop("last")
@@ -104,30 +113,40 @@ def _digest(text_col: str):
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def _runs(words: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` words, by runs of powers of two."""
-    count = len(words) - width + 1
-    out, have, power, size = None, 0, words, 1
+def _runs(words: np.ndarray, *widths: int) -> list[np.ndarray]:
+    """Hash of each run of so many words, for each of ``widths``, by runs of powers of two."""
+    out: list[np.ndarray | None] = [None] * len(widths)
+    power, size = words, 1
     while True:
-        if width & size:
-            part = power[have : have + count]
-            out, have = (part if out is None else mixed(out) + part), have + size
-        if have == width:
-            return mixed(out)
+        for k, width in enumerate(widths):
+            if width & size:
+                have = width & (size - 1)
+                part = power[have : have + len(words) - width + 1]
+                out[k] = part if out[k] is None else mixed(out[k]) + part
+        if 2 * size > max(widths):
+            return [mixed(x) for x in out]
         power, size = mixed(power[:-size]) + power[size:], 2 * size
 
 
-def _marked(words: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(mark, frame, first, last): a mark, the hash of all words of its windows and of its place in them,
-    and the first and last of those windows."""
-    grams, windows = _runs(words, MARK_WORDS), _runs(words, RUN_WORDS)
+def _marked(words: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, mark, frame, first, last) of texts laid end to end: a mark, the hash of all words of its
+    windows and of its place in them, and the first and last of those windows."""
+    counts = np.maximum(np.diff(cuts) - RUN_WORDS + 1, 0)
+    text = np.repeat(np.arange(len(counts)), counts)
+    if not len(text):
+        return text, words[:0], words[:0], text, text
+    grams, windows = _runs(words, MARK_WORDS, RUN_WORDS)
     wide = RUN_WORDS - MARK_WORDS + 1
-    at = np.lib.stride_tricks.sliding_window_view(grams, wide).argmin(axis=1) + np.arange(len(windows))
-    picked, first = np.unique(at, return_index=True)
-    last = np.append(first[1:], len(windows)) - 1
+    # windows inside a text, by their place in all; the least of each moves on only
+    inside = np.arange(len(text)) + np.repeat(cuts[:-1] - np.cumsum(counts) + counts, counts)
+    at = np.lib.stride_tricks.sliding_window_view(grams, wide).argmin(axis=1)[inside] + inside
+    new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    text, picked = text[new], at[new]
+    first, last = inside[new], inside[np.append(new[1:], len(at)) - 1]
     # the first and the last window overlap, so the two hold all words between
     place = ((picked - first) * wide + last - first).astype(np.uint64)
-    return grams[picked], mixed(mixed(windows[first]) + windows[last]) + place, first, last
+    frames = mixed(mixed(windows[first]) + windows[last]) + place
+    return text, grams[picked], frames, first - cuts[text], last - cuts[text]
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,32 +160,31 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
-            rows, found = [], []
-            for row, text in enumerate(batch["text"]):
-                words = hashes.of(text.as_py())
-                if len(words) >= RUN_WORDS:
-                    found.append(_marked(words))
-                    rows.append(np.full(len(found[-1][0]), row))
-            if found:
-                marks, frames, first, last = (np.concatenate(c) for c in zip(*found))
-                row = pa.array(np.concatenate(rows))
+        for batch in (b.slice(*part) for b in batches for part in portions(b["text"])):
+            row, marks, frames, first, last = _marked(*hashes.of_all(batch["text"]))
+            if len(row):
+                row = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].take(row), batch["digest"].take(row), pa.array(marks.view(np.int64)),
                      pa.array(frames.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
                     names=["doc_id", "digest", "mark", "frame", "first", "last"],
                 )
 
+    # what later steps no longer read goes at once
+    spark = docs.sparkSession
+    at = {name: shared_place(spark, name) for name in ("marks", "hits")}
     marks = stored(
-        texts.mapInArrow(mark, f"doc_id {kind}, digest long, mark long, frame long, first int, last int")
+        texts.mapInArrow(mark, f"doc_id {kind}, digest long, mark long, frame long, first int, last int"), at["marks"]
     )
     shared = durable(
         marks.groupBy("mark").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top"))
         .where(F.col("low") != F.col("top")).select("mark")
     )
-    hits = stored(marks.join(shared, "mark"))
+    hits = stored(marks.join(shared, "mark"), at["hits"])
+    emptied(spark, at["marks"])
     frames = durable(hits.groupBy("mark", "frame").agg(F.min("doc_id").alias("first_doc_id")))
     framed = stored(hits.join(frames, ["mark", "frame"]).drop("frame"))
+    emptied(spark, at["hits"])
     # a frame says all words of its windows: a smaller id that holds it holds them all
     whole = framed.where(F.col("doc_id") != F.col("first_doc_id")).select(
         "doc_id", "digest", F.col("first").alias("start"), (F.col("last") + RUN_WORDS).alias("end"), "first_doc_id"
@@ -183,20 +201,21 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
-            for row, text in enumerate(batch["text"]):
-                windows = _runs(hashes.of(text.as_py()), RUN_WORDS).view(np.int64)
-                held = batch["marks"][row].values
-                first, last = (held.field(c).to_numpy() for c in ("first", "last"))
-                sizes = last - first + 1
-                start = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                same = pa.array(np.full(len(start), row))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].take(same), batch["digest"].take(same),
-                     pa.array(np.repeat(held.field("mark").to_numpy(), sizes)),
-                     pa.array(windows[start]), pa.array(start.astype(np.int32))],
-                    names=["doc_id", "digest", "mark", "window", "start"],
-                )
+        for batch in (b.slice(*part) for b in batches for part in portions(b["text"])):
+            words, cuts = hashes.of_all(batch["text"])
+            windows = _runs(words, RUN_WORDS)[0].view(np.int64)
+            held = batch["marks"].flatten()
+            mark, first, last = (held.field(c).to_numpy() for c in ("mark", "first", "last"))
+            sizes = last - first + 1
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch["marks"]).to_numpy())
+            row = np.repeat(row, sizes)
+            start = np.arange(len(row)) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+            same = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(same), batch["digest"].take(same), pa.array(np.repeat(mark, sizes)),
+                 pa.array(windows[start + cuts[row]]), pa.array(start.astype(np.int32))],
+                names=["doc_id", "digest", "mark", "window", "start"],
+            )
 
     # 16 bytes a mark
     wanted = F.broadcast(open_) if (open_.agg(F.sum("held")).first()[0] or 0) <= BROADCAST_IDS else open_
@@ -219,21 +238,24 @@ def _without(text: str, removed: set[int], runs: list[tuple[int, int]]) -> str:
     """``text`` without the lines of ``removed`` and without the words of the sorted ``runs``."""
     out, word, at = [], 0, 0
     for k, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
-        places = [m.span() for m in _WORD.finditer(line)]
-        start, word = word, word + len(places)
+        start, word = word, word + len(line.split())
         if k in removed:
             continue
-        stays = [True] * len(places)
         while at < len(runs) and runs[at][1] <= start:
             at += 1
+        if start == word or at == len(runs) or runs[at][0] >= word:
+            out.append(line)
+            continue
+        if runs[at][0] <= start and word <= runs[at][1]:
+            continue
+        places = [m.span() for m in _WORD.finditer(line)]
+        stays = [True] * len(places)
         near = at
         while near < len(runs) and runs[near][0] < word:
             low, high = max(runs[near][0], start) - start, min(runs[near][1], word) - start
             stays[low:high] = [False] * (high - low)
             near += 1
-        if all(stays):
-            out.append(line)
-        elif any(stays):
+        if any(stays):
             # a word that goes takes the blanks before it, at the start of a line those after it
             kept, end = [], None
             for place, stay in enumerate(stays):
@@ -301,8 +323,11 @@ def repeated_passages(
             touched = pc.or_(*[pc.greater(pc.list_value_length(batch[c]), 0) for c in ("removed", "runs")])
             rows = np.flatnonzero(touched.to_numpy(zero_copy_only=False))
             texts, spans = [], [[] for _ in range(batch.num_rows)]
+            upto = np.cumsum(pc.list_value_length(batch["runs"]).to_numpy()).tolist()
+            flat = batch["runs"].flatten()
+            pairs = list(zip(flat.field("start").to_pylist(), flat.field("end").to_pylist()))
             for row in rows.tolist():
-                found = _merged([(r["start"], r["end"]) for r in batch["runs"][row].as_py()])
+                found = _merged(pairs[upto[row - 1] if row else 0 : upto[row]])
                 texts.append(_without(batch["text"][row].as_py(), set(batch["removed"][row].as_py()), found))
                 spans[row] = [{"start": a, "end": b} for a, b in found]
             columns = [batch[c] for c in batch.schema.names[:-2]]

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 WORDS_PER_SHINGLE = 5
 _CACHE_WORDS = 1 << 17
+#: a portion of texts ends with the one that passes these bytes
+_PORTION = 1 << 19
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -26,12 +32,33 @@ class WordHashes(dict):
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+    def of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``of`` each text, laid end to end, and where each begins and the last ends."""
+        found = [self.of(text.as_py()) for text in texts]
+        return np.concatenate(found), np.cumsum([0, *map(len, found)])
+
+
+def portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts with about ``_PORTION`` bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(upto):
+        done = upto[at - 1] if at else 0
+        end = min(len(upto), int(np.searchsorted(upto, done + _PORTION)) + 1)
+        yield at, end - at
+        at = end
+
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the whole word."""
-    values = (values ^ (values >> np.uint64(32))) * _STEP
-    values = (values ^ (values >> np.uint64(32))) * _STEP
-    return values ^ (values >> np.uint64(32))
+    half = np.uint64(32)
+    out = values >> half
+    out ^= values
+    out *= _STEP
+    out ^= out >> half
+    out *= _STEP
+    out ^= out >> half
+    return out
 
 
 def shingle_set(words: np.ndarray, width: int = WORDS_PER_SHINGLE) -> np.ndarray:

@@ -1,6 +1,12 @@
 import random
+from pathlib import Path
 
-from marketlake.llm.passages import passages, repeated_passages
+import numpy as np
+import pyarrow as pa
+
+from marketlake.llm.common import shared_checkpoints
+from marketlake.llm.passages import _marked, passages, repeated_passages
+from marketlake.llm.shingles import WordHashes
 from test_near import shingles
 
 
@@ -117,3 +123,31 @@ def test_runs_of_odd_rows(spark, odd, none):
     assert by_id[7].text == "" and [tuple(x) for x in by_id[7].runs] == [(0, 60_000)] and by_id[6].runs == []
     assert by_id[3].text == "" and by_id[5].text == " \t\n"
     assert repeated_passages(none, runs=True).count() == 0
+
+
+def test_what_is_read_no_more_is_removed(spark):
+    """Signatures of all lines and marks of all windows do not stay beside what follows from them."""
+    rnd = random.Random(8)
+    docs = [(d, " ".join(f"u{rnd.randrange(10**9)}" for _ in range(400))) for d in range(400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    shared_checkpoints(spark)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    tables = lambda: {p: sum(f.stat().st_size for f in p.rglob("*")) for p in folder.iterdir() if "rdd-" not in p.name}
+    before = tables()
+    assert {r.text for r in repeated_passages(frame, runs=True).collect()} == {text for _, text in docs}
+    left = sum(size for p, size in tables().items() if p not in before)
+    assert left < sum(len(text) for _, text in docs) / 20
+
+
+def test_portions_of_texts_are_marked_as_each_alone():
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{rnd.randrange(rnd.choice((2, 10**6)))}" for _ in range(n)) for n in (0, 49, 50, 0, 300, 51, 3)]
+    hashes, cuts = WordHashes().of_all(pa.array([None, " \n", *texts]))
+    found = list(zip(*(c.tolist() for c in _marked(hashes, cuts))))
+    alone = []
+    for k, text in enumerate(texts):
+        words = WordHashes().of(text)
+        alone += [(k + 2, *rest) for _, *rest in zip(*(c.tolist() for c in _marked(words, np.array([0, len(words)]))))]
+        held = [(first, last) for at, _, _, first, last in found if at == k + 2]
+        assert [w for a, b in held for w in range(a, b + 1)] == list(range(len(words) - 49))
+    assert found == alone and found
