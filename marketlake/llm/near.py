@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import durable, stored
 from marketlake.llm.components import components
-from marketlake.llm.shingles import WORDS_PER_SHINGLE, WordHashes, common, mixed, shingle_set, shingle_sets
+from marketlake.llm.shingles import WORDS_PER_SHINGLE, WordHashes, common, mixed, portions, shingle_set, shingle_sets
 
 BITS = 4
 #: lowest bit of each lane of a long
@@ -42,7 +42,9 @@ LOW = int("1" * 16, 16)
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 19
 #: ids that may be broadcast to pick texts map-side (about 10 MB); more are joined by a shuffle
 BROADCAST_IDS = 200_000
-_BLOCK_WORDS = 1 << 16
+_BLOCK_BYTES = 1 << 19
+#: hashes of many texts whose minima are taken together
+_AT_ONCE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -75,14 +77,17 @@ def minima(shingles: np.ndarray, how: Banding) -> np.ndarray:
 
 def minima_of(hashes: np.ndarray, owner: np.ndarray, texts: int, how: Banding) -> np.ndarray:
     """``minima`` of many shingle sets at once, laid end to end; zeros for a text without shingles."""
-    factors, out = _FACTORS[:, : how.minima], np.full((texts, how.minima), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 512):
-        mine = owner[at : at + 512]
+    factors, out = _FACTORS[:, : how.minima], np.full((how.minima, texts), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), _AT_ONCE):
+        part, mine = hashes[at : at + _AT_ONCE], owner[at : at + _AT_ONCE]
         starts = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
-        least = np.minimum.reduceat(hashes[at : at + 512, None] * factors[0] + factors[1], starts, axis=0)
-        out[mine[starts]] = np.minimum(out[mine[starts]], least)
-    out[np.bincount(owner, minlength=texts) == 0] = 0
-    return out
+        own = mine[starts]
+        for k in range(how.minima):
+            values = part * factors[0, k]
+            values += factors[1, k]
+            out[k, own] = np.minimum(out[k, own], np.minimum.reduceat(values, starts))
+    out[:, np.bincount(owner, minlength=texts) == 0] = 0
+    return out.T
 
 
 def packed(low: np.ndarray, how: Banding) -> np.ndarray:
@@ -100,16 +105,10 @@ def band_keys(low: np.ndarray, how: Banding) -> np.ndarray:
 
 
 def _word_blocks(texts: pa.Array, words: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(number of the first text, word hashes of each text) of runs of texts with about ``_BLOCK_WORDS`` words."""
-    first, found, size = 0, [], 0
-    for row, text in enumerate(texts):
-        found.append(words.of(text.as_py()))
-        size += len(found[-1])
-        if size >= _BLOCK_WORDS:
-            yield first, found
-            first, found, size = row + 1, [], 0
-    if found:
-        yield first, found
+    """(number of the first text, word hashes of each text) of runs of texts with about ``_BLOCK_BYTES`` bytes."""
+    for first, number in portions(texts, _BLOCK_BYTES):
+        hashes, cuts = words.of_all(texts.slice(first, number))
+        yield first, np.split(hashes, cuts[1:-1])
 
 
 def signatures(
@@ -175,7 +174,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, width:
             # a few at a time: a set of hashes is larger than its text
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = [shingle_set(words.of(t.as_py()), width).view(np.int64) for t in part["text"]]
+                made = [shingle_set(found, width).view(np.int64)
+                        for _, block in _word_blocks(part["text"], words) for found in block]
                 yield pa.RecordBatch.from_arrays(
                     [part["node"], part["digest1"], part["digest2"], pa.array(made, pa.list_(pa.int64())),
                      pa.array([[*np.frombuffer(xxhash.xxh3_128_digest(m.tobytes()), np.int64)] for m in made],

@@ -10,41 +10,69 @@ import pyarrow.compute as pc
 import xxhash
 
 WORDS_PER_SHINGLE = 5
-_CACHE_WORDS = 1 << 17
+#: words of more bytes are hashed one by one
+_LONG_WORD = 256
+_IS_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: a portion of texts ends with the one that passes these bytes
 _PORTION = 1 << 19
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
-class WordHashes(dict):
-    """Hash of each word met; emptied between texts when it has grown past a fixed size."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+class WordHashes:
+    """Hashes of the words of texts. Words are runs of non-blank characters with A-Z lower-cased; other
+    scripts stay as they are. All words of many texts are hashed at once, eight bytes at a time; nothing
+    is kept from text to text."""
 
     def of(self, text: str | None) -> np.ndarray:
-        """Hashes of the words of a text in order; words are runs of non-blank characters with
-        A-Z lower-cased. Bytes methods see ASCII only, so other scripts stay as they are."""
-        if len(self) > _CACHE_WORDS:
-            self.clear()
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        """Hashes of the words of a text in order."""
+        return self._hashed([(text or "").encode("utf-8", "surrogatepass")])[0]
 
     def of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``of`` each text, laid end to end, and where each begins and the last ends."""
-        found = [self.of(text.as_py()) for text in texts]
-        return np.concatenate(found), np.cumsum([0, *map(len, found)])
-
-
-def portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(first, number) of runs of texts with about ``_PORTION`` bytes."""
+        return self._hashed(pc.fill_null(texts.cast(pa.binary()), b"").to_pylist())
+
+    @staticmethod
+    def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        raw = b"".join(texts).lower()  # bytes know ASCII only
+        size, ends_at = len(raw), np.cumsum([0, *map(len, texts)])
+        padded = np.frombuffer(raw + bytes(16 - size % 8), np.uint8)
+        blank = _IS_BLANK[padded[:size]]
+        before, after = np.append(True, blank), np.append(blank, True)
+        before[ends_at] = after[ends_at] = True  # no word goes on in the next text
+        starts = np.flatnonzero(before[:-1] & ~blank)
+        lengths = np.flatnonzero(after[1:] & ~blank) + 1 - starts
+        eights = padded.view("<u8")
+
+        def eight(at: np.ndarray, length: np.ndarray) -> np.ndarray:
+            """Up to eight bytes from each place, zeros behind the word."""
+            whole, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+            found = eights[whole] >> shift
+            found |= eights[whole + 1] << np.uint64(1) << (np.uint64(63) - shift)
+            found &= _FIRST_BYTES[np.minimum(length, 8)]
+            return found
+
+        hashes = eight(starts, lengths)
+        more = np.flatnonzero(lengths > 8)
+        for done in range(8, _LONG_WORD, 8):
+            if not len(more):
+                break
+            hashes[more] = mixed(hashes[more]) + eight(starts[more] + done, lengths[more] - done)
+            more = more[lengths[more] > done + 8]
+        hashes = mixed(mixed(hashes) + lengths.astype(np.uint64))
+        for k in more.tolist():
+            hashes[k] = xxhash.xxh64_intdigest(raw[starts[k] : starts[k] + lengths[k]])
+        return hashes, np.searchsorted(starts, ends_at)
+
+
+def portions(texts: pa.Array, size: int = _PORTION) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts with about ``size`` bytes."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
     at = 0
     while at < len(upto):
         done = upto[at - 1] if at else 0
-        end = min(len(upto), int(np.searchsorted(upto, done + _PORTION)) + 1)
+        end = min(len(upto), int(np.searchsorted(upto, done + size)) + 1)
         yield at, end - at
         at = end
 
@@ -91,7 +119,8 @@ def shingle_sets(texts: list[np.ndarray], width: int = WORDS_PER_SHINGLE) -> tup
     if len(short):
         hashes = np.concatenate([hashes, *[shingle_set(texts[k], width) for k in short]])
         owner = np.concatenate([owner, short])
-    order = np.lexsort((hashes, owner))
+    order = np.argsort(hashes)
+    order = order[np.argsort(owner[order].astype(np.min_scalar_type(len(texts))), kind="stable")]
     hashes, owner = hashes[order], owner[order]
     new = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)]
     return hashes[new], owner[new]
